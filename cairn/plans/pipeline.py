@@ -1,0 +1,127 @@
+"""Declarative step chains.
+
+A pipeline is a list of ``{"step", "params", "input", "output"}``; steps pass
+DataFrames by variable name, so the whole chain stays one lazy plan that Catalyst
+optimises end to end (no hand-off files between steps).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from ..operators import columns, filters, flatten, latest, merge, reshape, text
+from ..operators.coerce import coerce_schema
+from ..sources import files, tables
+
+StepFn = Callable[..., object]
+
+STEPS: dict[str, StepFn] = {}
+
+
+def register_step(name: str, fn: StepFn) -> StepFn:
+    STEPS[name] = fn
+    return fn
+
+
+def register_source(name: str, fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A source: ``fn(spark, **params) -> DataFrame``."""
+    return register_step(name, lambda spark, _inputs, **p: fn(spark, **p))
+
+
+def register_sink(name: str, fn: Callable[..., None]) -> Callable[..., None]:
+    """A sink: ``fn(df, **params) -> None`` (D3)."""
+    return register_step(name, lambda spark, inputs, **p: fn(inputs[0], **p))
+
+
+def register_transform(name: str, fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A transformation: ``fn(df, **params) -> DataFrame``."""
+    return register_step(name, lambda spark, inputs, **p: fn(inputs[0], **p))
+
+
+def apply_transformation(
+    df: DataFrame, fn: Callable, schema: StructType | str
+) -> DataFrame:
+    """User code over batches of rows (D2): ``fn(pandas.DataFrame) -> pandas.DataFrame``
+    applied per Arrow batch with ``mapInPandas``; may change the row count."""
+
+    def run(batches):
+        for pdf in batches:
+            yield fn(pdf)
+
+    return df.mapInPandas(run, schema)
+
+
+def run_pipeline(
+    spark: SparkSession,
+    steps: Sequence[Mapping],
+    inputs: Mapping[str, DataFrame] | None = None,
+) -> dict[str, object]:
+    """Run the steps in order; returns every named output."""
+    env: dict[str, object] = dict(inputs or {})
+    for i, s in enumerate(steps):
+        name = s["step"]
+        if name not in STEPS:
+            raise KeyError(f"step {i}: unknown step {name!r}")
+        ins = s.get("input")
+        ins = [] if ins is None else [ins] if isinstance(ins, str) else list(ins)
+        missing = [v for v in ins if v not in env]
+        if missing:
+            raise KeyError(f"step {i} ({name}): inputs not defined: {missing}")
+        out = STEPS[name](spark, [env[v] for v in ins], **dict(s.get("params", {})))
+        if s.get("output"):
+            env[s["output"]] = out
+    return env
+
+
+# Built-in steps: sources
+register_source("read_table", lambda spark, name: tables.read_table(spark, name))
+register_source("read_sql", lambda spark, **p: tables.read_sql(spark, **p))
+register_source("read_file", lambda spark, **p: files.read_file(spark, **p))
+register_source("read_objects", lambda spark, **p: files.read_objects(spark, **p))
+# transformations
+register_transform("remove_columns", columns.remove_columns)
+register_transform("drop_by_prefix", columns.drop_by_prefix)
+register_transform("strip_prefixes", columns.strip_prefixes)
+register_transform("rename_columns", columns.rename_columns)
+register_transform("prepare_columns", columns.prepare_columns)
+register_transform("text_transform", columns.text_transform)
+register_transform("clean_strings", columns.clean_strings)
+register_transform("flatten_columns", flatten.flatten_columns)
+register_transform("unpivot_columns", reshape.unpivot_columns)
+register_transform("standardize", reshape.standardize)
+register_transform("filter_by_params", filters.filter_by_params)
+register_transform("exclude_by_params", filters.exclude_by_params)
+register_transform("latest_per_key", latest.latest_per_key)
+register_transform("coerce_schema", coerce_schema)
+register_transform("extract_text", text.extract_text)
+register_step(
+    "concat_by_name", lambda spark, inputs: reshape.concat_by_name(inputs)
+)
+register_step(
+    "union_all", lambda spark, inputs, by_name=False: reshape.union_all(inputs, by_name)
+)
+register_step(
+    "merge_upsert",
+    lambda spark, inputs, **p: merge.merge_upsert(inputs[0], inputs[1], **p),
+)
+
+
+def _rfm(df, **p):
+    from .rfm import rfm_analysis
+
+    return rfm_analysis(df, **p)
+
+
+register_transform("rfm_analysis", _rfm)
+
+
+def _save(df, **p):
+    from ..sinks.writers import save_table
+
+    save_table(df, **p)
+
+
+register_sink("save_table", _save)

@@ -146,3 +146,461 @@ def q_rfm_segment_counts(spark, sf_dir):
 @register("rfm_as_of_window", _RFM_AS_OF_SQL)
 def q_rfm_as_of_window(spark, sf_dir):
     return _orders_rfm(spark, sf_dir, window="as_of")
+
+
+# ---------------------------------------------------------------- ranking
+
+@register(
+    "ntile_distributed",
+    """SELECT l_partkey, revenue,
+              CAST(NTILE(10) OVER (ORDER BY revenue ASC NULLS LAST, l_partkey ASC) AS INTEGER) AS revenue_decile
+       FROM (SELECT l_partkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
+             FROM lineitem GROUP BY l_partkey) t""",
+)
+def q_ntile_distributed(spark, sf_dir):
+    from ..operators.ranking import distributed_ntile
+
+    rev = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue")
+    )
+    return distributed_ntile(
+        rev, 10, [F.col("revenue").asc_nulls_last(), F.col("l_partkey").asc()], "revenue_decile"
+    )
+
+
+@register(
+    "latest_per_key",
+    """SELECT event_id, ts, user_id, event_type, value, props FROM (
+           SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+           FROM events) t WHERE rn = 1""",
+)
+def q_latest_per_key(spark, sf_dir):
+    from ..operators.latest import latest_per_key
+
+    return latest_per_key(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+
+
+@register(
+    "window_stats_per_key",
+    """SELECT user_id, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS mean,
+              ROUND(STDDEV_POP(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)), 4) AS std,
+              COUNT(*) AS "rows"
+       FROM events GROUP BY user_id""",
+)
+def q_window_stats_per_key(spark, sf_dir):
+    from ..operators.latest import key_stats
+
+    ev = table(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    out = key_stats(ev, ["user_id"], "value")
+    return out.withColumn("total", F.col("total").cast("decimal(38,2)"))
+
+
+@register(
+    "window_stats_per_row",
+    """SELECT event_id, user_id,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id) AS DECIMAL(38,2)) AS user_sum,
+              COUNT(*) OVER (PARTITION BY user_id) AS user_rows
+       FROM events""",
+)
+def q_window_stats_per_row(spark, sf_dir):
+    from ..operators.latest import attach_key_stats
+
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.col("value").cast("decimal(18,2)").alias("value")
+    )
+    out = attach_key_stats(ev, ["user_id"], "value", prefix="user_")
+    return out.select(
+        "event_id", "user_id", F.col("user_sum").cast("decimal(38,2)").alias("user_sum"), "user_rows"
+    )
+
+
+# ---------------------------------------------------------------- columns
+
+@register(
+    "remove_columns",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+              l_returnflag, l_shipdate FROM lineitem""",
+)
+def q_remove_columns(spark, sf_dir):
+    from ..operators.columns import remove_columns
+
+    return remove_columns(table(spark, sf_dir, "lineitem"), ["l_tax", "l_discount", "l_linestatus"])
+
+
+@register(
+    "drop_by_prefix",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+              l_returnflag FROM lineitem""",
+)
+def q_drop_by_prefix(spark, sf_dir):
+    from ..operators.columns import drop_by_prefix
+
+    return drop_by_prefix(table(spark, sf_dir, "lineitem"), ["l_ship", "l_line"])
+
+
+@register(
+    "strip_prefixes",
+    """SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
+              c_mktsegment AS segment FROM customer""",
+)
+def q_strip_prefixes(spark, sf_dir):
+    from ..operators.columns import strip_prefixes
+
+    return strip_prefixes(table(spark, sf_dir, "customer"), ["c_", "c_mkt"])
+
+
+@register(
+    "rename_columns",
+    """SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_orderstatus, o_totalprice,
+              o_orderdate, o_orderpriority FROM orders""",
+)
+def q_rename_columns(spark, sf_dir):
+    from ..operators.columns import rename_columns
+
+    return rename_columns(
+        table(spark, sf_dir, "orders"),
+        [
+            {"column_name": "o_orderkey", "new_column_name": "order_id"},
+            {"column_name": "o_custkey", "new_column_name": "customer_id"},
+            {"column_name": "order_id", "new_column_name": "order_key"},
+        ],
+    )
+
+
+@register(
+    "prepare_columns",
+    """SELECT l_orderkey AS orderkey, l_partkey AS partkey, l_suppkey AS suppkey,
+              l_quantity AS quantity, l_extendedprice AS extendedprice, l_discount AS discount,
+              l_returnflag AS returnflag, l_shipdate AS shipdate FROM lineitem""",
+)
+def q_prepare_columns(spark, sf_dir):
+    from ..operators.columns import prepare_columns
+
+    return prepare_columns(
+        table(spark, sf_dir, "lineitem"),
+        columns_to_remove=["l_tax"],
+        column_prefixes_to_remove=["l_line"],
+        remove_prefix_from_columns=["l_"],
+    )
+
+
+@register(
+    "text_transform",
+    """SELECT p_partkey, UPPER(p_name) AS p_name, LOWER(p_brand) AS p_brand,
+              UPPER(TRIM(p_type)) AS p_type, p_size, p_retailprice FROM part""",
+)
+def q_text_transform(spark, sf_dir):
+    from ..operators.columns import text_transform
+
+    return text_transform(
+        table(spark, sf_dir, "part"),
+        [
+            {"column_name": "p_name", "transformation_to_apply": "upper"},
+            {"column_name": "p_brand", "transformation_to_apply": "lower"},
+            {"column_name": "p_type", "transformation_to_apply": "trim"},
+            {"column_name": "p_type", "transformation_to_apply": "upper"},
+        ],
+    )
+
+
+_CLEAN = r"""'[<>:"/\\|?*\x00-\x1F\x7F]'"""
+
+
+@register(
+    "clean_strings",
+    f"""SELECT doc_id, regexp_replace(text, {_CLEAN}, '', 'g') AS text,
+               regexp_replace(lang, {_CLEAN}, '', 'g') AS lang,
+               regexp_replace(source, {_CLEAN}, '', 'g') AS source, n_chars
+        FROM documents""",
+)
+def q_clean_strings(spark, sf_dir):
+    from ..operators.columns import clean_strings
+
+    return clean_strings(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "clean_strings_pages",
+    f"""SELECT page_id, regexp_replace(url, {_CLEAN}, '', 'g') AS url, html FROM pages""",
+)
+def q_clean_strings_pages(spark, sf_dir):
+    from ..operators.columns import clean_strings
+
+    return clean_strings(table(spark, sf_dir, "pages"), exclude=["html"])
+
+
+# ---------------------------------------------------------------- flatten
+
+@register(
+    "flatten_json",
+    """SELECT json_extract_string(props, '$.k') AS PROPS__K, event_id, ts, user_id, event_type, value
+       FROM events""",
+)
+def q_flatten_json(spark, sf_dir):
+    from ..operators.flatten import flatten_columns
+
+    return flatten_columns(table(spark, sf_dir, "events"), ["props"])
+
+
+def _packed_customer(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey",
+        "c_name",
+        F.to_json(
+            F.struct(
+                F.col("c_name").alias("Customer Name"),
+                F.col("c_nationkey").alias("nation-key"),
+                F.col("c_mktsegment").alias("segment"),
+                F.col("c_custkey").alias("id"),
+            )
+        ).alias("attrs"),
+    )
+
+
+@register(
+    "flatten_auto",
+    """SELECT c_name AS ATTRS__CUSTOMER_NAME, CAST(c_custkey AS VARCHAR) AS ATTRS__ID,
+              CAST(c_nationkey AS VARCHAR) AS ATTRS__NATION_KEY, c_mktsegment AS ATTRS__SEGMENT,
+              c_custkey, c_name
+       FROM customer""",
+)
+def q_flatten_auto(spark, sf_dir):
+    from ..operators.flatten import flatten_columns
+
+    return flatten_columns(_packed_customer(spark, sf_dir), columns=None)
+
+
+# ---------------------------------------------------------------- reshape
+
+@register(
+    "unpivot_columns",
+    """SELECT * FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+                              FROM lineitem)
+                     ON l_quantity, l_extendedprice, l_discount, l_tax
+                     INTO NAME measure VALUE amount)""",
+)
+def q_unpivot_columns(spark, sf_dir):
+    from ..operators.reshape import unpivot_columns
+
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+    )
+    return unpivot_columns(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "measure", "amount")
+
+
+_SPARSE_LINEITEM = """SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_returnflag = 'R' THEN l_discount END AS disc_r,
+        CASE WHEN l_returnflag = 'A' THEN l_tax END AS tax_a FROM lineitem"""
+
+
+@register(
+    "unpivot_keep_nulls",
+    f"""SELECT * FROM ({_SPARSE_LINEITEM}) t
+        UNPIVOT INCLUDE NULLS (amount FOR measure IN (disc_r, tax_a))""",
+)
+def q_unpivot_keep_nulls(spark, sf_dir):
+    from ..operators.reshape import unpivot_columns
+
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", F.col("l_discount")).alias("disc_r"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_tax")).alias("tax_a"),
+    )
+    return unpivot_columns(li, ["disc_r", "tax_a"], "measure", "amount", include_nulls=True)
+
+
+@register(
+    "unpivot_drop_nulls",
+    f"""SELECT * FROM (UNPIVOT ({_SPARSE_LINEITEM})
+                     ON disc_r, tax_a INTO NAME measure VALUE amount)""",
+)
+def q_unpivot_drop_nulls(spark, sf_dir):
+    from ..operators.reshape import unpivot_columns
+
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", F.col("l_discount")).alias("disc_r"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_tax")).alias("tax_a"),
+    )
+    return unpivot_columns(li, ["disc_r", "tax_a"], "measure", "amount")
+
+
+_STD_CUSTOMER = {
+    "STD_ID": {"value": "c_custkey", "is_column": True},
+    "STD_NAME": {"value": "c_name", "is_column": True},
+    "STD_BALANCE": {"value": "c_acctbal", "is_column": True},
+    "STD_ORIGIN": {"value": "crm", "is_column": False},
+    "STD_EMPTY": {"value": None, "is_column": False},
+    "STD_ZERO": {"value": 0, "is_column": False},
+}
+_STD_SUPPLIER = {
+    "STD_ID": {"value": "s_suppkey", "is_column": True},
+    "STD_NAME": {"value": "s_name", "is_column": True},
+    "STD_BALANCE": {"value": "s_acctbal", "is_column": True},
+    "STD_ORIGIN": {"value": "erp", "is_column": False},
+    "STD_EMPTY": {"value": "", "is_column": False},
+    "STD_ZERO": {"value": False, "is_column": False},
+}
+_STD_CUSTOMER_SQL = """SELECT c_custkey AS STD_ID, c_name AS STD_NAME, c_acctbal AS STD_BALANCE,
+        'crm' AS STD_ORIGIN, CAST(NULL AS VARCHAR) AS STD_EMPTY, CAST(NULL AS VARCHAR) AS STD_ZERO
+    FROM customer"""
+_STD_SUPPLIER_SQL = """SELECT s_suppkey AS STD_ID, s_name AS STD_NAME, s_acctbal AS STD_BALANCE,
+        'erp' AS STD_ORIGIN, CAST(NULL AS VARCHAR) AS STD_EMPTY, CAST(NULL AS VARCHAR) AS STD_ZERO
+    FROM supplier"""
+
+
+@register("standardize", _STD_CUSTOMER_SQL)
+def q_standardize(spark, sf_dir):
+    from ..operators.reshape import standardize
+
+    return standardize(table(spark, sf_dir, "customer"), _STD_CUSTOMER)
+
+
+@register("standardized_union", f"{_STD_CUSTOMER_SQL} UNION ALL {_STD_SUPPLIER_SQL}")
+def q_standardized_union(spark, sf_dir):
+    from ..operators.reshape import standardize, union_all
+    from ..sinks.writers import create_view
+
+    parts = [
+        standardize(table(spark, sf_dir, "customer"), _STD_CUSTOMER),
+        standardize(table(spark, sf_dir, "supplier"), _STD_SUPPLIER),
+    ]
+    create_view(union_all(parts), "standardized_all")
+    return spark.table("standardized_all")
+
+
+@register(
+    "concat_by_name",
+    """SELECT c_custkey AS key, c_name AS name, c_acctbal AS acctbal, c_mktsegment AS segment
+       FROM customer
+       UNION ALL BY NAME
+       SELECT s_suppkey AS key, s_name AS name, s_acctbal AS acctbal, s_nationkey AS nationkey
+       FROM supplier""",
+)
+def q_concat_by_name(spark, sf_dir):
+    from ..operators.reshape import concat_by_name
+
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"),
+    )
+    s = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey"),
+    )
+    return concat_by_name([c, s])
+
+
+# ---------------------------------------------------------------- filters
+
+@register(
+    "filter_by_params",
+    "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'",
+)
+def q_filter_by_params(spark, sf_dir):
+    from ..operators.filters import filter_by_params
+
+    return filter_by_params(
+        table(spark, sf_dir, "orders"),
+        [{"key": "o_orderstatus", "value": "F"}, {"key": "o_orderpriority", "value": "1-URGENT"}],
+    )
+
+
+@register(
+    "exclude_by_params",
+    "SELECT * FROM orders WHERE NOT COALESCE(o_orderstatus = 'P' AND o_orderpriority = '5-LOW', false)",
+)
+def q_exclude_by_params(spark, sf_dir):
+    from ..operators.filters import exclude_by_params
+
+    return exclude_by_params(
+        table(spark, sf_dir, "orders"),
+        [{"key": "o_orderstatus", "value": "P"}, {"key": "o_orderpriority", "value": "5-LOW"}],
+    )
+
+
+# ---------------------------------------------------------------- merge
+
+def _merge_source_sql() -> str:
+    return """
+    SELECT c_custkey, c_nationkey, c_acctbal + 100 AS c_acctbal, 'UPDATED' AS c_mktsegment
+        FROM customer WHERE c_nationkey = 1
+    UNION ALL
+    SELECT c_custkey, c_nationkey, c_acctbal + 200 AS c_acctbal, 'UPDATED' AS c_mktsegment
+        FROM customer WHERE c_nationkey = 1
+    UNION ALL
+    SELECT c_custkey + 1000000000 AS c_custkey, c_nationkey, c_acctbal, 'NEW' AS c_mktsegment
+        FROM customer WHERE c_nationkey = 2
+    UNION ALL
+    SELECT c_custkey + 1000000000 AS c_custkey, c_nationkey, c_acctbal, 'NEW' AS c_mktsegment
+        FROM customer WHERE c_nationkey = 2
+    UNION ALL
+    SELECT CAST(NULL AS BIGINT) AS c_custkey, c_nationkey, c_acctbal, 'NULLKEY' AS c_mktsegment
+        FROM customer WHERE c_nationkey = 3
+    UNION ALL
+    SELECT c_custkey, c_nationkey, c_acctbal, CAST(NULL AS STRING) AS c_mktsegment
+        FROM customer WHERE c_nationkey = 4"""
+
+
+_MERGE_SQL = f"""
+WITH src AS ({_merge_source_sql()}),
+winners AS (
+    SELECT * FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey
+            ORDER BY c_nationkey DESC NULLS LAST, c_acctbal DESC NULLS LAST, c_mktsegment DESC NULLS LAST) AS rn
+        FROM src WHERE c_custkey IS NOT NULL) t WHERE rn = 1
+)
+SELECT t.c_custkey, t.c_name,
+       CASE WHEN w.c_custkey IS NOT NULL THEN w.c_nationkey ELSE t.c_nationkey END AS c_nationkey,
+       CASE WHEN w.c_custkey IS NOT NULL THEN w.c_acctbal ELSE t.c_acctbal END AS c_acctbal,
+       CASE WHEN w.c_custkey IS NOT NULL THEN w.c_mktsegment ELSE t.c_mktsegment END AS c_mktsegment
+FROM customer t LEFT JOIN winners w ON t.c_custkey = w.c_custkey
+UNION ALL
+SELECT s.c_custkey, CAST(NULL AS VARCHAR) AS c_name, s.c_nationkey, s.c_acctbal, s.c_mktsegment
+FROM src s WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey = s.c_custkey)
+"""
+
+
+@register("merge_upsert", _MERGE_SQL)
+def q_merge_upsert(spark, sf_dir):
+    from ..operators.merge import merge_upsert
+
+    customer = table(spark, sf_dir, "customer")
+    customer.createOrReplaceTempView("customer")
+    source = spark.sql(_merge_source_sql())
+    return merge_upsert(customer, source, ["c_custkey"], ["c_custkey"])
+
+
+@register("merge_upsert_shuffled", _MERGE_SQL)
+def q_merge_upsert_shuffled(spark, sf_dir):
+    """Same merge with the broadcast path disabled (the large-source plan)."""
+    from ..operators.merge import merge_upsert
+
+    customer = table(spark, sf_dir, "customer")
+    customer.createOrReplaceTempView("customer")
+    source = spark.sql(_merge_source_sql())
+    return merge_upsert(customer, source, ["c_custkey"], ["c_custkey"], broadcast_rows=0)
+
+
+# ---------------------------------------------------------------- SQL source
+
+_SQL_TEMPLATE = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderstatus = {{status}} AND o_totalprice >= {{ min_price }}"""
+
+
+@register(
+    "sql_params",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+       WHERE o_orderstatus = 'O' AND o_totalprice >= 100000""",
+)
+def q_sql_params(spark, sf_dir):
+    from ..sources.tables import read_sql
+
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return read_sql(
+        spark,
+        _SQL_TEMPLATE,
+        parameters=[{"key": "status", "value": "O"}, {"key": "min_price", "value": 100000}],
+    )
