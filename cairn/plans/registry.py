@@ -604,3 +604,425 @@ def q_sql_params(spark, sf_dir):
         _SQL_TEMPLATE,
         parameters=[{"key": "status", "value": "O"}, {"key": "min_price", "value": 100000}],
     )
+
+
+# ---------------------------------------------------------------- incremental loads
+
+_MARK = "2024-01-15T00:00:00Z"
+
+
+@register("incremental_filter", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'")
+def q_incremental_filter(spark, sf_dir):
+    from ..streaming.watermark import incremental_filter
+
+    return incremental_filter(table(spark, sf_dir, "events"), "ts", _MARK)
+
+
+@register(
+    "incremental_filter_day",
+    "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
+)
+def q_incremental_filter_day(spark, sf_dir):
+    from ..streaming.watermark import incremental_filter
+
+    return incremental_filter(table(spark, sf_dir, "events"), "ts", "2024-01-15T13:45:10Z", floor_to_day=True)
+
+
+@register(
+    "incremental_filter_historical",
+    "SELECT * FROM events",
+)
+def q_incremental_filter_historical(spark, sf_dir):
+    from ..streaming.watermark import incremental_filter
+
+    return incremental_filter(table(spark, sf_dir, "events"), "ts", _MARK, is_historical=True)
+
+
+@register(
+    "next_watermark",
+    """SELECT strftime(MAX(ts), '%Y-%m-%dT%H:%M:%SZ') AS last_update,
+              COUNT(ts) AS values_seen, CAST(0 AS BIGINT) AS values_unparsed
+       FROM events""",
+)
+def q_next_watermark(spark, sf_dir):
+    from ..streaming.watermark import next_watermark
+
+    return next_watermark(table(spark, sf_dir, "events"), "ts")
+
+
+def _events_as_text_spark(ev):
+    """Events with the timestamp rendered as text in layouts that depend on the
+    event type (ISO with offset, the extraction layouts, and junk)."""
+    t = F.col("ts")
+    return ev.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        F.col("value").cast("string").alias("value_text"),
+        F.when(F.col("event_type") == "click", F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+        .when(F.col("event_type") == "view", F.date_format(t, "yyyy-MM-dd'T'HHmmss"))
+        .when(F.col("event_type") == "error", F.date_format(t, "dd/MM/yyyy HH:mm"))
+        .when(F.col("event_type") == "purchase", F.date_format(t, "yyyy-MM-dd"))
+        .otherwise(F.lit("not a date"))
+        .alias("ts_text"),
+    )
+
+
+_EVENTS_AS_TEXT_SQL = """SELECT event_id, user_id, event_type, CAST(value AS VARCHAR) AS value_text,
+    CASE event_type
+        WHEN 'click' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+        WHEN 'view' THEN strftime(ts, '%Y-%m-%dT%H%M%S')
+        WHEN 'error' THEN strftime(ts, '%d/%m/%Y %H:%M')
+        WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d')
+        ELSE 'not a date' END AS ts_text
+    FROM events"""
+
+_PARSE_TS_SQL = """COALESCE(
+        try_strptime(ts_text, '%Y-%m-%dT%H%M%S.%f'),
+        try_strptime(ts_text, '%Y-%m-%d %H:%M:%S'),
+        try_strptime(ts_text, '%d/%m/%Y %H:%M'),
+        try_strptime(ts_text, '%Y-%m-%d'),
+        try_strptime(ts_text, '%Y-%m-%dT%H%M%S'))"""
+
+
+@register(
+    "next_watermark_day",
+    f"""SELECT strftime(date_trunc('day', MAX({_PARSE_TS_SQL})), '%Y-%m-%dT%H:%M:%SZ') AS last_update,
+               COUNT(ts_text) AS values_seen,
+               COUNT(*) FILTER (WHERE ts_text IS NOT NULL AND {_PARSE_TS_SQL} IS NULL) AS values_unparsed
+        FROM ({_EVENTS_AS_TEXT_SQL}) t""",
+)
+def q_next_watermark_day(spark, sf_dir):
+    from ..functions.timestamps import EXTRACTION_FORMATS
+    from ..streaming.watermark import next_watermark
+
+    text = _events_as_text_spark(table(spark, sf_dir, "events"))
+    return next_watermark(text, "ts_text", formats=EXTRACTION_FORMATS, floor="day")
+
+
+@register(
+    "coerce_schema",
+    f"""SELECT TRY_CAST(event_id AS BIGINT) AS event_id,
+               TRY_CAST(user_id AS TINYINT) AS user_id,
+               TRY_CAST(value_text AS DOUBLE) AS value,
+               {_PARSE_TS_SQL} AS ts,
+               event_type,
+               CAST(NULL AS VARCHAR) AS missing_col
+        FROM (SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+                     CASE WHEN event_type = 'signup' THEN value_text || 'x' ELSE value_text END AS value_text,
+                     ts_text, event_type
+              FROM ({_EVENTS_AS_TEXT_SQL}) a) t""",
+)
+def q_coerce_schema(spark, sf_dir):
+    from ..operators.coerce import coerce_schema
+
+    text = _events_as_text_spark(table(spark, sf_dir, "events")).select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.when(F.col("event_type") == "signup", F.concat(F.col("value_text"), F.lit("x")))
+        .otherwise(F.col("value_text"))
+        .alias("value_text"),
+        F.col("ts_text").alias("ts"),
+        "event_type",
+        F.lit("dropped").alias("undeclared"),
+    )
+    text = text.withColumnRenamed("value_text", "value")
+    return coerce_schema(
+        text,
+        {
+            "event_id": "int64",
+            "user_id": "int8",
+            "value": "float64",
+            "ts": "timestamp[ns]",
+            "event_type": "string",
+            "missing_col": "string",
+        },
+    )
+
+
+# ---------------------------------------------------------------- files, pages, objects
+
+def _scratch(spark, name: str) -> str:
+    """Scratch folder under the session's checkpoint folder (set here only when
+    the session has none, as in local runs)."""
+    from ..session import checkpoint_dir, scratch_path
+
+    if not checkpoint_dir(spark):
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-ckpt-"))
+    return scratch_path(spark, name)
+
+
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+_EVENT_ITEM_DDL = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
+
+def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50):
+    """Land events as shape-A API pages: ``{data: [...], meta: {total}}``, 50
+    records per page (page = event_id div 50, so a page never grows)."""
+    ev = table(spark, sf_dir, "events")
+    if predicate is not None:
+        ev = ev.filter(predicate)
+    pages = ev.groupBy(F.floor(F.col("event_id") / page_size).alias("page")).agg(
+        F.collect_list(F.struct(*[F.col(c) for c in ev.columns])).alias("data")
+    )
+    n = ev.count()  # the listing total an API would report
+    pages.select("data", F.struct(F.lit(n).cast("bigint").alias("total")).alias("meta")).write.mode(
+        "overwrite"
+    ).option("timestampNTZFormat", JSON_TS_FORMAT).json(path)
+    return n
+
+
+@register("read_pages", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_read_pages(spark, sf_dir):
+    from ..sources.pages import read_pages
+
+    path = _scratch(spark, "pages")
+    _land_event_pages(spark, sf_dir, path)
+    return read_pages(spark, path, items="data", item_schema=_EVENT_ITEM_DDL)
+
+
+@register(
+    "page_completeness",
+    "SELECT COUNT(*) AS records, COUNT(*) AS expected, true AS complete FROM events",
+)
+def q_page_completeness(spark, sf_dir):
+    from ..sources.pages import page_completeness_a
+
+    path = _scratch(spark, "pages")
+    _land_event_pages(spark, sf_dir, path)
+    pages = spark.read.schema(
+        f"data ARRAY<STRUCT<{_EVENT_ITEM_DDL}>>, meta STRUCT<total: BIGINT>"
+    ).json(path)
+    return page_completeness_a(pages)
+
+
+@register(
+    "write_by_date_roundtrip",
+    """SELECT CAST(ts AS DATE) AS extract_date, COUNT(*) AS events,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_sum
+       FROM events GROUP BY 1""",
+)
+def q_write_by_date_roundtrip(spark, sf_dir):
+    from ..sinks.writers import write_by_date
+
+    path = _scratch(spark, "bydate")
+    write_by_date(table(spark, sf_dir, "events"), path, "ts")
+    back = spark.read.parquet(path)
+    return back.groupBy("extract_date").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_sum"),
+    )
+
+
+_CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
+
+@register("csv_roundtrip", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, sf_dir):
+    from ..sources.files import read_file
+
+    path = _scratch(spark, "csv")
+    table(spark, sf_dir, "customer").write.option("sep", ";").option("header", "true").csv(path)
+    return read_file(spark, path, "csv", delimiter=";", header=True, schema=_CUSTOMER_DDL)
+
+
+@register("csv_infer_roundtrip", "SELECT * FROM customer")
+def q_csv_infer_roundtrip(spark, sf_dir):
+    """Schema inferred from the file (no schema given), then aligned to the table."""
+    from ..operators.merge import align_to_schema
+    from ..sources.files import read_file
+
+    src = table(spark, sf_dir, "customer")
+    path = _scratch(spark, "csv")
+    src.write.option("sep", "|").option("header", "true").csv(path)
+    return align_to_schema(read_file(spark, path, "csv", delimiter="|"), src.schema)
+
+
+@register("json_roundtrip", "SELECT * FROM customer")
+def q_json_roundtrip(spark, sf_dir):
+    from ..operators.merge import align_to_schema
+    from ..sources.files import read_file
+
+    src = table(spark, sf_dir, "customer")
+    path = _scratch(spark, "json")
+    src.write.json(path)
+    return align_to_schema(read_file(spark, path, "json"), src.schema)
+
+
+@register("append_table", "SELECT * FROM events UNION ALL SELECT * FROM events")
+def q_append_table(spark, sf_dir):
+    from ..sinks.writers import save_table
+
+    path = _scratch(spark, "append")
+    ev = table(spark, sf_dir, "events")
+    save_table(ev, path=path, mode="append")
+    save_table(ev, path=path, mode="append")
+    return spark.read.parquet(path)
+
+
+@register(
+    "objects_roundtrip",
+    """SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS file_name,
+              CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes,
+              text AS content
+       FROM documents""",
+)
+def q_objects_roundtrip(spark, sf_dir):
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_objects
+
+    root = _scratch(spark, "objects")
+    docs = table(spark, sf_dir, "documents")
+    objects = docs.select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("file_name"),
+        F.col("text").alias("file_content"),
+    )
+    write_objects(objects, root, file_extension="txt")
+    back = read_objects(spark, root)
+    return back.select(
+        "file_name",
+        F.length("file_content").cast("bigint").alias("n_bytes"),
+        F.decode(F.col("file_content"), "UTF-8").alias("content"),
+    )
+
+
+@register(
+    "objects_to_rows",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
+)
+def q_objects_to_rows(spark, sf_dir):
+    """Records carried inside objects (JSON arrays of 100 orders each) -> rows."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import objects_to_rows, read_objects
+
+    root = _scratch(spark, "records")
+    o = table(spark, sf_dir, "orders")
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    objects = o.groupBy(F.floor(F.col("o_orderkey") / 100).alias("b")).agg(
+        F.to_json(F.collect_list(F.struct(*cols))).alias("file_content")
+    ).select(F.concat(F.lit("orders_"), F.col("b").cast("string")).alias("file_name"), "file_content")
+    write_objects(objects, root, file_extension="json")
+    return objects_to_rows(
+        read_objects(spark, root),
+        "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderstatus STRING",
+    )
+
+
+@register("ingest_stream", "SELECT * FROM events")
+def q_ingest_stream(spark, sf_dir):
+    """Two landings that overlap by a day (inclusive re-read) -> one stream run ->
+    the target holds every event exactly once."""
+    from pyspark.sql.types import StructType
+
+    from ..streaming.ingest import ingest_stream, read_current
+
+    base = _scratch(spark, "stream")
+    landing = f"{base}/landing"
+    _land_event_pages(spark, sf_dir, f"{landing}/batch1", F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    _land_event_pages(spark, sf_dir, f"{landing}/batch2", F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    item_schema = StructType.fromDDL(_EVENT_ITEM_DDL)
+    q = ingest_stream(
+        spark,
+        f"{landing}/*",
+        item_schema,
+        target=f"{base}/target",
+        checkpoint=f"{base}/checkpoint",
+        keys=["event_id"],
+        max_files_per_trigger=4,
+    )
+    q.awaitTermination()
+    return read_current(spark, f"{base}/target")
+
+
+# ---------------------------------------------------------------- text
+
+_HTML_SQL = """trim(regexp_replace(
+    replace(replace(replace(replace(replace(replace(replace(replace(replace(
+    regexp_replace(
+      regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+        '(?s)<!--.*?-->', ' ', 'g'),
+        '(?is)<script\\b[^>]*>.*?</script\\s*>', ' ', 'g'),
+        '(?is)<style\\b[^>]*>.*?</style\\s*>', ' ', 'g'),
+        '(?is)<head\\b[^>]*>.*?</head\\s*>', ' ', 'g'),
+      '<[^>]*>', ' ', 'g'),
+    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
+    '&apos;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+  '[ \\t\\r\\n\\f]+', ' ', 'g'))"""
+
+
+@register("extract_text", f"SELECT page_id, url, {_HTML_SQL} AS text FROM pages")
+def q_extract_text(spark, sf_dir):
+    from ..operators.text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"), "html", "text").drop("html")
+
+
+# ---------------------------------------------------------------- user code and chains
+
+def _long_docs(pdf):
+    """User transformation over a pandas batch: keep long documents, add a column."""
+    out = pdf[pdf["n_chars"] > 1000][["doc_id", "lang", "n_chars"]].copy()
+    out["lang_upper"] = out["lang"].str.upper()
+    return out[["doc_id", "lang_upper", "n_chars"]]
+
+
+@register(
+    "apply_transformation",
+    "SELECT doc_id, upper(lang) AS lang_upper, n_chars FROM documents WHERE n_chars > 1000",
+)
+def q_apply_transformation(spark, sf_dir):
+    from .pipeline import apply_transformation
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return apply_transformation(docs, _long_docs, "doc_id BIGINT, lang_upper STRING, n_chars BIGINT")
+
+
+@register(
+    "run_pipeline",
+    """SELECT o_orderkey AS order_key, o_custkey AS customer, o_totalprice,
+              lower(o_orderpriority) AS o_orderpriority
+       FROM orders WHERE o_orderstatus = 'F'""",
+)
+def q_run_pipeline(spark, sf_dir):
+    from .pipeline import run_pipeline
+
+    steps = [
+        {"step": "read_file", "params": {"path": f"{sf_dir.rstrip('/')}/orders.parquet", "fmt": "parquet"},
+         "output": "orders"},
+        {"step": "filter_by_params", "input": "orders",
+         "params": {"params": [{"key": "o_orderstatus", "value": "F"}]}, "output": "finished"},
+        {"step": "text_transform", "input": "finished",
+         "params": {"transformations": [{"column_name": "o_orderpriority", "transformation_to_apply": "lower"}]},
+         "output": "lowered"},
+        {"step": "remove_columns", "input": "lowered",
+         "params": {"columns": ["o_orderdate", "o_orderstatus"]}, "output": "slim"},
+        {"step": "rename_columns", "input": "slim",
+         "params": {"renames": [{"column_name": "o_orderkey", "new_column_name": "order_key"},
+                                {"column_name": "o_custkey", "new_column_name": "customer"}]},
+         "output": "result"},
+    ]
+    return run_pipeline(spark, steps)["result"]
+
+
+@register(
+    "rfm_pipeline",
+    f"SELECT CUSTOMER_TYPE, COUNT(*) AS customers FROM ({_RFM_REFERENCE_SQL}) r GROUP BY CUSTOMER_TYPE",
+)
+def q_rfm_pipeline(spark, sf_dir):
+    """The flagship as a declarative chain: read -> rfm_analysis -> segment sizes."""
+    from .pipeline import run_pipeline
+
+    steps = [
+        {"step": "read_table", "params": {"name": f"{sf_dir.rstrip('/')}/orders.parquet"}, "output": "orders"},
+        {"step": "rfm_analysis", "input": "orders",
+         "params": {"customer": "o_custkey", "date": "o_orderdate", "amount": "o_totalprice",
+                    "as_of": AS_OF, "tiebreak": "o_orderkey"},
+         "output": "rfm"},
+    ]
+    rfm = run_pipeline(spark, steps)["rfm"]
+    return rfm.groupBy("CUSTOMER_TYPE").agg(F.count(F.lit(1)).alias("customers"))

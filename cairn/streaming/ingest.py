@@ -17,11 +17,13 @@ replace the snapshot rewrite.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
 
 COMMITS_SCHEMA = StructType(
@@ -61,6 +63,12 @@ def upsert_batch(
     """Merge one micro-batch into the target and commit a new snapshot."""
     spark = batch.sparkSession
     target = target.rstrip("/")
+    # a batch may carry one record twice (overlapping landings): keep one per key;
+    # rows with a NULL key can match nothing and all pass through
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    batch = latest_per_key(batch, keys, order_by or [], keep_null_keys=False).unionByName(
+        batch.filter(any_null)
+    )
     prev = _last_commit(spark, target, before=epoch)
     if prev is None:
         new_state = merge_upsert(batch.limit(0), batch, keys, keys, order_by)
