@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -20,13 +21,47 @@ EXTRACTION_FORMATS = [
 ISO_UTC_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+_DIGIT_LETTERS = set("yMdHhmsS")
+
+
+def pattern_shape(fmt: str) -> str:
+    """Regex of the text a datetime pattern can produce: pattern letters are digits,
+    quoted text and other characters are literal. Used as a cheap guard so the
+    parser only sees candidates (a failed parse costs an exception per row)."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:j]) if j > i + 1 else "'")
+            i = j + 1
+            continue
+        if ch in _DIGIT_LETTERS:
+            j = i
+            while j < len(fmt) and fmt[j] == ch:
+                j += 1
+            n = j - i
+            out.append(r"\d{%d}" % n if ch == "y" and n > 2 else r"\d{1,%d}" % max(n, 2))
+            i = j
+            continue
+        if ch in "[]":  # optional section
+            out.append("(?:" if ch == "[" else ")?")
+            i += 1
+            continue
+        out.append(re.escape(ch))
+        i += 1
+    return "^" + "".join(out) + "$"
+
+
 def parse_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
     """First format that parses wins; NULL when none does (never raises).
 
     Without formats: ISO-8601 text, an offset or ``Z`` converted to UTC."""
     if not formats:
         return F.try_to_timestamp(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(
+        *[F.when(c.rlike(pattern_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats]
+    )
 
 
 def parse_timestamp_ntz(c: Column, formats: Sequence[str] | None = None) -> Column:

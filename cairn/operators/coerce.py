@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.names import quote
 from ..functions.timestamps import EXTRACTION_FORMATS, parse_timestamp
 
+ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
 # Declared type names and the Spark type each one maps to.
 TYPE_MAP = {
     "int64": "bigint",
@@ -53,10 +55,7 @@ def coerce_schema(
                 e = c.cast("timestamp_ntz")
             else:
                 text = F.trim(c.cast("string"))
-                e = F.coalesce(
-                    F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")),
-                    parse_timestamp(text, fmts),
-                ).cast("timestamp_ntz")
+                e = parse_timestamp(text, [ISO_LOCAL] + fmts).cast("timestamp_ntz")
         elif target == "string":
             e = c.cast("string")
         else:
