@@ -62,26 +62,66 @@ def _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema) -> D
     return r.csv(kept.select("value").rdd.map(lambda row: row[0]))
 
 
-def read_objects(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """All objects under a folder/prefix (S3): ``key``, ``file_name``, ``file_content``.
-
-    ``file_name`` is the last path segment cut at its first dot."""
+def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:
+    """Paths of zero-length files under ``root`` (Spark's file sources skip them).
+
+    A metadata-only listing through the Hadoop file system the session uses."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return []
+    it = fs.listFiles(path, recursive)
+    out = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if st.getLen() == 0 and not name.startswith(("_", ".")):
+            out.append(st.getPath().toString())
+    return out
+
+
+def _binary_files(spark: SparkSession, root: str, recursive: bool, include_empty: bool) -> DataFrame:
+    """``path``, ``content`` of every file under ``root``; zero-length files, which
+    Spark's file sources skip, are added back unless ``include_empty=False`` (that
+    listing walks the prefix on the driver, metadata only)."""
     df = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(root)
+        .select("path", "content")
     )
-    base = df.select(F.col("path").alias("key"), F.col("content").alias("file_content"))
+    if include_empty:
+        empty = _empty_files(spark, root, recursive)
+        if empty:
+            df = df.unionByName(
+                spark.createDataFrame([(p, bytearray()) for p in empty], "path STRING, content BINARY")
+            )
+    return df
+
+
+def read_objects(
+    spark: SparkSession, root: str, recursive: bool = True, include_empty: bool = True
+) -> DataFrame:
+    """All objects under a folder/prefix (S3): ``key``, ``file_name``, ``file_content``.
+
+    ``file_name`` is the last path segment cut at its first dot."""
+    base = _binary_files(spark, root, recursive, include_empty)
     return base.select(
-        "key",
-        F.substring_index(F.substring_index(F.col("key"), "/", -1), ".", 1).alias("file_name"),
-        "file_content",
+        F.col("path").alias("key"),
+        F.substring_index(F.substring_index(F.col("path"), "/", -1), ".", 1).alias("file_name"),
+        F.col("content").alias("file_content"),
     )
 
 
-def read_folder(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
-    """Files directly in one folder (S4): ``file_name`` kept whole, ``file_content``."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
+def read_folder(
+    spark: SparkSession, folder: str, limit: int | None = None, include_empty: bool = True
+) -> DataFrame:
+    """Files directly in one folder (S4): ``file_name`` kept whole, ``file_content``.
+
+    No cap unless ``limit`` is given."""
+    df = _binary_files(spark, folder, False, include_empty)
     out = df.select(
         F.substring_index(F.col("path"), "/", -1).alias("file_name"),
         F.col("content").alias("file_content"),

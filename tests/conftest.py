@@ -11,7 +11,13 @@ sys.path.insert(0, ROOT)
 def spark():
     from cairn.session import local_session
 
-    s = local_session(master="local[4]", shuffle_partitions=4, app_name="cairn-tests")
+    import tempfile
+
+    wh = tempfile.mkdtemp(prefix="cairn-wh-")
+    s = local_session(
+        master="local[4]", shuffle_partitions=4, app_name="cairn-tests",
+        extra={"spark.sql.warehouse.dir": wh},
+    )
     yield s
     s.stop()
 
