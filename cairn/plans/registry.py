@@ -33,6 +33,10 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table. Registered queries are defined in UTC (ISO marks with
+    ``Z`` and offsets), so the session time zone is pinned to UTC here."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -22,6 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordering import packed_order
 from ..operators.ranking import distributed_ntile
 
 MONEY = "decimal(18,2)"
@@ -95,12 +96,20 @@ def rfm_base(
     if window not in ("reference", "as_of"):
         raise ValueError("window must be 'reference' or 'as_of'")
     as_of_d = _as_of_col(as_of)
+    types = dict(df.dtypes)
     tb = F.col(tiebreak) if tiebreak else F.col(amount).cast(MONEY)
+    # latest row = greatest (date, tiebreak); packed into one decimal when possible
+    # so the aggregate stays hash-based (see functions/ordering.py)
+    packed = packed_order(
+        F.col(date), types[date], F.col(tiebreak) if tiebreak else None,
+        types[tiebreak] if tiebreak else None,
+    )
+    latest_key = packed if packed is not None else F.struct(F.col(date), tb)
     txn = df.select(
         F.col(customer).alias("CUSTOMER_ID"),
         F.col(date).alias("_d"),
         F.col(amount).cast(MONEY).alias("_amt"),
-        tb.alias("_tb"),
+        F.when(F.col(date).isNotNull(), latest_key).alias("_ord"),
     ).filter(F.col("_d").isNotNull())
     if window == "reference":
         model_rows = F.lit(True)
@@ -118,7 +127,7 @@ def rfm_base(
         F.max("_d").alias("LASTBUY"),
         F.count("CUSTOMER_ID").alias("FREQUENCY"),
         F.sum("_amt").cast(MONEY_SUM).alias("MONETARY"),
-        F.max_by(recent(F.col("_amt")), recent(F.struct("_d", "_tb"))).alias("AMOUNT_LAST_40D"),
+        F.max_by(recent(F.col("_amt")), recent(F.col("_ord"))).alias("AMOUNT_LAST_40D"),
         F.sum(recent(F.col("_amt"))).cast(MONEY_SUM).alias("TOTAL_MONETARY_40D"),
         F.count(recent(F.col("_amt"))).alias("_n40"),
         F.stddev_pop(recent(amt_d)).alias("_std40"),
