@@ -7,10 +7,12 @@ computed columns carry the same names on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from .rfm import rfm_analysis, rfm_segment_counts
 
@@ -22,9 +24,30 @@ ORACLES: dict[str, str] = {}
 AS_OF = "2001-08-02"
 
 
+def money_as_double(df: DataFrame) -> DataFrame:
+    """Decimal result columns as DOUBLE, so results compare the same whichever way
+    a client converts them (exact decimal -> nearest double on both engines)."""
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(
+        *[
+            F.col(f"`{f.name}`").cast("double").alias(f.name)
+            if isinstance(f.dataType, DecimalType)
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
 def register(name: str, sql: str | None = None):
+    """Register a query (money columns returned as DOUBLE) and its oracle."""
+
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return money_as_double(fn(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -64,7 +87,7 @@ _RFM_SEGMENT_SQL = """
     END"""
 
 
-def _rfm_oracle(model_filter: str, recent_filter: str) -> str:
+def _rfm_oracle(model_filter: str, recent_filter: str, money: str = "DOUBLE") -> str:
     return f"""
 WITH txn AS (
     SELECT o_custkey AS CUSTOMER_ID, o_orderdate AS d,
@@ -102,11 +125,13 @@ last_transactions AS (
         FROM txn WHERE {recent_filter}
     ) t WHERE rn = 1
 )
-SELECT model.CUSTOMER_ID, LASTBUY, RECENCY, FREQUENCY, MONETARY,
+SELECT model.CUSTOMER_ID, LASTBUY, RECENCY, FREQUENCY, CAST(MONETARY AS {money}) AS MONETARY,
        MONETARY_SCORE, FREQUENCY_SCORE, RECENCY_SCORE,
        CAST(m AS DOUBLE) AS mean_monetary_frequency,
        {_RFM_SEGMENT_SQL} AS CUSTOMER_TYPE,
-       AMOUNT_LAST_40D, TOTAL_MONETARY_40D, MEAN_MONETARY_40D, STD_MONETARY_40D
+       CAST(AMOUNT_LAST_40D AS {money}) AS AMOUNT_LAST_40D,
+       CAST(TOTAL_MONETARY_40D AS {money}) AS TOTAL_MONETARY_40D,
+       MEAN_MONETARY_40D, STD_MONETARY_40D
 FROM model LEFT JOIN last_transactions ON model.CUSTOMER_ID = last_transactions.CUSTOMER_ID
 """
 
@@ -140,8 +165,10 @@ def q_rfm_analysis(spark, sf_dir):
 @register(
     "rfm_segment_counts",
     f"""SELECT CUSTOMER_TYPE, RECENCY_SCORE, COUNT(*) AS customers,
-               CAST(SUM(MONETARY) AS DECIMAL(38,2)) AS monetary
-        FROM ({_RFM_REFERENCE_SQL}) r GROUP BY CUSTOMER_TYPE, RECENCY_SCORE""",
+               CAST(SUM(MONETARY) AS DOUBLE) AS monetary
+        FROM ({_rfm_oracle("d >= LAST_DAY(d) - INTERVAL 1 YEAR", "d >= LAST_DAY(d) - INTERVAL 40 DAY",
+                           "DECIMAL(38,2)")}) r
+        GROUP BY CUSTOMER_TYPE, RECENCY_SCORE""",
 )
 def q_rfm_segment_counts(spark, sf_dir):
     return rfm_segment_counts(_orders_rfm(spark, sf_dir))
@@ -156,7 +183,7 @@ def q_rfm_as_of_window(spark, sf_dir):
 
 @register(
     "ntile_distributed",
-    """SELECT l_partkey, revenue,
+    """SELECT l_partkey, CAST(revenue AS DOUBLE) AS revenue,
               CAST(NTILE(10) OVER (ORDER BY revenue ASC NULLS LAST, l_partkey ASC) AS INTEGER) AS revenue_decile
        FROM (SELECT l_partkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
              FROM lineitem GROUP BY l_partkey) t""",
@@ -186,7 +213,7 @@ def q_latest_per_key(spark, sf_dir):
 
 @register(
     "window_stats_per_key",
-    """SELECT user_id, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total,
+    """SELECT user_id, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
               CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS mean,
               ROUND(STDDEV_POP(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)), 4) AS std,
               COUNT(*) AS "rows"
@@ -203,7 +230,7 @@ def q_window_stats_per_key(spark, sf_dir):
 @register(
     "window_stats_per_row",
     """SELECT event_id, user_id,
-              CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id) AS DECIMAL(38,2)) AS user_sum,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id) AS DOUBLE) AS user_sum,
               COUNT(*) OVER (PARTITION BY user_id) AS user_rows
        FROM events""",
 )
@@ -807,8 +834,8 @@ def q_page_completeness(spark, sf_dir):
 
 @register(
     "write_by_date_roundtrip",
-    """SELECT CAST(ts AS DATE) AS extract_date, COUNT(*) AS events,
-              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_sum
+    """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS extract_date, COUNT(*) AS events,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
        FROM events GROUP BY 1""",
 )
 def q_write_by_date_roundtrip(spark, sf_dir):
@@ -817,7 +844,7 @@ def q_write_by_date_roundtrip(spark, sf_dir):
     path = _scratch(spark, "bydate")
     write_by_date(table(spark, sf_dir, "events"), path, "ts")
     back = spark.read.parquet(path)
-    return back.groupBy("extract_date").agg(
+    return back.groupBy(F.date_format("extract_date", "yyyy-MM-dd").alias("extract_date")).agg(
         F.count(F.lit(1)).alias("events"),
         F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_sum"),
     )
