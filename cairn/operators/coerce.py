@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import quote
+from ..session import spread
 from ..functions.timestamps import EXTRACTION_FORMATS, parse_timestamp
 
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -61,4 +62,4 @@ def coerce_schema(
         else:
             e = F.expr(f"try_cast({quote(src)} AS {target})")
         out.append(e.alias(name))
-    return df.select(*out)
+    return spread(df).select(*out)

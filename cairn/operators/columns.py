@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.names import quote
+from ..session import spread
 
 
 def _check_unique(names: Sequence[str], what: str) -> None:
@@ -143,6 +144,8 @@ def clean_strings(
             f.name for f in df.schema.fields
             if isinstance(f.dataType, StringType) and f.name.lower() not in skip
         ]
-    return df.withColumns(
+    if not columns:
+        return df
+    return spread(df).withColumns(
         {c: F.regexp_replace(F.col(quote(c)), ILLEGAL_CHARS_PATTERN, "") for c in columns}
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.names import dedupe_names, normalize_name, quote
+from ..session import spread
 
 log = logging.getLogger(__name__)
 
@@ -113,6 +114,7 @@ def flatten_columns(
     if missing:
         raise ValueError(f"columns not found: {missing}")
     names = [by_lower[c.lower()] for c in names]
+    df = spread(df)
 
     if keys is None:
         found, bad, seen = discover_keys(df, names)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import quote
+from ..session import spread
 
 # The clean-up rules, applied in this order.
 HTML_DROP_PATTERNS = [
@@ -49,4 +50,4 @@ def html_to_text(c: Column) -> Column:
 
 def extract_text(df: DataFrame, html_column: str = "html", out_column: str = "text") -> DataFrame:
     """Add ``out_column`` with the visible text of ``html_column``."""
-    return df.withColumn(out_column, html_to_text(F.col(quote(html_column))))
+    return spread(df).withColumn(out_column, html_to_text(F.col(quote(html_column))))

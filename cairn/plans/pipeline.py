@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import columns, filters, flatten, latest, merge, reshape, text
 from ..operators.coerce import coerce_schema
+from ..session import spread
 from ..sources import files, tables
 
 StepFn = Callable[..., object]
@@ -51,7 +52,7 @@ def apply_transformation(
         for pdf in batches:
             yield fn(pdf)
 
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)
 
 
 def run_pipeline(

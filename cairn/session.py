@@ -84,3 +84,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
     return kept
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy per-row
+    work (regexes, JSON parsing, casts, Python batches).
+
+    A scan yields one task per file split; a single large row group cannot be
+    split, so heavy work on it would run in one task. Only then is a round-robin
+    repartition added; inputs that are already spread (the normal case at scale)
+    are returned unchanged, without a shuffle."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

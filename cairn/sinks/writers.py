@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from ..functions.names import quote
+from ..session import materialize, spread
 
 
 def save_table(
@@ -141,10 +142,8 @@ def write_objects(
         content = F.col("file_content")
     else:
         content = F.to_json(F.col("file_content"))
-    src = objects.select("file_name", content.alias("file_content"))
+    src = spread(objects.select("file_name", content.alias("file_content")))
     result = src.mapInPandas(_object_writer(root, file_extension), WRITE_RESULT)
-    from ..session import materialize
-
     done = materialize(result, "objects")
     failed = done.filter(~F.col("ok")).limit(20).collect()
     if failed:

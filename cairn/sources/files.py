@@ -65,7 +65,28 @@ def _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema) -> D
 def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:
     """Paths of zero-length files under ``root`` (Spark's file sources skip them).
 
-    A metadata-only listing through the Hadoop file system the session uses."""
+    Metadata-only listing on the driver, as Spark's own file index does: a native
+    listing through pyarrow when it knows the scheme, else the Hadoop file system
+    of the session."""
+    try:
+        import pyarrow.fs as pafs
+
+        local = root[len("file:"):] if root.startswith("file:") else root
+        if "://" in local:
+            fs, base = pafs.FileSystem.from_uri(local)
+        else:
+            fs, base = pafs.LocalFileSystem(), "/" + local.lstrip("/")
+        infos = fs.get_file_info(pafs.FileSelector(base, recursive=recursive, allow_not_found=True))
+        scheme = root.split("://", 1)[0] + "://" if "://" in root else "file:"
+        return [
+            scheme + i.path if scheme != "file:" else "file:" + i.path
+            for i in infos
+            if i.type == pafs.FileType.File and i.size == 0
+            and not i.base_name.startswith(("_", "."))
+            and not any(part.startswith(("_", ".")) for part in i.path[len(base):].split("/")[:-1])
+        ]
+    except Exception:  # scheme unknown to pyarrow: Hadoop listing
+        pass
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -76,8 +97,7 @@ def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:
     out = []
     while it.hasNext():
         st = it.next()
-        name = st.getPath().getName()
-        if st.getLen() == 0 and not name.startswith(("_", ".")):
+        if st.getLen() == 0 and not st.getPath().getName().startswith(("_", ".")):
             out.append(st.getPath().toString())
     return out
 
