@@ -26,7 +26,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 
 _PID = "__cairn_pid"
 _POS = "__cairn_pos"
@@ -76,9 +76,22 @@ def global_row_number(
         F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1
     )
     numbered = stored.withColumn(out_col, offset_col + F.col(_POS) + 1).drop(_PID, _POS)
+    _LAST_STORED[id(numbered)] = stored
     return numbered, total
 
 
+# numbered frame -> the stored frame it reads (so chained passes can release it)
+_LAST_STORED: dict[int, DataFrame] = {}
+
+
+def release_ranking(df: DataFrame) -> None:
+    """Delete the stored pass behind a frame returned by ``distributed_ntile`` /
+    ``global_row_number`` once no plan reads it any more."""
+    stored = _LAST_STORED.pop(id(df), None)
+    if stored is not None:
+        release(stored)
+
+
 def ntile_of_row_number(rn: Column, total: int, buckets: int) -> Column:
     """NTILE bucket for 1-based row number ``rn`` among ``total`` rows."""
     q, r = divmod(total, buckets)
@@ -106,6 +119,8 @@ def distributed_ntile(
     numbered, total = global_row_number(df, order_by, rn_col, num_partitions)
     if total == 0:
         return numbered.withColumn(out_col, F.lit(None).cast("int")).drop(rn_col)
-    return numbered.withColumn(
+    out = numbered.withColumn(
         out_col, ntile_of_row_number(F.col(rn_col), total, buckets)
     ).drop(rn_col)
+    _LAST_STORED[id(out)] = _LAST_STORED.pop(id(numbered))
+    return out

@@ -782,7 +782,7 @@ def _scratch(spark, name: str) -> str:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-ckpt-"))
-    return scratch_path(spark, name)
+    return scratch_path(spark, name, remove_at_exit=True)
 
 
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import packed_order
-from ..operators.ranking import distributed_ntile
+from ..operators.ranking import distributed_ntile, release_ranking
 
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(38,2)"
@@ -170,15 +170,17 @@ def rfm_analysis(
     """
     base = rfm_base(df, customer, date, amount, as_of, tiebreak, window)
     cust = F.col("CUSTOMER_ID").asc_nulls_last()
-    scored = distributed_ntile(
+    m_scored = distributed_ntile(
         base, buckets, [F.col("MONETARY").asc_nulls_last(), cust], "MONETARY_SCORE", num_partitions
     )
-    scored = distributed_ntile(
-        scored, buckets, [F.col("FREQUENCY").asc_nulls_last(), cust], "FREQUENCY_SCORE", num_partitions
+    f_scored = distributed_ntile(
+        m_scored, buckets, [F.col("FREQUENCY").asc_nulls_last(), cust], "FREQUENCY_SCORE", num_partitions
     )
+    release_ranking(m_scored)  # the frequency pass has stored everything it needs
     scored = distributed_ntile(
-        scored, buckets, [F.col("RECENCY").desc_nulls_first(), cust], "RECENCY_SCORE", num_partitions
+        f_scored, buckets, [F.col("RECENCY").desc_nulls_first(), cust], "RECENCY_SCORE", num_partitions
     )
+    release_ranking(f_scored)
     mean_mf = (F.col("FREQUENCY_SCORE") + F.col("MONETARY_SCORE")) / 2
     return scored.select(
         "CUSTOMER_ID", "LASTBUY", "RECENCY", "FREQUENCY", "MONETARY",

@@ -8,6 +8,7 @@ sets a checkpoint folder, and only when none is configured.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -55,18 +56,29 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return conf.rstrip("/") if conf else None
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str, remove_at_exit: bool = False) -> str:
     """A fresh path under the session's checkpoint folder.
 
     Raises when no checkpoint folder is configured: scratch output must live on a
-    shared file system, never on one machine's disk.
+    shared file system, never on one machine's disk. ``remove_at_exit`` deletes
+    the folder when the Python process ends.
     """
     base = checkpoint_dir(spark)
     if not base:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder for scratch output"
         )
-    return f"{base}/cairn/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/cairn/{name}-{uuid.uuid4().hex}"
+    if remove_at_exit:
+        _SCRATCH.append((spark, path))
+    return path
+
+
+# stored intermediates of this process: id(DataFrame) -> (path or None, DataFrame)
+_STORED: dict[int, tuple[str | None, DataFrame]] = {}
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -74,18 +86,75 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     With a checkpoint folder: written as parquet there (survives executor loss,
     lineage cut, later reads are column-pruned). Without: persisted to memory and
-    disk (recomputed from lineage if blocks are lost).
+    disk (recomputed from lineage if blocks are lost). Call ``release`` once no
+    plan needs it; whatever is left is removed when the Python process exits.
     """
     spark = df.sparkSession
     if checkpoint_dir(spark):
         path = scratch_path(spark, name)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        out = spark.read.parquet(path)
+        _STORED[id(out)] = (path, out)
+        return out
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
+    _STORED[id(kept)] = (None, kept)
     return kept
 
 
+def _delete(spark: SparkSession | None, path: str) -> None:
+    try:
+        if spark is not None:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            return
+    except Exception:  # JVM gone: try a native delete below
+        pass
+    try:
+        import pyarrow.fs as pafs
+
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if "://" in local:
+            fs, base = pafs.FileSystem.from_uri(local)
+        else:
+            fs, base = pafs.LocalFileSystem(), local
+        fs.delete_dir(base)
+    except Exception:
+        pass
+
+
+def release(df: DataFrame) -> None:
+    """Drop what ``materialize`` stored for ``df`` (no-op for other frames)."""
+    entry = _STORED.pop(id(df), None)
+    if entry is None:
+        return
+    path, kept = entry
+    if path is None:
+        kept.unpersist()
+    else:
+        _delete(kept.sparkSession, path)
+
+
+@atexit.register
+def _release_all() -> None:
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            alive = spark.sparkContext._jsc is not None
+        except Exception:
+            alive = False
+        _delete(spark if alive else None, path)
+    for key in list(_STORED):
+        path, kept = _STORED.pop(key)
+        if path is not None:
+            try:
+                spark = kept.sparkSession if kept.sparkSession.sparkContext._jsc else None
+            except Exception:
+                spark = None
+            _delete(spark, path)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread rows over at least ``min_partitions`` tasks before CPU-heavy per-row
     work (regexes, JSON parsing, casts, Python batches).
