@@ -946,27 +946,20 @@ def q_objects_to_rows(spark, sf_dir):
 
 @register("ingest_stream", "SELECT * FROM events")
 def q_ingest_stream(spark, sf_dir):
-    """Two landings that overlap by a day (inclusive re-read) -> one stream run ->
-    the target holds every event exactly once."""
+    """Two scheduled runs over landings that overlap by a day (the inclusive
+    re-read): the target holds every event exactly once."""
     from pyspark.sql.types import StructType
 
     from ..streaming.ingest import ingest_stream, read_current
 
     base = _scratch(spark, "stream")
     landing = f"{base}/landing"
-    _land_event_pages(spark, sf_dir, f"{landing}/batch1", F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    _land_event_pages(spark, sf_dir, f"{landing}/batch2", F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
     item_schema = StructType.fromDDL(_EVENT_ITEM_DDL)
-    q = ingest_stream(
-        spark,
-        f"{landing}/*",
-        item_schema,
-        target=f"{base}/target",
-        checkpoint=f"{base}/checkpoint",
-        keys=["event_id"],
-        max_files_per_trigger=4,
-    )
-    q.awaitTermination()
+    run = dict(target=f"{base}/target", checkpoint=f"{base}/checkpoint", keys=["event_id"])
+    _land_event_pages(spark, sf_dir, f"{landing}/run1", F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    ingest_stream(spark, f"{landing}/*", item_schema, **run).awaitTermination()
+    _land_event_pages(spark, sf_dir, f"{landing}/run2", F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    ingest_stream(spark, f"{landing}/*", item_schema, **run).awaitTermination()
     return read_current(spark, f"{base}/target")
 
 

@@ -53,10 +53,22 @@ def _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema) -> D
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_i"),
     )
+    # one row per file (bounded by the file count) -> broadcast
     firsts = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
     kept = lines.join(F.broadcast(firsts), "_f", "left").filter(
         (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + skip_lines)
     )
+    if schema is not None:
+        # JVM only: drop each file's header line, parse the rest with from_csv
+        body = kept
+        if header:
+            body = kept.filter((F.col("_b") > 0) | (F.col("_i") > F.col("_i0") + skip_lines))
+        ddl = schema if isinstance(schema, str) else schema.simpleString()
+        if ddl.startswith("struct<"):
+            ddl = ddl[len("struct<"):-1]
+        parsed = F.from_csv(F.col("value"), ddl, {"sep": delimiter})
+        return body.filter(F.length("value") > 0).select(parsed.alias("r")).select("r.*")
+    # schema inference needs Spark's CSV-dataset reader (a Python pass over lines)
     r = spark.read.option("sep", delimiter).option("header", str(header).lower())
     r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
     return r.csv(kept.select("value").rdd.map(lambda row: row[0]))

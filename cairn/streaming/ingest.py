@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -60,26 +61,34 @@ def upsert_batch(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
 ) -> None:
-    """Merge one micro-batch into the target and commit a new snapshot."""
+    """Merge one micro-batch into the target and commit a new snapshot.
+
+    The batch is read by several branches (dedup, NULL keys, merge, size check),
+    so it is kept once for the duration of the call; the file source can replay
+    it if blocks are lost."""
     spark = batch.sparkSession
     target = target.rstrip("/")
-    # a batch may carry one record twice (overlapping landings): keep one per key;
-    # rows with a NULL key can match nothing and all pass through
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    batch = latest_per_key(batch, keys, order_by or [], keep_null_keys=False).unionByName(
-        batch.filter(any_null)
-    )
-    prev = _last_commit(spark, target, before=epoch)
-    if prev is None:
-        new_state = merge_upsert(batch.limit(0), batch, keys, keys, order_by)
-    else:
-        current = spark.read.schema(batch.schema).parquet(prev)
-        new_state = merge_upsert(current, batch, keys, keys, order_by)
-    path = f"{target}/v={epoch:010d}"
-    new_state.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(int(epoch), path)], COMMITS_SCHEMA).write.mode("append").parquet(
-        f"{target}/_commits"
-    )
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # a batch may carry one record twice (overlapping landings): keep one per
+        # key; rows with a NULL key can match nothing and all pass through
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        deduped = latest_per_key(batch, keys, order_by or [], keep_null_keys=False).unionByName(
+            batch.filter(any_null)
+        )
+        prev = _last_commit(spark, target, before=epoch)
+        if prev is None:
+            new_state = deduped
+        else:
+            current = spark.read.schema(batch.schema).parquet(prev)
+            new_state = merge_upsert(current, deduped, keys, keys, order_by)
+        path = f"{target}/v={epoch:010d}"
+        new_state.write.mode("overwrite").parquet(path)
+        spark.range(1).select(
+            F.lit(int(epoch)).cast("long").alias("epoch"), F.lit(path).alias("path")
+        ).write.mode("append").parquet(f"{target}/_commits")
+    finally:
+        batch.unpersist()
 
 
 def ingest_stream(

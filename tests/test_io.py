@@ -230,3 +230,12 @@ def test_load_file_to_table(spark, tmp_dir):
     load_file_to_table(spark, "loaded_csv", f"{tmp_dir}/f", "csv", delimiter="|")
     load_file_to_table(spark, "loaded_csv", f"{tmp_dir}/f", "csv", delimiter="|")
     assert [tuple(r) for r in spark.table("loaded_csv").collect()] == [(1, "x")]
+
+
+def test_csv_skip_lines_with_schema(spark, tmp_dir):
+    _write(f"{tmp_dir}/cs/a.csv", "junk\na|b\n1|x\n2|y\n")
+    _write(f"{tmp_dir}/cs/b.csv", "junk\na|b\n3|z\n")
+    df = read_file(spark, f"{tmp_dir}/cs", "csv", delimiter="|", skip_lines=1, schema="a INT, b STRING")
+    assert sorted(map(tuple, df.collect())) == [(1, "x"), (2, "y"), (3, "z")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "PythonRDD" not in plan
