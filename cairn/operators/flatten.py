@@ -44,12 +44,13 @@ def discover_json_columns(df: DataFrame, candidates: Sequence[str] | None = None
 
 
 def discover_keys(
-    df: DataFrame, columns: Sequence[str]
+    df: DataFrame, columns: Sequence[str], max_keys: int | None = None
 ) -> tuple[dict[str, list[str]], dict[str, bool], dict[str, bool]]:
     """Distinct keys per column (sorted), whether a column holds a non-object, and
     whether it holds any non-null value.
 
-    One job for all columns (R6)."""
+    One job for all columns (R6). At most ``max_keys`` keys reach the driver: more
+    is an error, so an unbounded key set never lands on the driver."""
     if not columns:
         return {}, {}, {}
     entries = []
@@ -78,7 +79,12 @@ def discover_keys(
     keys: dict[str, set[str]] = {c: set() for c in columns}
     bad: dict[str, bool] = {c: False for c in columns}
     seen: dict[str, bool] = {c: False for c in columns}
-    for r in pairs.collect():
+    # per column: at most one row without a key, plus the keys
+    cap = None if max_keys is None else max_keys + len(columns) + 1
+    rows = (pairs.limit(cap) if cap is not None else pairs).collect()
+    if cap is not None and len(rows) >= cap and sum(r["k"] is not None for r in rows) > max_keys:
+        raise ValueError(f"more than {max_keys} distinct JSON keys; pass keys= explicitly")
+    for r in rows:
         if r["k"] is not None:
             keys[r["c"]].add(r["k"])
         bad[r["c"]] = bad[r["c"]] or bool(r["bad"])
@@ -117,7 +123,7 @@ def flatten_columns(
     df = spread(df)
 
     if keys is None:
-        found, bad, seen = discover_keys(df, names)
+        found, bad, seen = discover_keys(df, names, max_keys=max_columns)
     else:
         found = {c: list(keys.get(c, [])) for c in names}
         bad = {c: False for c in names}

@@ -1000,20 +1000,20 @@ def _long_docs(pdf):
     "SELECT doc_id, upper(lang) AS lang_upper, n_chars FROM documents WHERE n_chars > 1000",
 )
 def q_apply_transformation(spark, sf_dir):
-    from .pipeline import apply_transformation
+    from .steps import apply_transformation
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     return apply_transformation(docs, _long_docs, "doc_id BIGINT, lang_upper STRING, n_chars BIGINT")
 
 
 @register(
-    "run_pipeline",
+    "step_chain",
     """SELECT o_orderkey AS order_key, o_custkey AS customer, o_totalprice,
               lower(o_orderpriority) AS o_orderpriority
        FROM orders WHERE o_orderstatus = 'F'""",
 )
-def q_run_pipeline(spark, sf_dir):
-    from .pipeline import run_pipeline
+def q_step_chain(spark, sf_dir):
+    from .steps import run_steps
 
     steps = [
         {"step": "read_file", "params": {"path": f"{sf_dir.rstrip('/')}/orders.parquet", "fmt": "parquet"},
@@ -1030,16 +1030,16 @@ def q_run_pipeline(spark, sf_dir):
                                 {"column_name": "o_custkey", "new_column_name": "customer"}]},
          "output": "result"},
     ]
-    return run_pipeline(spark, steps)["result"]
+    return run_steps(spark, steps)["result"]
 
 
 @register(
-    "rfm_pipeline",
+    "rfm_step_chain",
     f"SELECT CUSTOMER_TYPE, COUNT(*) AS customers FROM ({_RFM_REFERENCE_SQL}) r GROUP BY CUSTOMER_TYPE",
 )
-def q_rfm_pipeline(spark, sf_dir):
+def q_rfm_step_chain(spark, sf_dir):
     """The flagship as a declarative chain: read -> rfm_analysis -> segment sizes."""
-    from .pipeline import run_pipeline
+    from .steps import run_steps
 
     steps = [
         {"step": "read_table", "params": {"name": f"{sf_dir.rstrip('/')}/orders.parquet"}, "output": "orders"},
@@ -1048,5 +1048,5 @@ def q_rfm_pipeline(spark, sf_dir):
                     "as_of": AS_OF, "tiebreak": "o_orderkey"},
          "output": "rfm"},
     ]
-    rfm = run_pipeline(spark, steps)["rfm"]
+    rfm = run_steps(spark, steps)["rfm"]
     return rfm.groupBy("CUSTOMER_TYPE").agg(F.count(F.lit(1)).alias("customers"))

@@ -1,6 +1,6 @@
 """Declarative step chains.
 
-A pipeline is a list of ``{"step", "params", "input", "output"}``; steps pass
+A step chain is a list of ``{"step", "params", "input", "output"}``; steps pass
 DataFrames by variable name, so the whole chain stays one lazy plan that Catalyst
 optimises end to end (no hand-off files between steps).
 """
@@ -55,7 +55,7 @@ def apply_transformation(
     return spread(df).mapInPandas(run, schema)
 
 
-def run_pipeline(
+def run_steps(
     spark: SparkSession,
     steps: Sequence[Mapping],
     inputs: Mapping[str, DataFrame] | None = None,

@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 # Accepted CSV delimiters.
 CSV_DELIMITERS = (",", ";", "|")
 
+# a per-file row (path + two longs) is about 200 bytes: 200k files ~ 40 MB
+MAX_BROADCAST_FILES = 200_000
+
 
 def read_file(
     spark: SparkSession,
@@ -53,9 +56,11 @@ def _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema) -> D
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_i"),
     )
-    # one row per file (bounded by the file count) -> broadcast
+    # one row per input file: broadcast when the listed file count proves it small
     firsts = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
-    kept = lines.join(F.broadcast(firsts), "_f", "left").filter(
+    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
+        firsts = F.broadcast(firsts)
+    kept = lines.join(firsts, "_f", "left").filter(
         (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + skip_lines)
     )
     if schema is not None:

@@ -1,4 +1,4 @@
-"""Sources, sinks, pages, watermarks, objects, streaming and pipelines."""
+"""Sources, sinks, pages, watermarks, objects, streaming and step chains."""
 
 import json
 import os
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cairn.operators.text import extract_text
-from cairn.plans.pipeline import run_pipeline
+from cairn.plans.steps import run_steps
 from cairn.sinks.writers import create_view, save_table, write_by_date, write_objects
 from cairn.sources.files import objects_to_rows, read_file, read_folder, read_objects
 from cairn.sources.pages import page_completeness_a, page_completeness_b, read_listing, read_pages
@@ -169,11 +169,11 @@ def test_stream_rerun_delivers_nothing_new(spark, tmp_dir):
     assert got == [(1, "a"), (2, "B"), (3, "c")]
 
 
-def test_pipeline_errors(spark):
+def test_step_chain_errors(spark):
     with pytest.raises(KeyError):
-        run_pipeline(spark, [{"step": "nope"}])
+        run_steps(spark, [{"step": "nope"}])
     with pytest.raises(KeyError):
-        run_pipeline(spark, [{"step": "remove_columns", "input": "missing", "params": {"columns": []}}])
+        run_steps(spark, [{"step": "remove_columns", "input": "missing", "params": {"columns": []}}])
 
 
 def test_standardize_tables_and_union_view(spark):
