@@ -239,3 +239,28 @@ def test_csv_skip_lines_with_schema(spark, tmp_dir):
     assert sorted(map(tuple, df.collect())) == [(1, "x"), (2, "y"), (3, "z")]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "PythonRDD" not in plan
+
+
+def test_lookup_and_user_steps(spark, tmp_dir):
+    from cairn.operators.filters import lookup_one
+    from cairn.plans.steps import STEPS, register_sink, register_source, register_transform
+
+    jobs = spark.createDataFrame(
+        [("u1", "pipe-a", "job-1"), ("u1", "pipe-b", "job-2"), ("u2", "pipe-a", "job-3")],
+        "owner STRING, flow STRING, job_uuid STRING",
+    )
+    hit = lookup_one(jobs, {"owner": "u1", "flow": "pipe-a"}, ["job_uuid"]).limit(2).collect()
+    assert [r.job_uuid for r in hit] == ["job-1"]
+
+    written = {}
+    register_source("numbers", lambda spark, n: spark.range(n))
+    register_transform("double", lambda df, col: df.withColumn(col, df[col] * 2))
+    register_sink("remember", lambda df, key: written.__setitem__(key, sorted(r.id for r in df.collect())))
+    run_steps(spark, [
+        {"step": "numbers", "params": {"n": 3}, "output": "n"},
+        {"step": "double", "input": "n", "params": {"col": "id"}, "output": "d"},
+        {"step": "remember", "input": "d", "params": {"key": "out"}},
+    ])
+    assert written == {"out": [0, 2, 4]}
+    for name in ("numbers", "double", "remember"):
+        STEPS.pop(name)
