@@ -874,6 +874,18 @@ def q_csv_infer_roundtrip(spark, sf_dir):
     return align_to_schema(read_file(spark, path, "csv", delimiter="|"), src.schema)
 
 
+@register("load_file_to_table", "SELECT * FROM customer")
+def q_load_file_to_table(spark, sf_dir):
+    """A landed CSV file loaded into a (path-based) table, which then replaces it."""
+    from ..sinks.writers import load_file_to_table
+
+    landed = _scratch(spark, "landed_csv")
+    table(spark, sf_dir, "customer").write.option("sep", "|").option("header", "true").csv(landed)
+    target = _scratch(spark, "loaded")
+    load_file_to_table(spark, None, landed, "csv", table_path=target, delimiter="|", schema=_CUSTOMER_DDL)
+    return spark.read.parquet(target)
+
+
 @register("json_roundtrip", "SELECT * FROM customer")
 def q_json_roundtrip(spark, sf_dir):
     from ..operators.merge import align_to_schema

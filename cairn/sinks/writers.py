@@ -77,11 +77,19 @@ def write_by_date(
     )
 
 
-def load_file_to_table(spark: SparkSession, name: str, path: str, fmt: str, **options) -> None:
-    """Read a file (parquet/json/csv) and overwrite a table with it (K4)."""
+def load_file_to_table(
+    spark: SparkSession,
+    name: str | None,
+    path: str,
+    fmt: str,
+    table_path: str | None = None,
+    **options,
+) -> None:
+    """Read a file (parquet/json/csv) and overwrite a table with it (K4): a
+    catalog table ``name`` or a parquet table at ``table_path``."""
     from ..sources.files import read_file
 
-    save_table(read_file(spark, path, fmt, **options), name=name, mode="overwrite")
+    save_table(read_file(spark, path, fmt, **options), name=name, path=table_path, mode="overwrite")
 
 
 WRITE_RESULT = StructType(

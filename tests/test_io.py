@@ -264,3 +264,12 @@ def test_lookup_and_user_steps(spark, tmp_dir):
     assert written == {"out": [0, 2, 4]}
     for name in ("numbers", "double", "remember"):
         STEPS.pop(name)
+
+
+def test_read_sql_identifier_and_file(spark, tmp_dir):
+    spark.range(5).createOrReplaceTempView("nums_for_sql")
+    out = read_sql(spark, "SELECT count(*) AS n FROM IDENTIFIER({{t}}) WHERE id < {{lim}}",
+                   parameters={"t": "nums_for_sql", "lim": 3})
+    assert out.collect()[0].n == 3
+    _write(f"{tmp_dir}/q.sql", "SELECT max(id) AS m FROM nums_for_sql WHERE id <= {{hi}}")
+    assert read_sql(spark, sql_file=f"{tmp_dir}/q.sql", parameters=[{"key": "hi", "value": 2}]).collect()[0].m == 2

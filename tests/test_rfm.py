@@ -88,3 +88,29 @@ def test_plan_has_no_single_partition(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_hot_customer_matches_window_ntile(spark):
+    """One customer holds a third of all rows; scores equal the single-task window."""
+    from pyspark.sql import Window
+
+    rows = []
+    for i in range(600):
+        cust = 0 if i % 3 == 0 else 1 + (i * 7) % 97
+        rows.append((cust, D(2024, 1, 1 + i % 28), Decimal(i % 50 + 1), i))
+    df = _df(spark, rows)
+    out = rfm_analysis(df, "cust", "d", "amt", as_of="2024-02-01", tiebreak="id", num_partitions=6)
+    base = (
+        df.groupBy("cust")
+        .agg(F.count("cust").alias("f"), F.sum("amt").alias("m"), F.max("d").alias("last"))
+        .withColumn("r", F.datediff(F.lit("2024-02-01").cast("date"), F.col("last").cast("date")))
+    )
+    want = base.select(
+        F.col("cust").alias("CUSTOMER_ID"),
+        F.ntile(5).over(Window.orderBy(F.col("m").asc_nulls_last(), F.col("cust").asc_nulls_last())).alias("M"),
+        F.ntile(5).over(Window.orderBy(F.col("f").asc_nulls_last(), F.col("cust").asc_nulls_last())).alias("FQ"),
+        F.ntile(5).over(Window.orderBy(F.col("r").desc_nulls_first(), F.col("cust").asc_nulls_last())).alias("R"),
+    )
+    got = {r.CUSTOMER_ID: (r.MONETARY_SCORE, r.FREQUENCY_SCORE, r.RECENCY_SCORE) for r in out.collect()}
+    assert got == {r.CUSTOMER_ID: (r.M, r.FQ, r.R) for r in want.collect()}
+    assert dict((r.CUSTOMER_ID, r.FREQUENCY) for r in out.collect())[0] == 200
