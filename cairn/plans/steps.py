@@ -77,6 +77,17 @@ def run_steps(
     return env
 
 
+def run_steps_file(spark: SparkSession, path: str) -> dict[str, object]:
+    """Run a step chain stored as JSON: ``[{"step", "params", "input", "output"}]``."""
+    import json
+
+    with open(path, encoding="utf-8") as fh:
+        steps = json.load(fh)
+    if not isinstance(steps, list):
+        raise ValueError("a step chain file holds a JSON list of steps")
+    return run_steps(spark, steps)
+
+
 # Built-in steps: sources
 register_source("read_table", lambda spark, name: tables.read_table(spark, name))
 register_source("read_sql", lambda spark, **p: tables.read_sql(spark, **p))

@@ -164,7 +164,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     repartition added; inputs that are already spread (the normal case at scale)
     are returned unchanged, without a shuffle."""
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Connect session): leave the plan alone
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

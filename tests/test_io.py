@@ -273,3 +273,18 @@ def test_read_sql_identifier_and_file(spark, tmp_dir):
     assert out.collect()[0].n == 3
     _write(f"{tmp_dir}/q.sql", "SELECT max(id) AS m FROM nums_for_sql WHERE id <= {{hi}}")
     assert read_sql(spark, sql_file=f"{tmp_dir}/q.sql", parameters=[{"key": "hi", "value": 2}]).collect()[0].m == 2
+
+
+def test_steps_file(spark, tmp_dir):
+    from cairn.plans.steps import run_steps_file
+
+    spark.range(4).write.parquet(f"{tmp_dir}/src")
+    steps = [
+        {"step": "read_file", "params": {"path": f"{tmp_dir}/src", "fmt": "parquet"}, "output": "a"},
+        {"step": "filter_by_params", "input": "a", "params": {"params": {"id": [1, 2]}}, "output": "b"},
+        {"step": "save_table", "input": "b", "params": {"path": f"{tmp_dir}/dst"}},
+    ]
+    _write(f"{tmp_dir}/steps.json", json.dumps(steps))
+    out = run_steps_file(spark, f"{tmp_dir}/steps.json")
+    assert set(out) == {"a", "b"}
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/dst").collect()) == [1, 2]
