@@ -20,6 +20,13 @@ EXTRACTION_FORMATS = [
 
 ISO_UTC_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
+# zone-less ISO-8601 shapes (read as UTC)
+ISO_LOCAL_FORMATS = [
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd",
+]
+
 
 _DIGIT_LETTERS = set("yMdHhmsS")
 
@@ -53,22 +60,59 @@ def pattern_shape(fmt: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+_ZONE_LETTERS = set("XxZOVz")
+
+
+def _has_zone(fmt: str) -> bool:
+    unquoted = "".join(part for i, part in enumerate(fmt.split("'")) if i % 2 == 0)
+    return any(ch in _ZONE_LETTERS for ch in unquoted)
+
+
 def parse_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
-    """First format that parses wins; NULL when none does (never raises).
+    """An instant (TIMESTAMP); the first format that parses wins; NULL when none
+    does (never raises).
 
-    Without formats: ISO-8601 text, an offset or ``Z`` converted to UTC."""
+    Text without a zone is read as UTC, whatever the session time zone. Without
+    formats: ISO-8601 text, where an offset or ``Z`` is honoured."""
     if not formats:
-        return F.try_to_timestamp(c)
-    return F.coalesce(
-        *[F.when(c.rlike(pattern_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats]
-    )
+        # zone-less ISO shapes pinned to UTC; text with a zone keeps its zone
+        return F.coalesce(
+            *[
+                F.when(
+                    c.rlike(pattern_shape(f)),
+                    F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(f + "X")),
+                )
+                for f in ISO_LOCAL_FORMATS
+            ],
+            F.try_to_timestamp(c),
+        )
+    out = []
+    for f in formats:
+        if _has_zone(f):
+            parsed = F.try_to_timestamp(c, F.lit(f))
+        else:  # pin zone-less text to UTC
+            parsed = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(f + "X"))
+        out.append(F.when(c.rlike(pattern_shape(f)), parsed))
+    return F.coalesce(*out)
+
+
+def utc_wall_clock(ts: Column) -> Column:
+    """An instant as TIMESTAMP_NTZ holding its UTC wall-clock time."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
+def instant_of_utc_wall_clock(ntz: Column) -> Column:
+    """Inverse of ``utc_wall_clock``: a UTC wall-clock TIMESTAMP_NTZ as an instant."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ntz).cast("timestamp")
 
 
 def parse_timestamp_ntz(c: Column, formats: Sequence[str] | None = None) -> Column:
-    """As ``parse_timestamp`` but a zone-less timestamp (wall-clock value in UTC)."""
-    return parse_timestamp(c, formats).cast("timestamp_ntz")
+    """As ``parse_timestamp`` but TIMESTAMP_NTZ holding the UTC wall-clock time."""
+    return utc_wall_clock(parse_timestamp(c, formats))
+
 
+def format_iso_utc(ts: Column, ntz: bool = False) -> Column:
+    """Timestamp -> ``YYYY-MM-DDTHH:MM:SSZ`` in UTC, whatever the session zone.
 
-def format_iso_utc(ts: Column) -> Column:
-    """Timestamp -> ``YYYY-MM-DDTHH:MM:SSZ`` (session time zone is UTC)."""
-    return F.date_format(ts, ISO_UTC_SECONDS)
+    ``ntz=True``: the value is already a UTC wall-clock TIMESTAMP_NTZ."""
+    return F.date_format(ts if ntz else utc_wall_clock(ts), ISO_UTC_SECONDS)

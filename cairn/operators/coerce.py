@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quote
 from ..session import spread
-from ..functions.timestamps import EXTRACTION_FORMATS, parse_timestamp
+from ..functions.timestamps import EXTRACTION_FORMATS, parse_timestamp, utc_wall_clock
 
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
@@ -52,11 +52,13 @@ def coerce_schema(
         src, src_type = found
         c = F.col(quote(src))
         if target == "timestamp_ntz":
-            if src_type.startswith("timestamp") or src_type == "date":
+            if src_type == "timestamp":
+                e = utc_wall_clock(c)
+            elif src_type in ("timestamp_ntz", "date"):
                 e = c.cast("timestamp_ntz")
             else:
                 text = F.trim(c.cast("string"))
-                e = parse_timestamp(text, [ISO_LOCAL] + fmts).cast("timestamp_ntz")
+                e = utc_wall_clock(parse_timestamp(text, [ISO_LOCAL] + fmts))
         elif target == "string":
             e = c.cast("string")
         else:

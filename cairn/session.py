@@ -155,6 +155,18 @@ def _release_all() -> None:
             _delete(spark, path)
 
 
+def is_missing_path(exc: Exception) -> bool:
+    """True when ``exc`` says a read path does not exist (and nothing else)."""
+    try:
+        from pyspark.errors import AnalysisException
+    except ImportError:  # pragma: no cover
+        return False
+    if not isinstance(exc, AnalysisException):
+        return False
+    cls = exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
+    return cls == "PATH_NOT_FOUND"
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread rows over at least ``min_partitions`` tasks before CPU-heavy per-row
     work (regexes, JSON parsing, casts, Python batches).

@@ -26,6 +26,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
+from ..session import is_missing_path
 
 COMMITS_SCHEMA = StructType(
     [StructField("epoch", LongType(), False), StructField("path", StringType(), False)]
@@ -35,8 +36,10 @@ COMMITS_SCHEMA = StructType(
 def _last_commit(spark: SparkSession, target: str, before: int | None = None) -> str | None:
     try:
         commits = spark.read.schema(COMMITS_SCHEMA).parquet(f"{target}/_commits")
-    except Exception:  # nothing committed yet
-        return None
+    except Exception as e:
+        if is_missing_path(e):  # nothing committed yet; other errors propagate
+            return None
+        raise
     if before is not None:
         commits = commits.filter(F.col("epoch") < before)
     rows = commits.agg(F.max_by("path", "epoch").alias("p")).collect()

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.names import quote
-from ..functions.timestamps import format_iso_utc, parse_timestamp
+from ..functions.timestamps import (
+    format_iso_utc,
+    instant_of_utc_wall_clock,
+    parse_timestamp,
+    utc_wall_clock,
+)
+from ..session import is_missing_path
 
 STATE_SCHEMA = StructType(
     [
@@ -48,13 +54,13 @@ def incremental_filter(
     predicate is a plain comparison, so it reaches the parquet scan."""
     if mark is None or is_historical:
         return df
-    m = _mark_col(mark)
+    m = utc_wall_clock(_mark_col(mark))  # UTC wall clock, zone-free from here on
     if floor_to_day:
         m = F.date_trunc("day", m)
     ts = F.col(quote(ts_column))
     dtype = dict(df.dtypes)[ts_column]
-    if dtype == "timestamp_ntz":
-        m = m.cast("timestamp_ntz")
+    if dtype != "timestamp_ntz":
+        m = instant_of_utc_wall_clock(m)
     return df.filter(ts >= m)
 
 
@@ -69,7 +75,14 @@ def next_watermark(
 
     ``floor="day"`` gives the mark at midnight of the latest day (shape B)."""
     c = F.col(quote(ts_column))
-    parsed = c if dict(df.dtypes)[ts_column].startswith("timestamp") else parse_timestamp(c, formats)
+    dtype = dict(df.dtypes)[ts_column]
+    # everything as a UTC wall-clock TIMESTAMP_NTZ: max, floor and format are zone-free
+    if dtype == "timestamp_ntz":
+        parsed = c
+    elif dtype in ("timestamp", "date"):
+        parsed = utc_wall_clock(c.cast("timestamp"))
+    else:
+        parsed = utc_wall_clock(parse_timestamp(c, formats))
     agg = df.select(parsed.alias("_t"), c.isNotNull().alias("_seen")).agg(
         F.max("_t").alias("_max"),
         F.count_if(F.col("_seen")).alias("values_seen"),
@@ -81,7 +94,7 @@ def next_watermark(
     elif floor is not None:
         raise ValueError("floor must be None or 'day'")
     return agg.select(
-        format_iso_utc(mx).alias("last_update"), "values_seen", "values_unparsed"
+        format_iso_utc(mx, ntz=True).alias("last_update"), "values_seen", "values_unparsed"
     )
 
 
@@ -95,8 +108,10 @@ class WatermarkStore:
     def _read(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        except Exception:  # folder not created yet
-            return None
+        except Exception as e:
+            if is_missing_path(e):  # no mark saved yet; any other error propagates
+                return None
+            raise
 
     def load(self, source: str) -> str | None:
         """The saved mark as ``YYYY-MM-DDTHH:MM:SSZ``, or None."""
