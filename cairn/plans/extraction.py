@@ -15,10 +15,27 @@ from pyspark.sql import functions as F
 from ..operators.coerce import TYPE_MAP, coerce_schema
 from ..operators.columns import clean_strings
 from ..sinks.writers import write_by_date
-from ..sources.pages import read_pages
+from ..sources.pages import page_completeness_b, read_pages
 from ..streaming.watermark import WatermarkStore, incremental_filter, next_watermark
 
 
+def check_pages_complete(spark: SparkSession, pages_path: str, tenant_field: str | None = None) -> None:
+    """Raise when a tenant's landed pages miss a page (shape B paging fields)."""
+    pages = spark.read.json(pages_path)
+    key = tenant_field or "__all"
+    if tenant_field is None:
+        pages = pages.withColumn(key, F.lit("all"))
+    gaps = (
+        page_completeness_b(pages, key)
+        .filter(~F.coalesce(F.col("complete"), F.lit(False)))
+        .limit(20)
+        .collect()
+    )
+    if gaps:
+        detail = ", ".join(f"{r[key]}: {r['pages']}/{r['expected']} pages" for r in gaps)
+        raise RuntimeError(f"landed pages incomplete ({detail}); nothing written, mark unchanged")
+
+
 def split_tenants(text: str) -> list[str]:
     """Comma-separated tenant codes, trimmed, empties dropped."""
     return [t.strip() for t in text.split(",") if t.strip()]
@@ -35,11 +52,18 @@ def extract_increment(
     items: str = "items",
     is_historical: bool = False,
     floor_to_day: bool = True,
+    tenant_field: str | None = None,
+    require_complete: bool = True,
 ) -> DataFrame:
     """Land one entity's increment; returns the one-row watermark frame written.
 
     Records are read as text (every declared field a string) and typed by
-    ``coerce_schema``; rows before the saved mark are skipped unless historical."""
+    ``coerce_schema``; rows before the saved mark are skipped unless historical.
+    With ``require_complete`` the landed pages are checked first (every
+    ``currentPage`` up to ``totalPages``, per ``tenant_field`` if given): a gap
+    raises before anything is written or the mark moves."""
+    if require_complete:
+        check_pages_complete(spark, pages_path, tenant_field)
     item_ddl = ", ".join(f"`{c}` STRING" for c in schema)
     raw = read_pages(spark, pages_path, items=items, item_schema=item_ddl)
     ts_fields = [c for c, t in schema.items() if TYPE_MAP.get(t) == "timestamp_ntz"]

@@ -221,6 +221,12 @@ def test_extract_increment(spark, tmp_dir):
     wm2 = extract_increment(spark, f"{tmp_dir}/cursos", "cursos", schema, f"{tmp_dir}/out", state, "DataExtracao")
     assert wm2.collect()[0].last_update == "2024-01-03T00:00:00Z"
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 2
+    # a missing page stops the run before anything moves
+    gap = dict(page, currentPage=3, totalPages=3)
+    _write(f"{tmp_dir}/cursos/p3.json", json.dumps(gap) + "\n")
+    with pytest.raises(RuntimeError, match="incomplete"):
+        extract_increment(spark, f"{tmp_dir}/cursos", "cursos", schema, f"{tmp_dir}/out", state, "DataExtracao")
+    assert state.load("cursos") == "2024-01-03T00:00:00Z"
 
 
 def test_load_file_to_table(spark, tmp_dir):
