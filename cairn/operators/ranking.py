@@ -51,9 +51,15 @@ def global_row_number(
     order = _as_columns(order_by)
     spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # let AQE merge small adjacent ranges (order is kept: merged partitions are
+        # consecutive); the bound below covers every partition id it can produce
+        bound = _max_shuffle_partitions(spark)
+        repartitioned = df.repartitionByRange(*order)
+    else:
+        bound = num_partitions
+        repartitioned = df.repartitionByRange(num_partitions, *order)
     ranged = (
-        df.repartitionByRange(num_partitions, *order)
+        repartitioned
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         # position inside the partition: the id's low 33 bits count rows in order
@@ -69,13 +75,15 @@ def global_row_number(
     # accumulator updates count once per task even when tasks are retried
     observation = Observation(f"cairn_rank_{uuid.uuid4().hex}")
     observed = ranged.observe(
-        observation, F.histogram_numeric(F.col(_PID), F.lit(num_partitions + 1)).alias("h")
+        observation,
+        F.histogram_numeric(F.col(_PID), F.lit(bound + 1)).alias("h"),
+        F.max(_PID).alias("max_pid"),
+        F.count(F.lit(1)).alias("n"),
     )
     stored = materialize(observed, "rank")
-    hist = observation.get.get("h")
-    if hist:
-        counts = {int(b["x"]): int(b["y"]) for b in hist}
-    else:  # nothing observed (no rows, or an engine without observations): count
+    metrics = observation.get
+    counts = _exact_counts(metrics, bound + 1)
+    if counts is None:  # not provably exact (or nothing observed): count
         counts = dict((r[0], r[1]) for r in stored.groupBy(_PID).count().collect())
     n_parts = max(counts) + 1 if counts else 0
     per_part = [counts.get(i, 0) for i in range(n_parts)]
@@ -91,6 +99,30 @@ def global_row_number(
     return numbered, total
 
 
+def _max_shuffle_partitions(spark) -> int:
+    """Upper bound of the partition count of a shuffle without an explicit number."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial:
+        n = max(n, int(initial))
+    return n
+
+
+def _exact_counts(metrics: dict, bins: int) -> dict[int, int] | None:
+    """Per-partition counts from the observed histogram, or None when they are not
+    provably exact (fewer distinct ids than bins: ids are 0..max_pid)."""
+    hist, max_pid, n = metrics.get("h"), metrics.get("max_pid"), metrics.get("n")
+    if not hist or max_pid is None or n is None or max_pid + 1 >= bins:
+        return None
+    counts = {}
+    for b in hist:
+        x, y = float(b["x"]), float(b["y"])
+        if x != int(x) or y != int(y):
+            return None
+        counts[int(x)] = int(y)
+    return counts if sum(counts.values()) == n else None
+
+
 # numbered frame -> the stored frame it reads (so chained passes can release it)
 _LAST_STORED: dict[int, DataFrame] = {}
 
