@@ -15,7 +15,9 @@ packed first-fit by falling length.
 
 from __future__ import annotations
 
+import codecs
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,46 +35,57 @@ PIECE = (
 )
 
 
-STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
+#: Letters of the first 256 code points: in composed form, with lower case of their own.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+#: Byte-level vocabularies write a byte that is no visible character from code 256 on.
+BYTE_LETTERS = "".join(chr(b if b in _VISIBLE else 256 + _HIDDEN.index(b)) for b in range(256))
 
 
-class Words:
+class Words(dict):
     """Token ids of white-space separated words as little-endian uint32 bytes. Words
     repeat, so their ids are kept; the memory is bounded by starting anew."""
 
     def __init__(self, path: str, special_as_text: bool, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.merges = self.tokenizer.model.tokenize
         self.most = most
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. The vocabulary drops white space and no token crosses
-        it, so the ids of the words in order are those of the text. A-Z are lower-cased
-        and a full stop or comma that ends a word is set apart beforehand, as the
-        vocabulary does itself: so the words to keep are fewer."""
-        split = [STOP.sub(rb" \g<0>", x.encode().lower()).split() for x in texts]
-        new = dict.fromkeys(w for words in split for w in words if w not in self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = dict.fromkeys(w for words in split for w in words)
-        new = list(new)
-        for at in range(0, len(new), 2_000):
-            self._learn(new[at : at + 2_000])
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encodes the words in one text and cuts its ids where the words begin."""
-        plain = [w.decode() for w in words]
-        found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        at = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        ends = np.cumsum([len(w) + 1 for w in plain])
-        cut = np.searchsorted(at, np.r_[0, ends]).tolist()
-        for word, a, b in zip(words, cut, cut[1:]):
-            self.known[word] = ids[a:b].tobytes()
+        self.stops = {x: self._encoded(x) for x in ".,"}
+
+    def ids(self, text: str) -> bytes:
+        """The ids of a text. The vocabulary drops white space and no token crosses it,
+        so the ids of the words in order are those of the text. It lowers case as well;
+        A-Z are lowered beforehand, so that there are fewer words to keep."""
+        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = found = self._new(word)
+        return found
+
+    def _new(self, word: bytes) -> bytes:
+        # A full stop or comma after a letter is a piece of its own, and so is a word of
+        # Latin letters alone, which needs no more than the vocabulary's merges: it is
+        # composed already, and its lower case is letter by letter.
+        plain = word.decode()
+        if not word.isalpha():
+            if len(plain) > 1 and plain[-1] in self.stops and LATIN.fullmatch(plain, 0, len(plain) - 1):
+                return self[word[:-1]] + self.stops[plain[-1]]
+            if not LATIN.fullmatch(plain):
+                return self._encoded(plain)
+            plain = codecs.charmap_decode(plain.lower().encode(), "strict", BYTE_LETTERS)[0]
+        found = [t.id for t in self.merges(plain)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def _encoded(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
 
 
 def cuts(length: int, capacity: int, tail: int) -> Iterator[tuple[int, int]]:
@@ -100,8 +113,8 @@ def _pieces(path: str, special_as_text: bool, end_id: int, capacity: int, tail:
         bins = 0
         for batch in batches(rows, 500):
             out: list[list] = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), words.ids(texts(batch["text"]))):
-                ids += end
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
+                ids = words.ids(text) + end
                 total, start = len(ids) // 4, 0
                 for length, k in cuts(total, capacity, tail):
                     k = min(k, last_class)
