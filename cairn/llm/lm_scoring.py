@@ -45,6 +45,18 @@ def _unpack(x: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(x), kind)
 
 
+def _pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted uint64 values as differences, byte by byte, which leaves little of the
+    high bytes."""
+    steps = np.diff(x, prepend=np.uint64(0))
+    return _pack(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def _unpack_sorted(x: bytes) -> np.ndarray:
+    planes = _unpack(x, "u1").reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8")[:, 0], dtype=np.uint64)
+
+
 def bucket(context: np.ndarray) -> np.ndarray:
     """The bucket of a context's frequency: 0 if never seen, else 1 + floor(log2)."""
     return np.where(context > 0, 1 + np.floor(np.log2(np.maximum(context, 1))), 0).astype(np.int64)
@@ -84,7 +96,7 @@ def _encoded(block_tokens: int):
             "known_ids": pa.array([known.tobytes()], pa.binary()),
             "held_out": pa.array([np.array([h for _, h, _ in docs], bool).tobytes()], pa.binary()),
             "lengths": pa.array([np.array([len(x) for _, _, x in docs], np.int64).tobytes()], pa.binary()),
-            "vocabulary": pa.array([vocabulary.tobytes()], pa.binary()),
+            "vocabulary": pa.array([_pack_sorted(vocabulary)], pa.binary()),
             "tokens": pa.array([_pack(tokens.astype(np.uint32))], pa.binary()),
             "n_tokens": pa.array([len(words)], pa.int64()),
             "n_learned": pa.array([sum(not h for _, h, _ in docs)], pa.int64()),
@@ -99,7 +111,7 @@ def _encoded(block_tokens: int):
         for batch in rows:
             for doc_id, f, text in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(), utf8(batch["text"])):
                 words = text.lower().split()
-                if len(known) > 1_000_000:
+                if len(known) > 400_000:
                     known.clear()
                 known.update((w, xxhash.xxh64_intdigest(w)) for w in words if w not in known)
                 hashes = np.empty(len(words) + 1, np.uint64)
@@ -128,7 +140,7 @@ ENCODED = (
 def _opened(row: dict, order: int) -> tuple:
     """lengths, held out by document, and by order the distinct n-grams and each token's."""
     lengths = np.frombuffer(row["lengths"], np.int64)
-    tokens = np.frombuffer(row["vocabulary"], np.uint64)[_unpack(row["tokens"], "u4")]
+    tokens = _unpack_sorted(row["vocabulary"])[_unpack(row["tokens"], "u4")]
     grams = [np.unique(x, return_inverse=True) for x in ngrams(tokens, lengths, order)]
     return lengths, np.frombuffer(row["held_out"], bool), grams
 
@@ -152,7 +164,7 @@ def _requests(order: int, bits: int):
                             "part": pa.array(ids * 8 + n, pa.int64()),
                             "block": pa.array([row["block"]] * len(ids), pa.int64()),
                             "deleted": pa.array([row["deleted"]] * len(ids)),
-                            "keys": pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                            "keys": pa.array([_pack_sorted(keys[a:b]) for a, b in zip(starts, ends)], pa.binary()),
                             "counts": pa.array([_pack(counts[a:b]) for a, b in zip(starts, ends)], pa.binary()),
                         }
                     )
@@ -161,25 +173,27 @@ def _requests(order: int, bits: int):
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Sums the requests of one part and answers each block: counts over all learned
-    documents, and over those outside the deleted fold. The row of block -1 has the
-    number of distinct n-grams seen and the sum of their counts."""
-    keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-    counts = [_unpack(x, "u4") for x in table["counts"].to_pylist()]
-    deleted = np.repeat(np.array(table["deleted"].to_pylist(), bool), [len(x) for x in keys])
-    every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    n = np.concatenate(counts).astype(np.float64)
-    total = np.bincount(at, weights=n, minlength=len(every))
-    rest = np.bincount(at, weights=np.where(deleted, 0, n), minlength=len(every))
+    """Sums one part's requests and answers each block: counts over all learned
+    documents and, to blocks of the deleted fold, over those outside it. The row of
+    block -1 has the number of distinct n-grams seen and the sum of their counts."""
+    keys = [_unpack_sorted(x.as_py()) for x in table["keys"]]
+    deleted = table["deleted"].to_pylist()
     cut = np.cumsum([0, *map(len, keys)])
+    every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
     mine = [at[a:b] for a, b in zip(cut, cut[1:])]
+    total, rest = np.zeros(len(every), np.uint64), np.zeros(len(every), np.uint64)
+    for x, counts, d in zip(mine, table["counts"], deleted):  # a block has a key once
+        total[x] += (n := _unpack(counts.as_py(), "u4"))
+        if not d:
+            rest[x] += n
     part = table["part"][0].as_py()
     return pa.table(
         {
             "block": pa.array([*table["block"].to_pylist(), -1], pa.int64()),
             "part": pa.array([part] * (len(mine) + 1), pa.int64()),
-            "total": pa.array([*[_pack(total[x].astype("<u8")) for x in mine], b""], pa.binary()),
-            "rest": pa.array([*[_pack(rest[x].astype("<u8")) for x in mine], b""], pa.binary()),
+            "total": pa.array([*[_pack(total[x]) for x in mine], b""], pa.binary()),
+            "rest": pa.array([*[_pack(rest[x]) if d else None for x, d in zip(mine, deleted)], None], pa.binary()),
             "n_seen": pa.array([None] * len(mine) + [int((total > 0).sum())], pa.int64()),
             "n_tokens": pa.array([None] * len(mine) + [int(total.sum())], pa.int64()),
             "n_rest": pa.array([None] * len(mine) + [int(rest.sum())], pa.int64()),
@@ -299,8 +313,8 @@ def score_documents(
     text_col: str = "text",
     order: int = 2,
     part: Column | None = None,
-    block_tokens: int = 1_000_000,
-    part_ngrams: int = 2_000_000,
+    block_tokens: int = 800_000,
+    part_ngrams: int = 1_000_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row
     per row of ``docs``.
