@@ -22,15 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import release
-from .common import evidence, fresh, named, pick, store
+from .common import WHITESPACE, evidence, fresh, named, pick, store
 
-SYMBOLS = "!#$%&*|@^~<>{}[]="
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Inside a character class of a regular expression.
+SYMBOLS = "!#$%&*|@^~<>{}\\[\\]="
+CAPITALS = "A-Z"
 
 
 def words_of(text: Column) -> Column:
     """The lower-case words of a text; none for NULL or empty."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    plain = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\f\r"))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, WHITESPACE))
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -38,8 +40,8 @@ def _measured(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.greatest(F.length(text), F.lit(1))
 
-    def rate(symbols: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, symbols, ""))) / size
+    def rate(kept: str) -> Column:
+        return F.length(F.regexp_replace(text, f"[^{kept}]+", "")) / size
 
     words = docs.withColumns({"_words": words_of(F.col("text")), "_capitals": rate(CAPITALS), "_symbols": rate(SYMBOLS)})
     words = words.withColumn("n_tokens", F.size("_words").cast("long")).withColumn("_distinct", F.array_distinct("_words"))
@@ -58,19 +60,25 @@ class Classifier:
         self.domains, self.markers, self.cells, self.prior = domains, markers, cells, prior
 
     def cell(self) -> Column:
-        """The number of a row's cell, from the columns of ``_measured``."""
+        """The number of a row's cell, from the columns of ``marked``."""
         out = _level(F.col("_repeated"), 0.35, 0.6, 0.85) * 27
         out = out + _level(F.col("_capitals"), 0.08, 0.4) * 9
         out = out + _level(F.col("_symbols"), 0.005, 0.04) * 3
         out = out + _level(F.col("n_tokens"), 1, 60)
         for words in self.markers.values():
-            found = F.size(F.array_intersect(F.col("_distinct"), F.array(*map(F.lit, words)))) if words else F.lit(0)
+            found = F.size(F.array_intersect(F.col("_marked"), F.array(*map(F.lit, words)))) if words else F.lit(0)
             out = out * 4 + _level(found, 1, 2, 4)
         return out.cast("long")
 
+    def marked(self, measured: DataFrame) -> DataFrame:
+        """Adds the markers among a row's words: all domains' in one pass over them."""
+        every = sorted({w for words in self.markers.values() for w in words})
+        found = F.array_intersect(F.col("_distinct"), F.array(*map(F.lit, every))) if every else F.array().cast("array<string>")
+        return measured.withColumn("_marked", found)
+
     def posteriors(self, docs: DataFrame, keep: list[str]) -> DataFrame:
         """``keep``, n_tokens and a double column ``p0``, ``p1``... for each domain."""
-        rows = _measured(docs).select(*keep, "n_tokens", self.cell().alias("_cell"))
+        rows = self.marked(_measured(docs)).select(*keep, "n_tokens", self.cell().alias("_cell"))
         prior = F.array(*map(F.lit, self.prior))
         if self.cells:
             # At most one row per labelled cell; the number of cells is fixed.
@@ -92,14 +100,17 @@ def learn(
     markers: int = 200,
     least: int = 5,
     smoothing: float = 2.0,
+    max_labelled: int = 50_000,
 ) -> Classifier:
-    """A classifier from all labelled documents. ``domain``: an expression over
-    ``labels`` that gives one of ``domains``; rows where it gives anything else are
-    skipped, and of several labels of a document the first by name counts. Without
-    labels every posterior is even."""
+    """A classifier from labelled documents. ``domain``: an expression over ``labels``
+    that gives one of ``domains``; rows where it gives anything else are skipped, and of
+    several labels of a document the first by name counts. Without labels every
+    posterior is even. At most ``max_labelled`` labels are used, those of the smallest
+    hash of the id, so the texts meet a broadcast of bounded size."""
     marks = labels.select(named(label_id).alias("_id"), domain.alias("_domain")).where("_id is not null")
     marks = marks.where(F.col("_domain").isin(domains)).groupBy("_id").agg(F.min("_domain").alias("_domain"))
-    rows = pick(docs, _id=id_col, text=text_col).join(marks, "_id")
+    marks = marks.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
+    rows = pick(docs, _id=id_col, text=text_col).join(F.broadcast(marks), "_id")
     sample = store(_measured(rows).drop("_id"), "labelled")
     sizes = {r["_domain"]: int(r["count"]) for r in sample.groupBy("_domain").count().collect()}
     total = sum(sizes.values())
@@ -126,7 +137,7 @@ def learn(
             top = marked.where(F.col("i") == i).orderBy(F.desc("z"), "word").limit(markers)
             found[d] = [r["word"] for r in top.collect()]
     out = Classifier(domains, found, {}, prior)
-    cells = sample.groupBy(out.cell().alias("_cell")).agg(*in_domain)
+    cells = out.marked(sample).groupBy(out.cell().alias("_cell")).agg(*in_domain)
     for r in cells.collect():
         n = sum(r[f"n{i}"] for i in range(len(domains)))
         out.cells[int(r["_cell"])] = [(r[f"n{i}"] + smoothing * prior[i]) / (n + smoothing) for i in range(len(domains))]
