@@ -95,11 +95,9 @@ def cuts(length: int, capacity: int, tail: int) -> Iterator[tuple[int, int]]:
         yield capacity, 1
     rest = length % capacity
     while rest * tail > capacity:
-        k = -(-capacity // rest)
-        if capacity // k > rest:
-            k += 1
-        yield capacity // k, k
-        rest -= capacity // k
+        length = capacity // -(-capacity // rest)  # the longest floor(C / k) in the rest
+        yield length, capacity // length
+        rest -= length
     if rest:
         yield rest, capacity // rest
 

@@ -43,8 +43,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]++")
 URL = re.compile(r"[^\s<>\"'`|\\^{}]++")
-HOST = re.compile(r"(?:[^/?#@\s]*+@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(?::[0-9]+)?(?=[/?#]|$)")
-CUED = re.compile(r"(?:\s*+(?:no\.?|number|nr\.?|id|is|:|#|=))*+\s*+((?=[A-Za-z-]{0,6}[0-9])[A-Za-z0-9]++(?:[ -]?[A-Z0-9]++)*+)", re.I)
+HOST = re.compile(r"(?:[^/?#@\s]{0,200}+@)?([A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,20}+)")
+CUED = re.compile(r"(?:\s*+(?:no\.?|number|nr\.?|id|is|[.:#=]))*+\s*+((?=[A-Za-z-]{0,6}[0-9])[A-Za-z0-9]++(?:[ -]?[A-Z0-9]++)*+)", re.I)
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}[A-Za-z0-9]{11,30}")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -103,19 +103,19 @@ def _phone_ok(found: str) -> bool:
 
 
 def _url(text: str, at: int, scheme: int) -> tuple[int, int] | None:
-    m = URL.match(text, at + scheme)
-    if not m:
-        return None
-    body = m.group().rstrip(".,;:!?)]*_~")
-    if not (host := HOST.match(body)) or any(not x or x[0] == "-" or x[-1] == "-" for x in host[1].split(".")):
+    host = HOST.match(text, at + scheme)  # of bounded length, so a failure costs little
+    if not host or any(x[0] == "-" or x[-1] == "-" for x in host[1].split(".")):
         return None
-    return at, at + scheme + len(body)
+    end = URL.match(text, at + scheme).end()
+    while end > host.end() and text[end - 1] in ".,;:!?)]*_~":
+        end -= 1
+    return at, end
 
 
 def _account(text: str, at: int) -> tuple[int, int] | None:
     """The identifier after a cue that ends at ``at``: a valid IBAN or 5 to 34 letters
     and digits, 4 digits or more."""
-    m = CUED.match(text, at)
+    m = CUED.match(text, at, at + 160)  # bounded, so a failure costs little
     if not m:
         return None
     start, found = m.start(1), m[1]
