@@ -150,14 +150,15 @@ def _totals(rows: DataFrame, domains: int, rate: Column) -> np.ndarray:
     return np.array([float(x or 0) for x in sums])
 
 
-def fit_rates(rows: DataFrame, targets: list[float], steps: int = 40, every: int = 8, tolerance: float = 1e-9) -> DataFrame:
+def fit_rates(rows: DataFrame, targets: list[float], steps: int = 40, every: int = 8, tolerance: float = 1e-7) -> DataFrame:
     """``rows`` (n_tokens, p0, p1...) with ``rate``: nonnegative, and such that the sums
     of rate * n_tokens * p come as near to ``targets`` as can be.
 
     Projected gradient descent from rate 1 on the squared distance of the domains'
     totals, weighted by the inverse of their Gram matrix G (the sums of n_tokens * pi *
     pj); a row's step is its posterior times G^-1 times the residual, and below 0 it is
-    cut. Documents without tokens have no say and keep the rate of their posterior.
+    cut. Where many rates are cut at 0 the distance falls by a constant factor a step.
+    Documents without tokens have no say and keep the rate of their posterior.
     """
     k = len(targets)
     p = [F.col(f"p{i}") for i in range(k)]

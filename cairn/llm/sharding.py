@@ -4,7 +4,7 @@ Documents with equal texts are linked; an edge is cut when its two ends lie in
 different shards. Every document begins in a pseudo-random shard. In each round a
 group's members move towards the shard where most of their neighbours are, under
 capacity quotas: what a shard takes in and what stays there may not pass its quota,
-and the groups that save most edges go first. When no more moves are admitted,
+and the groups that save most edges go first. When every group has gathered,
 documents without links fill every shard to its quota exactly, so that the counts of
 documents differ by one at most.
 
@@ -27,15 +27,26 @@ def _quota(total: int, shards: int, shard: Column) -> Column:
     return F.lit(total // shards) + (shard < total % shards).cast("int")
 
 
-def _targets(counts: DataFrame, shards: int, total: int) -> DataFrame:
+def _wanted(size: Column, shards: int, total: int) -> Column:
+    """In how many shards a group gathers: one, or more if it is larger than a quota."""
+    return F.greatest(F.lit(1), F.ceil(size / F.lit(max(1, total // shards))))
+
+
+def _targets(counts: DataFrame, shards: int, total: int, turn: int) -> DataFrame:
     """(gid, target, moving): where each group gathers and how many rows move there.
     ``counts``: (gid, shard, n). Targets are admitted by falling gain while the rows that
-    stay and those that come fit the target's quota."""
-    # A group larger than a quota fills several shards: it gathers in as many.
+    stay and those that come fit the target's quota. Shards with room for the whole
+    group are preferred; each turn one more shard by hash is a candidate."""
     size = counts.groupBy("gid").agg(F.sum("n").alias("size"), F.count("*").alias("parts"))
-    wanted = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(max(1, total // shards))))
-    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("n"), F.pmod(F.xxhash64("gid", "shard"), F.lit(1 << 20)), "shard"))
-    ranked = counts.join(size, "gid").withColumn("rank", rank)  # at most ``shards`` rows a group
+    wanted = _wanted(F.col("size"), shards, total)
+    linked = counts.groupBy("shard").agg(F.sum("n").alias("linked"))
+    other = F.pmod(F.xxhash64("gid", F.lit(turn)), F.lit(shards)).cast("int")
+    others = size.where(F.col("parts") > wanted).select("gid", other.alias("shard"), F.lit(0).cast("long").alias("n"))
+    known = counts.union(others).groupBy("gid", "shard").agg(F.max("n").alias("n"))
+    known = known.join(F.broadcast(linked), "shard", "left").join(size, "gid")  # linked: one row a shard
+    fits = F.coalesce("linked", F.lit(0)) + F.col("size") - F.col("n") <= _quota(total, shards, F.col("shard"))
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy(fits.desc(), F.desc("n"), F.xxhash64("gid", "shard"), "shard"))
+    ranked = known.withColumn("rank", rank)  # at most ``shards`` rows a group
     gathers = ranked.where(F.col("rank") <= wanted)
     split = F.col("parts") > wanted
     leaving = ranked.where(F.col("rank") > wanted).groupBy("gid").agg(F.sum("n").alias("leaving"))
@@ -44,7 +55,6 @@ def _targets(counts: DataFrame, shards: int, total: int) -> DataFrame:
     # Bins of equal gain (the edges that a move saves), cut finer by a hash of the group.
     gain = F.floor(F.log2(F.col("moving") * F.col("there") + 1) * 4)
     offers = offers.withColumn("bin", (1000 - gain) * 256 + F.pmod(F.xxhash64("gid"), F.lit(256)))
-    linked = counts.groupBy("shard").agg(F.sum("n").alias("linked"))
     bins = offers.groupBy("target", "bin").agg(F.sum("moving").alias("in"))
     running = F.sum("in").over(Window.partitionBy("target").orderBy("bin"))
     admitted = (
@@ -99,11 +109,12 @@ def assign_shards(
     groups = rows.groupBy("gid").count().where("count > 1").select("gid")
     first = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     state = store(rows.join(groups, "gid", "left_semi").select("row", "gid", first.alias("shard")), "shard-state")
-    for _ in range(rounds):
+    for turn in range(rounds):
         counts = store(state.groupBy("gid", "shard").agg(F.count("*").alias("n")), "shard-counts")
-        targets = store(_targets(counts, shards, total), "shard-targets")
-        if targets.isEmpty():
+        sizes = counts.groupBy("gid").agg(F.sum("n").alias("size"), F.count("*").alias("parts"))
+        if sizes.where(F.col("parts") > _wanted(F.col("size"), shards, total)).isEmpty():
             break
+        targets = store(_targets(counts, shards, total, turn), "shard-targets")
         after = store(_round(state, targets), "shard-state")
         release(state)
         state = after

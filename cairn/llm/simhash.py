@@ -16,6 +16,8 @@ spanning forest of the links instead of all pairs. A segment value that more tha
 grouped by the rest of the fingerprint with every choice of d bits masked out. Who
 agrees under a mask differs in those bits only, so each group is a clique and a star
 to its smallest member loses no connection, at a cost in proportion to the members.
+(For distances over 3 there would be more masks than pairs; runs are then compared
+pair by pair at any size.)
 """
 
 from __future__ import annotations
@@ -173,7 +175,7 @@ def links(fps: DataFrame, distance: int = 3, run_limit: int = 8192) -> DataFrame
     counts = filed.where("probe = 0").groupBy("seg", "key").count()
     hot = store(counts.where(F.col("count") > run_limit).select("seg", "key"), "hot-segments")
     plain, masked = filed, None
-    if not hot.isEmpty():
+    if distance <= 3 and not hot.isEmpty():  # beyond, masks outnumber any run's pairs
         # Who probes a hot value, or is itself hot and probes another, meets by masks.
         widths = [w for _, w in _segments(distance)]
         lower = F.filter(

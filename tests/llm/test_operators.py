@@ -485,13 +485,13 @@ def test_rates_meet_targets(spark):
     goal = [3000.0, 500.0, 1500.0]
     got = np.array([tuple(x) for x in mixing.fit_rates(rows, goal).collect()])
     assert (got[:, 4] >= 0).all()
-    assert np.allclose((got[:, 0] * got[:, 4]) @ got[:, 1:4], goal, rtol=1e-6)
+    assert np.allclose((got[:, 0] * got[:, 4]) @ got[:, 1:4], goal, rtol=1e-4)
     # The same steps in numpy.
     rate, t = np.ones(300), got[:, 0]
     solve = np.linalg.pinv((got[:, 1:4].T * t) @ got[:, 1:4])
     for _ in range(40):
         rate = np.maximum(0, rate + got[:, 1:4] @ (solve @ (goal - (t * rate) @ got[:, 1:4])))
-    assert np.allclose(rate, got[:, 4], atol=1e-6)
+    assert np.allclose(rate, got[:, 4], atol=1e-5)
 
 
 def test_mix(spark, docs, rows):
@@ -506,7 +506,7 @@ def test_mix(spark, docs, rows):
     assert len(got) == len(marked) + len(rows) and all(x.rate >= 0 and x.copies >= 0 for x in got)
     total = sum(x.n_tokens for x in got)
     for d, w in MIX_WEIGHTS.items():
-        assert sum(x.n_tokens * x.rate * x[f"p_{d}"] for x in got) == pytest.approx(w * total, rel=1e-6)
+        assert sum(x.n_tokens * x.rate * x[f"p_{d}"] for x in got) == pytest.approx(w * total, rel=1e-4)
     copies = collections.Counter()
     for x in got:
         copies[x.doc_id] += x.copies
