@@ -23,6 +23,9 @@ TYPE_MAP = {
     "bool": "boolean",
 }
 
+# Date, hour and minute with anything after them: seconds, 1 to 9 fraction digits, a zone.
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+
 
 def coerce_schema(
     df: DataFrame,
@@ -58,7 +61,12 @@ def coerce_schema(
                 e = c.cast("timestamp_ntz")
             else:
                 text = F.trim(c.cast("string"))
-                e = utc_wall_clock(parse_timestamp(text, [ISO_LOCAL] + fmts))
+                # any other ISO shape: a zone is honoured, text without one is UTC
+                iso = F.when(
+                    text.rlike(ISO_SHAPE),
+                    F.coalesce(F.try_to_timestamp(F.concat(text, F.lit("Z"))), F.try_to_timestamp(text)),
+                )
+                e = utc_wall_clock(F.coalesce(parse_timestamp(text, [ISO_LOCAL] + fmts), iso))
         elif target == "string":
             e = c.cast("string")
         else:

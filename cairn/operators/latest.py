@@ -8,6 +8,7 @@ aggregation), so a hot key costs one row per partition on the wire.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,13 @@ def attach_key_stats(
         F.stddev_pop(F.col(quote(value)).cast("double")).alias(f"{prefix}stddev_pop"),
         F.count(F.lit(1)).alias(f"{prefix}rows"),
     )
-    return df.join(stats, on=list(keys), how="left")
+    # NULL keys are a group like any other, so the join back is null-safe.
+    own = [f"__cairn_key_{i}" for i in range(len(keys))]
+    renamed = stats.withColumnsRenamed(dict(zip(keys, own)))
+    same = [F.col(quote(k)).eqNullSafe(F.col(o)) for k, o in zip(keys, own)]
+    joined = df.join(renamed, on=functools.reduce(Column.__and__, same), how="left")
+    first = list(keys)
+    return joined.select(*map(quote, first + [c for c in df.columns if c not in first]), *[c for c in stats.columns if c not in keys])
 
 
 def key_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

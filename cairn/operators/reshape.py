@@ -69,7 +69,8 @@ def unpivot_columns(
     Columns of different types need ``value_type`` (a common type to cast to)."""
     if not columns:
         raise ValueError("no columns to unpivot")
-    ids = [c for c in df.columns if c not in set(columns)]
+    taken = {c.lower() for c in columns}  # names match as Spark resolves them
+    ids = [c for c in df.columns if c.lower() not in taken]
     src = df
     if value_type:
         src = df.withColumns({c: F.col(quote(c)).cast(value_type) for c in columns})

@@ -69,8 +69,14 @@ def extract_increment(
     ts_fields = [c for c, t in schema.items() if TYPE_MAP.get(t) == "timestamp_ntz"]
     cleaned = clean_strings(raw, exclude=ts_fields)
     typed = coerce_schema(cleaned, schema)
+    # A timestamp that is no timestamp must not vanish while the mark moves on.
+    given = cleaned.filter(F.trim(F.col(f"`{ts_column}`").cast("string")) != "").count()
+    parsed = typed.filter(F.col(f"`{ts_column}`").isNotNull()).count()
+    if given > parsed:
+        raise ValueError(f"{given - parsed} values of {ts_column} are not timestamps; nothing was written")
     mark = state.load(entity)
-    typed = incremental_filter(typed, ts_column, mark, is_historical, floor_to_day)
+    # Dates are replaced whole, so what is written always begins at midnight.
+    typed = incremental_filter(typed, ts_column, mark, is_historical, True)
     write_by_date(typed, target, ts_column)
     # the mark moves only after the data is written
     written = spark.read.parquet(target)

@@ -49,28 +49,25 @@ OUTPUT_COLUMNS = [
 ]
 
 
+# Recency scores, then labels by the upper end of the mean score (True: end included).
+SEGMENT_RULES = (
+    ((5,), ((2, False, SEGMENT_NEW), (3, False, SEGMENT_POTENTIAL), (5, True, SEGMENT_CHAMPIONS))),
+    ((4,), ((1, True, SEGMENT_PROMISING), (3, False, SEGMENT_POTENTIAL), (5, True, SEGMENT_LOYAL))),
+    ((3,), ((2, True, SEGMENT_NEEDS_ATTENTION), (3, False, SEGMENT_LOYAL), (3, True, SEGMENT_ABOUT_TO_SLEEP), (5, True, SEGMENT_LOYAL))),
+    ((1, 2), ((2, True, SEGMENT_HIBERNATING), (4, True, SEGMENT_AT_RISK), (5, True, SEGMENT_CANNOT_LOSE))),
+)
+
+
 def rfm_segment(recency_score: Column, mean_mf: Column) -> Column:
-    """Segment from the recency score and m = (frequency + monetary score) / 2."""
-    r, m = recency_score, mean_mf
-    return (
-        F.when(
-            r == 5,
-            F.when(m < 2, SEGMENT_NEW).when(m < 3, SEGMENT_POTENTIAL).when(m <= 5, SEGMENT_CHAMPIONS),
-        )
-        .when(
-            r == 4,
-            F.when(m == 1, SEGMENT_PROMISING).when(m < 3, SEGMENT_POTENTIAL).when(m <= 5, SEGMENT_LOYAL),
-        )
-        .when(
-            r == 3,
-            F.when(m <= 2, SEGMENT_NEEDS_ATTENTION).when(m == 3, SEGMENT_ABOUT_TO_SLEEP).when(m <= 5, SEGMENT_LOYAL),
-        )
-        .when(
-            r <= 2,
-            F.when(m <= 2, SEGMENT_HIBERNATING).when(m <= 4, SEGMENT_AT_RISK).when(m <= 5, SEGMENT_CANNOT_LOSE),
-        )
-        .otherwise(SEGMENT_NOT_FOUND)
-    )
+    """Segment from the recency score and the mean of frequency and monetary score (1
+    to 5 each); the label for no segment where the recency score is none of 1 to 5."""
+    cases = [
+        (recency_score.isin(*scores) & ((mean_mf <= end) if closed else (mean_mf < end)), label)
+        for scores, bounds in SEGMENT_RULES
+        for end, closed, label in bounds
+    ]
+    known = recency_score.isin(1, 2, 3, 4, 5)
+    return F.coalesce(*[F.when(test, F.lit(label)) for test, label in cases], F.when(~F.coalesce(known, F.lit(False)), F.lit(SEGMENT_NOT_FOUND)))
 
 
 def _as_of_col(as_of) -> Column:
