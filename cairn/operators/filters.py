@@ -55,8 +55,17 @@ def exclude_by_params(df: DataFrame, params) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
-def lookup_one(df: DataFrame, params, key_columns: Sequence[str] | None = None) -> DataFrame:
-    """Exact-match lookup by several attributes (F4); at most two rows are read
-    back by the caller to tell 'none' from 'ambiguous'."""
+def lookup_one(
+    df: DataFrame, params, key_columns: Sequence[str] | None = None, require: bool = False
+) -> DataFrame:
+    """Exact-match lookup by several attributes.
+
+    With ``require`` anything but one match is an error that tells none from several;
+    at most two matches are read for it."""
     out = filter_by_params(df, params)
-    return out.select(*key_columns) if key_columns else out
+    out = out.select(*key_columns) if key_columns else out
+    if require:
+        found = out.limit(2).count()
+        if found != 1:
+            raise LookupError("no row matches" if found == 0 else "more than one row matches")
+    return out

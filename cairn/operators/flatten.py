@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.names import dedupe_names, normalize_name, quote
-from ..session import spread
 
 log = logging.getLogger(__name__)
 
@@ -98,14 +97,16 @@ def flatten_columns(
     keys: Mapping[str, Sequence[str]] | None = None,
     uppercase: bool = True,
     on_invalid: str = "keep",
-    max_columns: int = 2000,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """One column per JSON key, named ``COLUMN__KEY``; flattened columns removed.
 
     ``columns``: names (or ``{"name": ...}`` objects); ``None`` discovers them.
-    ``keys``: explicit key lists per column, which skips key discovery.
+    ``keys``: explicit key lists per column, which skips key discovery; with
+    ``on_invalid="keep"`` one aggregation still looks for values that are no objects.
     ``on_invalid``: "keep" leaves a column with non-object values unchanged;
     "null" flattens it anyway (those rows give NULLs).
+    ``max_columns``: more new columns than this are an error (default: no limit).
     New columns come first, then the remaining columns in their order.
     """
     if on_invalid not in ("keep", "null"):
@@ -120,7 +121,6 @@ def flatten_columns(
     if missing:
         raise ValueError(f"columns not found: {missing}")
     names = [by_lower[c.lower()] for c in names]
-    df = spread(df)
 
     if keys is None:
         found, bad, seen = discover_keys(df, names, max_keys=max_columns)
@@ -128,6 +128,9 @@ def flatten_columns(
         found = {c: list(keys.get(c, [])) for c in names}
         bad = {c: False for c in names}
         seen = {c: True for c in names}
+        if on_invalid == "keep":
+            objects = set(discover_json_columns(df, names))
+            bad = {c: c not in objects for c in names}
 
     # kept unchanged: columns with non-objects (on_invalid="keep") and all-NULL ones
     keep = {c for c in names if (bad[c] and on_invalid == "keep") or not seen[c]}
@@ -135,7 +138,7 @@ def flatten_columns(
         log.warning("column %s holds values that are not JSON objects; kept as is", c)
     flat = [c for c in names if c not in keep]
     total = sum(len(found[c]) for c in flat)
-    if total > max_columns:
+    if max_columns is not None and total > max_columns:
         raise ValueError(f"flatten would add {total} columns (max_columns={max_columns})")
 
     # Parse each column once into a map, then index it per key.
@@ -147,7 +150,7 @@ def flatten_columns(
     new_exprs, new_names = [], []
     for c in flat:
         for k in found[c]:
-            name = f"{normalize_name(c)}__{normalize_name(k)}".replace('"', "")
+            name = f"{normalize_name(c)}__{normalize_name(k)}"
             new_names.append(name.upper() if uppercase else name)
             new_exprs.append(F.col(parsed[c]).getItem(k))
     rest = [c for c in df.columns if c not in set(flat)]

@@ -21,6 +21,19 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(quote(c)) if isinstance(c, str) else c for c in names]
 
 
+def comparable_row(df: DataFrame) -> Column:
+    """The whole row as a struct that can be ordered: a column that holds a map anywhere,
+    which Spark cannot order, takes part as its JSON text."""
+    return F.struct(
+        *[
+            F.to_json(F.struct(F.col(quote(f.name)).alias("v"))).alias(f"c{i}")
+            if "map<" in f.dataType.simpleString()
+            else F.col(quote(f.name)).alias(f"c{i}")
+            for i, f in enumerate(df.schema.fields)
+        ]
+    )
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,7 +44,7 @@ def latest_per_key(
     the whole row (greatest wins), so the pick is deterministic (W2, W4, T1)."""
     cols = df.columns
     row = F.struct(*[F.col(quote(c)) for c in cols])
-    order = F.struct(*_cols(order_by), row.alias("__row"))
+    order = F.struct(*_cols(order_by), comparable_row(df).alias("__row"))
     src = df if keep_null_keys else df.dropna(subset=list(keys))
     return (
         src.groupBy(*[F.col(quote(k)) for k in keys])
@@ -71,6 +84,6 @@ def key_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*[F.col(quote(k)) for k in keys]).agg(
         F.sum(v).alias("total"),
         (F.sum(v).cast("double") / F.count(v)).alias("mean"),
-        F.round(F.stddev_pop(v.cast("double")), 4).alias("std"),
+        F.stddev_pop(v.cast("double")).alias("std"),
         F.count(F.lit(1)).alias("rows"),
     )

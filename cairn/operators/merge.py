@@ -8,9 +8,10 @@ Several source rows on one target key: the greatest by ``order_by`` wins
 (default: the whole source row), so reruns give the same table.
 
 Plan: the update side de-duplicates the source with ``max_by`` (partial
-aggregation, skew-safe). When the source is provably small (``limit(n+1).count()``
-at most ``broadcast_rows``) it is broadcast and the target is never shuffled;
-otherwise both joins are shuffle joins on the keys and AQE handles skew.
+aggregation, skew-safe). No job runs to choose a join: Spark measures each shuffled
+side in bytes and broadcasts one below ``spark.sql.autoBroadcastJoinThreshold``; else
+both joins are shuffle joins on the keys and AQE splits skewed keys. Source rows with a
+NULL key take part in no join.
 """
 
 from __future__ import annotations
@@ -23,13 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.names import quote
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+from .latest import comparable_row
 
 
 def align_to_schema(df: DataFrame, schema: StructType, strict: bool = True) -> DataFrame:
@@ -73,15 +68,27 @@ def to_dataframe(spark: SparkSession, source, schema: StructType | None = None)
     raise TypeError("source must be a DataFrame, pandas frame, list of dicts, table name or file path")
 
 
+def borrow_types(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns that ``schema`` also has, cast to its types; the others as they are."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    return df.select(
+        *[F.col(quote(c)).cast(types[c.lower()]).alias(c) if c.lower() in types else F.col(quote(c)) for c in df.columns]
+    )
+
+
 def merge_upsert(
     target: DataFrame,
-    source: DataFrame,
+    source,
     source_on: Sequence[str],
     target_on: Sequence[str] | None = None,
     order_by: Sequence[str] | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """The target's new contents after the merge, in the target's schema."""
+    """The target's new contents after the merge, in the target's schema.
+
+    ``source``: a DataFrame, or anything ``to_dataframe`` takes (rows, a pandas frame, a
+    table name, a file), which borrows the types of the target's columns."""
+    if not isinstance(source, DataFrame):
+        source = borrow_types(to_dataframe(target.sparkSession, source), target.schema)
     target_on = list(target_on or source_on)
     source_on = list(source_on)
     if not source_on or len(source_on) != len(target_on):
@@ -97,25 +104,22 @@ def merge_upsert(
     # source rows that can match: keys all non-null; one winner per key
     s_key_alias = [f"__sk{i}" for i in range(len(source_on))]
     row = F.struct(*[F.col(quote(c)) for c in s_cols])
-    order = F.struct(*[F.col(quote(c)) for c in (order_by or [])], row.alias("__row"))
-    keyed = source.filter(
-        reduce(lambda a, b: a & b, [F.col(quote(k)).isNotNull() for k in source_on])
-    )
+    order = F.struct(*[F.col(quote(c)) for c in (order_by or [])], comparable_row(source).alias("__row"))
+    has_key = reduce(lambda a, b: a & b, [F.col(quote(k)).isNotNull() for k in source_on])
+    keyed = source.filter(has_key)
     winners = (
         keyed.groupBy(*[F.col(quote(k)).alias(a) for k, a in zip(source_on, s_key_alias)])
         .agg(F.max_by(row, order).alias("__w"))
         .select(*s_key_alias, *[F.col("__w").getField(c).alias(f"__s_{c}") for c in s_cols])
         .withColumn("__matched", F.lit(True))
     )
-    small = fits_broadcast(source, broadcast_rows)
-    w_side = F.broadcast(winners) if small else winners
 
     # 1) every target row, updated where a winner matches
     cond = reduce(
         lambda a, b: a & b,
-        [target[quote(t)] == w_side[a] for t, a in zip(target_on, s_key_alias)],
+        [target[quote(t)] == winners[a] for t, a in zip(target_on, s_key_alias)],
     )
-    joined = target.join(w_side, cond, "left")
+    joined = target.join(winners, cond, "left")
     s_by_lower = {c.lower(): c for c in s_cols}
     updated = joined.select(
         *[
@@ -130,18 +134,11 @@ def merge_upsert(
 
     # 2) source rows whose key matches no target row: all inserted
     t_keys = target.select(*[F.col(quote(t)).alias(a) for t, a in zip(target_on, s_key_alias)])
-    if small:
-        # keys of the source that the target holds: a map-side semi join over the
-        # target's key columns only, bounded by the (checked) source key count
-        src_keys = winners.select(*s_key_alias)
-        hit = F.broadcast(t_keys.join(F.broadcast(src_keys), s_key_alias, "left_semi").distinct())
-    else:
-        hit = t_keys
-    inserts_src = source.join(
-        hit,
-        reduce(lambda a, b: a & b, [source[quote(k)] == hit[a] for k, a in zip(source_on, s_key_alias)]),
+    inserts_src = keyed.join(
+        t_keys,
+        reduce(lambda a, b: a & b, [keyed[quote(k)] == t_keys[a] for k, a in zip(source_on, s_key_alias)]),
         "left_anti",
-    )
+    ).unionByName(source.filter(~has_key))
     inserts = inserts_src.select(
         *[
             F.col(quote(s_by_lower[c.lower()])).cast(tschema[c]).alias(c)

@@ -95,7 +95,7 @@ def global_row_number(
         F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1
     )
     numbered = stored.withColumn(out_col, offset_col + F.col(_POS) + 1).drop(_PID, _POS)
-    _LAST_STORED[id(numbered)] = stored
+    _LAST_STORED[id(numbered)] = (numbered, stored)
     return numbered, total
 
 
@@ -123,16 +123,16 @@ def _exact_counts(metrics: dict, bins: int) -> dict[int, int] | None:
     return counts if sum(counts.values()) == n else None
 
 
-# numbered frame -> the stored frame it reads (so chained passes can release it)
-_LAST_STORED: dict[int, DataFrame] = {}
+# id -> numbered frame (held, so its id is not reused) and the stored frame it reads
+_LAST_STORED: dict[int, tuple[DataFrame, DataFrame]] = {}
 
 
 def release_ranking(df: DataFrame) -> None:
     """Delete the stored pass behind a frame returned by ``distributed_ntile`` /
     ``global_row_number`` once no plan reads it any more."""
-    stored = _LAST_STORED.pop(id(df), None)
-    if stored is not None:
-        release(stored)
+    held = _LAST_STORED.pop(id(df), None)
+    if held is not None:
+        release(held[1])
 
 
 def ntile_of_row_number(rn: Column, total: int, buckets: int) -> Column:
@@ -165,5 +165,5 @@ def distributed_ntile(
     out = numbered.withColumn(
         out_col, ntile_of_row_number(F.col(rn_col), total, buckets)
     ).drop(rn_col)
-    _LAST_STORED[id(out)] = _LAST_STORED.pop(id(numbered))
+    _LAST_STORED[id(out)] = (out, _LAST_STORED.pop(id(numbered))[1])
     return out

@@ -21,8 +21,9 @@ from ..streaming.watermark import WatermarkStore, incremental_filter, next_water
 
 def check_pages_complete(spark: SparkSession, pages_path: str, tenant_field: str | None = None) -> None:
     """Raise when a tenant's landed pages miss a page (shape B paging fields)."""
-    pages = spark.read.json(pages_path)
     key = tenant_field or "__all"
+    tenant = f", `{tenant_field}` STRING" if tenant_field else ""
+    pages = spark.read.schema(f"currentPage BIGINT, totalPages BIGINT{tenant}").json(pages_path)
     if tenant_field is None:
         pages = pages.withColumn(key, F.lit("all"))
     gaps = (

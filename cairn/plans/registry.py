@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from .rfm import rfm_analysis, rfm_segment_counts
+from .rfm import rfm_analysis, rfm_base, rfm_segment_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -119,9 +119,11 @@ _RFM_AS_OF_SQL = _rfm_oracle(
 )
 
 
-def _orders_rfm(spark, sf_dir, window="reference"):
-    return rfm_analysis(
-        table(spark, sf_dir, "orders"),
+def _orders_rfm(spark, sf_dir, window="reference", amount="CAST(o_totalprice AS DECIMAL(18,2))"):
+    """The analysis over orders; the last digits of a deviation depend on the order of
+    addition, so it is rounded here."""
+    rfm = rfm_analysis(
+        table(spark, sf_dir, "orders").withColumn("o_totalprice", F.expr(amount)),
         customer="o_custkey",
         date="o_orderdate",
         amount="o_totalprice",
@@ -129,6 +131,7 @@ def _orders_rfm(spark, sf_dir, window="reference"):
         tiebreak="o_orderkey",
         window=window,
     )
+    return rfm.withColumn("STD_MONETARY_40D", F.round("STD_MONETARY_40D", 4))
 
 
 @register("rfm_analysis", _RFM_REFERENCE_SQL)
@@ -153,6 +156,29 @@ def q_rfm_as_of_window(spark, sf_dir):
     return _orders_rfm(spark, sf_dir, window="as_of")
 
 
+_SMALL = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(18,5))"
+
+
+@register(
+    "rfm_small_amounts",
+    _RFM_REFERENCE_SQL.replace("CAST(o_totalprice AS DECIMAL(18,2))", _SMALL).replace("DECIMAL(38,2)", "DECIMAL(38,5)"),
+)
+def q_rfm_small_amounts(spark, sf_dir):
+    """Amounts of five decimal places keep them."""
+    return _orders_rfm(spark, sf_dir, amount=_SMALL)
+
+
+@register(
+    "rfm_today",
+    """SELECT o_custkey AS CUSTOMER_ID, date_diff('day', CAST(max(o_orderdate) AS DATE), current_date) AS RECENCY
+       FROM orders GROUP BY o_custkey""",
+)
+def q_rfm_today(spark, sf_dir):
+    """Recency counted to the current date."""
+    orders = table(spark, sf_dir, "orders")
+    return rfm_base(orders, "o_custkey", "o_orderdate", "o_totalprice").select("CUSTOMER_ID", "RECENCY")
+
+
 # ---------------------------------------------------------------- ranking
 
 @register(
@@ -198,7 +224,39 @@ def q_window_stats_per_key(spark, sf_dir):
 
     ev = table(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
     out = key_stats(ev, ["user_id"], "value")
-    return out.withColumn("total", F.col("total").cast("decimal(38,2)"))
+    return out.withColumns({"total": F.col("total").cast("decimal(38,2)"), "std": F.round("std", 4)})
+
+
+@register(
+    "window_stats_null_key",
+    """SELECT event_id, nullif(user_id % 7, 0) AS k,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY nullif(user_id % 7, 0)) AS DOUBLE) AS k_sum,
+              COUNT(*) OVER (PARTITION BY nullif(user_id % 7, 0)) AS k_rows
+       FROM events""",
+)
+def q_window_stats_null_key(spark, sf_dir):
+    """Rows with a NULL key are a group of their own."""
+    from ..operators.latest import attach_key_stats
+
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.nullif(F.col("user_id") % 7, F.lit(0)).alias("k"), F.col("value").cast("decimal(18,2)").alias("value")
+    )
+    return attach_key_stats(ev, ["k"], "value", prefix="k_").select("event_id", "k", "k_sum", "k_rows")
+
+
+@register(
+    "latest_per_key_map",
+    """SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id,
+              json_extract_string(arg_max(props, (ts, event_id)), '$.k') AS k
+       FROM events GROUP BY user_id""",
+)
+def q_latest_per_key_map(spark, sf_dir):
+    """Rows that carry a map, which Spark cannot order."""
+    from ..operators.latest import latest_per_key
+
+    ev = table(spark, sf_dir, "events").withColumn("props", F.from_json("props", "map<string,string>"))
+    out = latest_per_key(ev, ["user_id"], ["ts", "event_id"])
+    return out.select("user_id", "event_id", F.col("props")["k"].alias("k"))
 
 
 @register(
@@ -327,12 +385,12 @@ def q_clean_strings(spark, sf_dir):
 
 @register(
     "clean_strings_pages",
-    f"""SELECT page_id, regexp_replace(url, {_CLEAN}, '', 'g') AS url, html FROM pages""",
+    f"""SELECT page_id, regexp_replace(url, {_CLEAN}, '', 'g') AS url, regexp_replace(html, {_CLEAN}, '', 'g') AS html FROM pages""",
 )
 def q_clean_strings_pages(spark, sf_dir):
     from ..operators.columns import clean_strings
 
-    return clean_strings(table(spark, sf_dir, "pages"), exclude=["html"])
+    return clean_strings(table(spark, sf_dir, "pages"))
 
 
 # ---------------------------------------------------------------- flatten
@@ -580,13 +638,13 @@ def q_merge_upsert(spark, sf_dir):
 
 @register("merge_upsert_shuffled", _MERGE_SQL)
 def q_merge_upsert_shuffled(spark, sf_dir):
-    """Same merge with the broadcast path disabled (the large-source plan)."""
+    """The merge after the source was shuffled by another column."""
     from ..operators.merge import merge_upsert
 
     customer = table(spark, sf_dir, "customer")
     customer.createOrReplaceTempView("customer")
-    source = spark.sql(_merge_source_sql())
-    return merge_upsert(customer, source, ["c_custkey"], ["c_custkey"], broadcast_rows=0)
+    source = spark.sql(_merge_source_sql()).repartition("c_nationkey")
+    return merge_upsert(customer, source, ["c_custkey"], ["c_custkey"])
 
 
 # ---------------------------------------------------------------- SQL source
@@ -766,7 +824,7 @@ _EVENT_ITEM_DDL = (
 )
 
 
-def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50):
+def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50, withhold=None):
     """Land events as shape-A API pages: ``{data: [...], meta: {total}}``, 50
     records per page (page = event_id div 50, so a page never grows)."""
     ev = table(spark, sf_dir, "events")
@@ -776,6 +834,8 @@ def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50):
         F.collect_list(F.struct(*[F.col(c) for c in ev.columns])).alias("data")
     )
     n = ev.count()  # the listing total an API would report
+    if withhold is not None:
+        pages = pages.filter(F.col("page") != withhold)
     pages.select("data", F.struct(F.lit(n).cast("bigint").alias("total")).alias("meta")).write.mode(
         "overwrite"
     ).option("timestampNTZFormat", JSON_TS_FORMAT).json(path)
@@ -793,13 +853,14 @@ def q_read_pages(spark, sf_dir):
 
 @register(
     "page_completeness",
-    "SELECT COUNT(*) AS records, COUNT(*) AS expected, true AS complete FROM events",
+    """SELECT COUNT(*) FILTER (WHERE event_id // 50 <> 1) AS records, COUNT(*) AS expected, false AS complete
+       FROM events""",
 )
 def q_page_completeness(spark, sf_dir):
     from ..sources.pages import page_completeness_a
 
     path = _scratch(spark, "pages")
-    _land_event_pages(spark, sf_dir, path)
+    _land_event_pages(spark, sf_dir, path, withhold=1)  # its second page is missing
     pages = spark.read.schema(
         f"data ARRAY<STRUCT<{_EVENT_ITEM_DDL}>>, meta STRUCT<total: BIGINT>"
     ).json(path)
@@ -1028,7 +1089,11 @@ def q_rfm_step_chain(spark, sf_dir):
     from .steps import run_steps
 
     steps = [
-        {"step": "read_table", "params": {"name": f"{sf_dir.rstrip('/')}/orders.parquet"}, "output": "orders"},
+        {"step": "read_sql",
+         "params": {"sql": "SELECT o_orderkey, o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice "
+                           "FROM {{orders}}",
+                    "parameters": {"orders": f"parquet.`{sf_dir.rstrip('/')}/orders.parquet`"}},
+         "output": "orders"},
         {"step": "rfm_analysis", "input": "orders",
          "params": {"customer": "o_custkey", "date": "o_orderdate", "amount": "o_totalprice",
                     "as_of": AS_OF, "tiebreak": "o_orderkey"},
@@ -1036,3 +1101,364 @@ def q_rfm_step_chain(spark, sf_dir):
     ]
     rfm = run_steps(spark, steps)["rfm"]
     return rfm.groupBy("CUSTOMER_TYPE").agg(F.count(F.lit(1)).alias("customers"))
+
+
+# ---------------------------------------------------------------- names, lookups, listings
+
+@register(
+    "sql_like_param",
+    "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment LIKE '%UIL%'",
+)
+def q_sql_like_param(spark, sf_dir):
+    """A value inside a literal, and a table name."""
+    from ..sources.tables import read_sql
+
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    return read_sql(
+        spark, "SELECT c_custkey, c_mktsegment FROM {{t}} WHERE c_mktsegment LIKE '%{{part}}%'",
+        parameters={"t": "customer", "part": "UIL"},
+    )
+
+
+@register(
+    "sql_identifier_param",
+    "SELECT c_custkey, c_nationkey AS picked FROM customer WHERE c_nationkey = 3",
+)
+def q_sql_identifier_param(spark, sf_dir):
+    from ..sources.tables import read_sql
+
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    return read_sql(
+        spark, "SELECT c_custkey, `{{c}}` AS picked FROM customer WHERE {{c}} = {{v}}",
+        parameters={"c": "c_nationkey", "v": 3}, identifiers=["c"],
+    )
+
+
+@register(
+    "flatten_given_keys",
+    """SELECT c_name AS GOOD__NAME, c_custkey,
+              CASE WHEN c_custkey % 5 = 0 THEN 'not json' ELSE '{}' END AS mixed FROM customer""",
+)
+def q_flatten_given_keys(spark, sf_dir):
+    """Given keys: a column that holds other values than objects stays as it is."""
+    from ..operators.flatten import flatten_columns
+
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.to_json(F.struct(F.col("c_name").alias("name"))).alias("good"),
+        F.when(F.col("c_custkey") % 5 == 0, "not json").otherwise("{}").alias("mixed"),
+    )
+    return flatten_columns(c, ["good", "mixed"], keys={"good": ["name"], "mixed": ["a"]})
+
+
+@register(
+    "unpivot_other_case",
+    """SELECT l_orderkey, l_linenumber, 'l_quantity' AS measure, l_quantity AS amount FROM lineitem
+       UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem""",
+)
+def q_unpivot_other_case(spark, sf_dir):
+    from ..operators.reshape import unpivot_columns
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    out = unpivot_columns(li, ["L_QUANTITY", "L_TAX"], "measure", "amount")
+    return out.withColumn("measure", F.lower("measure"))
+
+
+@register("lookup_one", "SELECT n_nationkey, n_name, 'more than one row matches' AS of_region FROM nation WHERE n_nationkey = 7")
+def q_lookup_one(spark, sf_dir):
+    """One match is returned; several are told apart from it."""
+    from ..operators.filters import lookup_one
+
+    nation = table(spark, sf_dir, "nation")
+    try:
+        lookup_one(nation, {"n_regionkey": 1}, require=True)
+        several = "one"
+    except LookupError as e:
+        several = str(e)
+    return lookup_one(nation, {"n_nationkey": 7}, ["n_nationkey", "n_name"], require=True).withColumn("of_region", F.lit(several))
+
+
+@register(
+    "merge_from_file",
+    """SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN upper(c_mktsegment) || '!' ELSE c_mktsegment END AS c_mktsegment,
+              c_acctbal FROM customer
+       UNION ALL SELECT c_custkey + 10000000, upper(c_mktsegment) || '!', NULL FROM customer WHERE c_custkey % 10 = 5""",
+)
+def q_merge_from_file(spark, sf_dir):
+    """The source is a landed JSON file whose keys are text; they take the target's type."""
+    from ..operators.merge import merge_upsert
+
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    path = _scratch(spark, "merge_source") + ".json"
+    changed = F.concat(F.upper("c_mktsegment"), F.lit("!")).alias("c_mktsegment")
+    customer.filter("c_custkey % 5 = 0").select(
+        F.when(F.col("c_custkey") % 10 == 5, F.col("c_custkey") + 10000000).otherwise(F.col("c_custkey"))
+        .cast("string").alias("c_custkey"), changed,
+    ).write.json(path)
+    return merge_upsert(customer, path, ["c_custkey"])
+
+
+@register("read_folder", "SELECT 'part_' || p_partkey || '.v1.txt' AS file_name, p_name AS content FROM part")
+def q_read_folder(spark, sf_dir):
+    """Files of one folder, their names kept whole."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_folder
+
+    root = _scratch(spark, "folder")
+    part = table(spark, sf_dir, "part")
+    name = F.concat(F.lit("part_"), F.col("p_partkey").cast("string"), F.lit(".v1"))
+    write_objects(part.select(name.alias("file_name"), F.col("p_name").alias("file_content")), root, "txt")
+    return read_folder(spark, root).select("file_name", F.decode("file_content", "UTF-8").alias("content"))
+
+
+@register("read_folder_limit", "SELECT CAST(10 AS BIGINT) AS files")
+def q_read_folder_limit(spark, sf_dir):
+    """A listing with a limit, for a folder with more files."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_folder
+
+    root = _scratch(spark, "folder")
+    nation = table(spark, sf_dir, "nation")
+    write_objects(nation.select(F.col("n_name").alias("file_name"), F.col("n_name").alias("file_content")), root)
+    return read_folder(spark, root, limit=10).agg(F.count(F.lit(1)).alias("files"))
+
+
+@register("nested_object_names", "SELECT 'region_' || n_regionkey || '/' || n_nationkey AS name, n_name AS content FROM nation")
+def q_nested_object_names(spark, sf_dir):
+    """Object names that hold a slash."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_objects
+
+    root = _scratch(spark, "nested")
+    n = table(spark, sf_dir, "nation")
+    name = F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit("/"), F.col("n_nationkey").cast("string"))
+    write_objects(n.select(name.alias("file_name"), F.col("n_name").alias("file_content")), root)
+    back = read_objects(spark, root)
+    return back.select(
+        F.regexp_extract("key", r"(region_[0-9]+/[0-9]+)$", 1).alias("name"), F.decode("file_content", "UTF-8").alias("content")
+    )
+
+
+@register("read_listing", "SELECT s_suppkey AS id, s_name AS name FROM supplier")
+def q_read_listing(spark, sf_dir):
+    from ..sources.pages import read_listing
+
+    path = _scratch(spark, "listing")
+    s = table(spark, sf_dir, "supplier")
+    s.groupBy(F.floor(F.col("s_suppkey") / 50).alias("p")).agg(
+        F.collect_list(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))).alias("connections")
+    ).select("connections").repartitionByRange("connections").write.option("maxRecordsPerFile", 1).json(path)
+    return read_listing(spark, path)
+
+
+def _land_numbered_pages(spark, ev, path):
+    """Events as pages of 50 with ``currentPage``, ``totalPages`` and text timestamps."""
+    pages = ev.withColumn("ts", F.date_format("ts", JSON_TS_FORMAT)).groupBy(F.floor(F.col("event_id") / 50).alias("currentPage")).agg(
+        F.collect_list(F.struct(*[F.col(c) for c in ev.columns])).alias("items")
+    )
+    total = ev.select(F.floor(F.col("event_id") / 50)).distinct().count()
+    pages.withColumn("totalPages", F.lit(total)).withColumn("tenant", F.lit("t1")).write.mode("overwrite").json(path)
+
+
+@register("read_pages_numbered", "SELECT 't1' AS tenant, event_id, user_id, event_type FROM events")
+def q_read_pages_numbered(spark, sf_dir):
+    """Pages that carry a tenant and their number; every one is there."""
+    from ..sources.pages import read_pages
+    from .extraction import check_pages_complete
+
+    path = _scratch(spark, "pages")
+    _land_numbered_pages(spark, table(spark, sf_dir, "events"), path)
+    check_pages_complete(spark, path, "tenant")
+    return read_pages(spark, path, "items", "event_id BIGINT, user_id BIGINT, event_type STRING", keep=("tenant",))
+
+
+@register("extract_increment_two_runs", "SELECT event_id, ts, user_id, value FROM events")
+def q_extract_increment_two_runs(spark, sf_dir):
+    """Two runs with the mark in the middle of a day: every event once."""
+    from ..streaming.watermark import WatermarkStore
+    from .extraction import extract_increment
+
+    base = _scratch(spark, "increment")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    noon = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    midnight = F.date_trunc("day", noon)
+    for run, part in enumerate([ev.filter(F.col("ts") < noon), ev.filter(F.col("ts") >= midnight)]):
+        _land_numbered_pages(spark, part, f"{base}/landing{run}")
+        extract_increment(
+            spark, f"{base}/landing{run}", "events",
+            {"event_id": "int64", "ts": "timestamp[ns]", "user_id": "int64", "value": "float64"},
+            f"{base}/target", WatermarkStore(spark, f"{base}/state"), "ts", floor_to_day=False,
+        )
+    return spark.read.parquet(f"{base}/target").select("event_id", "ts", "user_id", "value")
+
+
+@register(
+    "coerce_iso_variants",
+    """SELECT event_id, CASE event_id % 4 WHEN 2 THEN date_trunc('millisecond', ts) WHEN 3 THEN date_trunc('minute', ts)
+                        ELSE ts END AS ts FROM events""",
+)
+def q_coerce_iso_variants(spark, sf_dir):
+    """ISO text with a Z, with an offset, with few fraction digits and without seconds."""
+    from ..operators.coerce import coerce_schema
+
+    kind, t = F.col("event_id") % 4, F.col("ts")
+    text = (
+        F.when(kind == 0, F.concat(F.date_format(t, JSON_TS_FORMAT), F.lit("Z")))
+        .when(kind == 1, F.concat(F.date_format(t + F.expr("INTERVAL 2 HOURS"), JSON_TS_FORMAT), F.lit("+02:00")))
+        .when(kind == 2, F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSS"))
+        .otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm"))
+    )
+    ev = table(spark, sf_dir, "events").select("event_id", text.alias("ts"))
+    return coerce_schema(ev, {"event_id": "int64", "ts": "timestamp[ns]"})
+
+
+@register(
+    "next_watermark_nested",
+    """SELECT strftime(date_trunc('second', MAX(ts)), '%Y-%m-%dT%H:%M:%SZ') AS last_update,
+              COUNT(*) AS values_seen, CAST(0 AS BIGINT) AS values_unparsed FROM events""",
+)
+def q_next_watermark_nested(spark, sf_dir):
+    """The mark from a field inside a record, in text with an offset."""
+    from ..streaming.watermark import next_watermark
+
+    local = F.date_format(F.col("ts") + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd'T'HH:mm:ss")
+    ev = table(spark, sf_dir, "events").select(
+        F.struct(F.concat(local, F.lit("+03:00")).alias("updated_at")).alias("attributes")
+    )
+    return next_watermark(ev, "attributes.updated_at")
+
+
+@register(
+    "watermark_store",
+    """SELECT event_type AS source, strftime(date_trunc('day', MAX(ts)), '%Y-%m-%dT%H:%M:%SZ') AS mark
+       FROM events GROUP BY event_type""",
+)
+def q_watermark_store(spark, sf_dir):
+    """One mark for each event type, saved and loaded again."""
+    from ..streaming.watermark import WatermarkStore, next_watermark
+
+    store = WatermarkStore(spark, _scratch(spark, "marks"))
+    ev = table(spark, sf_dir, "events")
+    kinds = [r[0] for r in ev.select("event_type").distinct().collect()]  # the few event types
+    for kind in kinds:
+        of_kind = next_watermark(ev.filter(F.col("event_type") == kind), "ts", floor="day")
+        store.save(kind, of_kind.first()["last_update"])
+    return spark.createDataFrame([(k, store.load(k)) for k in kinds], "source string, mark string")
+
+
+@register(
+    "write_by_date_one_timestamp",
+    "SELECT '2024-03-01' AS extract_date, COUNT(*) AS events, CAST(SUM(event_id) AS BIGINT) AS ids FROM events",
+)
+def q_write_by_date_one_timestamp(spark, sf_dir):
+    """Every row carries the time of the extraction."""
+    from ..sinks.writers import write_by_date
+
+    path = _scratch(spark, "bydate")
+    ev = table(spark, sf_dir, "events").withColumn("extracted_at", F.lit("2024-03-01 08:00:00").cast("timestamp_ntz"))
+    write_by_date(ev, path, "extracted_at")
+    back = spark.read.parquet(path)
+    return back.groupBy(F.date_format("extract_date", "yyyy-MM-dd").alias("extract_date")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("ids")
+    )
+
+
+@register("ingest_stream_new_checkpoint", "SELECT * FROM events")
+def q_ingest_stream_new_checkpoint(spark, sf_dir):
+    """The checkpoint is lost between two runs: everything is read again, and later
+    records are not hidden."""
+    from pyspark.sql.types import StructType
+
+    from ..streaming.ingest import ingest_stream, read_current
+
+    base = _scratch(spark, "stream")
+    item_schema = StructType.fromDDL(_EVENT_ITEM_DDL)
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    for run, predicate in enumerate([F.col("ts") < cut, F.col("ts") >= cut]):
+        _land_event_pages(spark, sf_dir, f"{base}/landing/run{run}", predicate)
+        ingest_stream(
+            spark, f"{base}/landing/*", item_schema, f"{base}/target", f"{base}/checkpoint{run}", ["event_id"]
+        ).awaitTermination()
+    return read_current(spark, f"{base}/target")
+
+
+@register("csv_quoted", "SELECT doc_id, text FROM documents")
+def q_csv_quoted(spark, sf_dir):
+    """Values with quotes (doubled), delimiters and line breaks."""
+    from ..sources.files import read_file
+
+    path = _scratch(spark, "csv")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    table(spark, sf_dir, "documents").select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(","), F.coalesce(quoted, F.lit(""))).alias("value")
+    ).write.text(path)
+    return read_file(spark, path, "csv", header=False, multiline=True, schema="doc_id BIGINT, text STRING")
+
+
+@register("csv_skip_lines", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def q_csv_skip_lines(spark, sf_dir):
+    """Several files, two lines before the header of each, types inferred."""
+    from ..operators.merge import align_to_schema
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_file
+
+    root = _scratch(spark, "csv_skip")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"))
+    files = c.groupBy(F.floor(F.col("c_custkey") / 500).alias("b")).agg(F.array_join(F.collect_list(line), "\n").alias("body"))
+    head = "made by hand\nsecond line\nc_custkey;c_name;c_acctbal\n"
+    write_objects(
+        files.select(F.concat(F.lit("customers_"), F.col("b").cast("string")).alias("file_name"),
+                     F.concat(F.lit(head), "body", F.lit("\n")).alias("file_content")),
+        root, "csv",
+    )
+    return align_to_schema(read_file(spark, root, "csv", delimiter=";", skip_lines=2), c.schema)
+
+
+@register(
+    "standardized_tables_view",
+    """SELECT c_name AS name, c_nationkey AS nation, 'customer' AS kind, CAST(NULL AS VARCHAR) AS note FROM customer
+       UNION ALL SELECT s_name, s_nationkey, 'supplier', NULL FROM supplier""",
+)
+def q_standardized_tables_view(spark, sf_dir):
+    """Source tables to standard columns, listed by prefix, under one kept view."""
+    import uuid
+
+    from .standardization import standardize_tables, standardized_union_view
+
+    db = f"cairn_{uuid.uuid4().hex[:12]}"
+    where = _scratch(spark, "database")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{where}'")
+    mapping = []
+    for name, short in (("customer", "c"), ("supplier", "s")):
+        table(spark, sf_dir, name).write.saveAsTable(f"{db}.{name}")
+        mapping.append({"source": f"{db}.{name}", "map": {
+            "name": {"value": f"{short}_name", "is_column": True},
+            "nation": {"value": f"{short}_nationkey", "is_column": True},
+            "kind": {"value": name, "is_column": False},
+            "note": {"value": None},
+        }})
+    standardize_tables(spark, mapping)
+    return standardized_union_view(spark, f"{db}.everyone", database=db, persistent=True)
+
+
+@register("flow_extract_text", f"SELECT 'page_' || page_id AS file_name, {_HTML_SQL} AS content FROM pages")
+def q_flow_extract_text(spark, sf_dir):
+    """A chain of steps: objects in, their text, objects out."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_objects
+    from .steps import run_steps
+
+    base = _scratch(spark, "flow")
+    p = table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("page_"), F.col("page_id").cast("string"))
+    write_objects(p.select(name.alias("file_name"), F.col("html").alias("file_content")), f"{base}/in", "html")
+    run_steps(spark, [
+        {"step": "read_objects", "params": {"root": f"{base}/in"}, "output": "objects"},
+        {"step": "coerce_schema", "input": "objects",
+         "params": {"schema": {"file_name": "string", "file_content": "string"}}, "output": "pages"},
+        {"step": "extract_text", "input": "pages",
+         "params": {"html_column": "file_content", "out_column": "file_content"}, "output": "texts"},
+        {"step": "write_objects", "input": "texts", "params": {"root": f"{base}/out", "file_extension": "txt"}},
+    ])
+    return read_objects(spark, f"{base}/out").select("file_name", F.decode("file_content", "UTF-8").alias("content"))

@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 from ..functions.ordering import packed_order
 from ..operators.ranking import distributed_ntile, release_ranking
 
-MONEY = "decimal(18,2)"
-MONEY_SUM = "decimal(38,2)"
-
 # Segment labels and the label for rows without a score.
 SEGMENT_NEW = "New Customers"
 SEGMENT_POTENTIAL = "Potential Loyalist"
@@ -89,12 +86,15 @@ def rfm_base(
     tiebreak: str | None = None,
     window: str = "reference",
 ) -> DataFrame:
-    """Per-customer model and last-transaction columns, before scoring."""
+    """Per-customer model and last-transaction columns, before scoring.
+
+    Amounts keep their own type and scale. Give DECIMAL amounts where sums must be exact:
+    sums of DOUBLE depend on the order of addition in their last digits."""
     if window not in ("reference", "as_of"):
         raise ValueError("window must be 'reference' or 'as_of'")
     as_of_d = _as_of_col(as_of)
     types = dict(df.dtypes)
-    tb = F.col(tiebreak) if tiebreak else F.col(amount).cast(MONEY)
+    tb = F.col(tiebreak) if tiebreak else F.col(amount)
     # latest row = greatest (date, tiebreak); packed into one decimal when possible
     # so the aggregate stays hash-based (see functions/ordering.py)
     packed = packed_order(
@@ -105,7 +105,7 @@ def rfm_base(
     txn = df.select(
         F.col(customer).alias("CUSTOMER_ID"),
         F.col(date).alias("_d"),
-        F.col(amount).cast(MONEY).alias("_amt"),
+        F.col(amount).alias("_amt"),
         F.when(F.col(date).isNotNull(), latest_key).alias("_ord"),
     ).filter(F.col("_d").isNotNull())
     if window == "reference":
@@ -123,9 +123,9 @@ def rfm_base(
     agg = txn.groupBy("CUSTOMER_ID").agg(
         F.max("_d").alias("LASTBUY"),
         F.count("CUSTOMER_ID").alias("FREQUENCY"),
-        F.sum("_amt").cast(MONEY_SUM).alias("MONETARY"),
+        F.sum("_amt").alias("MONETARY"),
         F.max_by(recent(F.col("_amt")), recent(F.col("_ord"))).alias("AMOUNT_LAST_40D"),
-        F.sum(recent(F.col("_amt"))).cast(MONEY_SUM).alias("TOTAL_MONETARY_40D"),
+        F.sum(recent(F.col("_amt"))).alias("TOTAL_MONETARY_40D"),
         F.count(recent(F.col("_amt"))).alias("_n40"),
         F.stddev_pop(recent(amt_d)).alias("_std40"),
         F.count(recent(F.col("_d"))).alias("_rows40"),
@@ -144,7 +144,7 @@ def rfm_base(
             has_recent & (F.col("_n40") > 0),
             F.col("TOTAL_MONETARY_40D").cast("double") / F.col("_n40"),
         ).alias("MEAN_MONETARY_40D"),
-        F.when(has_recent, F.round(F.col("_std40"), 4)).alias("STD_MONETARY_40D"),
+        F.when(has_recent, F.col("_std40")).alias("STD_MONETARY_40D"),
     )
 
 
@@ -192,5 +192,5 @@ def rfm_segment_counts(rfm: DataFrame) -> DataFrame:
     """Customers per segment and recency score."""
     return rfm.groupBy("CUSTOMER_TYPE", "RECENCY_SCORE").agg(
         F.count(F.lit(1)).alias("customers"),
-        F.sum("MONETARY").cast(MONEY_SUM).alias("monetary"),
+        F.sum("MONETARY").alias("monetary"),
     )

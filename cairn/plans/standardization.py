@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.names import quote
 from ..operators.reshape import StandardMapping, standardize, standardized_table_name, union_all
 from ..sinks.writers import create_view, save_table
 from ..sources.tables import list_tables
@@ -53,9 +54,16 @@ def standardized_union_view(
     prefix: str = "STANDARDIZED_",
     database: str | None = None,
     by_name: bool = False,
+    persistent: bool = False,
 ) -> DataFrame:
-    """UNION ALL of every table whose name starts with ``prefix``, as a view."""
+    """UNION ALL of every table whose name starts with ``prefix``, as a view of this
+    session or, with ``persistent``, as a view kept in the catalog."""
     names = list_tables(spark, prefix, database)
     if not names:
         raise ValueError(f"no table starts with {prefix!r}")
+    if persistent:
+        columns = ", ".join(quote(c) for c in spark.table(names[0]).columns) if by_name else "*"
+        parts = " UNION ALL ".join(f"SELECT {columns} FROM {n}" for n in names)
+        spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS {parts}")
+        return spark.table(view_name)
     return create_view(union_all([spark.table(n) for n in names], by_name=by_name), view_name)

@@ -14,8 +14,10 @@ from pyspark.sql.types import StructType
 
 from ..operators import columns, filters, flatten, latest, merge, reshape, text
 from ..operators.coerce import coerce_schema
-from ..session import spread
-from ..sources import files, tables
+from ..sinks import writers
+from ..sources import files, pages, tables
+from ..streaming import watermark
+from .rfm import rfm_analysis
 
 StepFn = Callable[..., object]
 
@@ -52,7 +54,7 @@ def apply_transformation(
         for pdf in batches:
             yield fn(pdf)
 
-    return spread(df).mapInPandas(run, schema)
+    return df.mapInPandas(run, schema)
 
 
 def run_steps(
@@ -88,11 +90,33 @@ def run_steps_file(spark: SparkSession, path: str) -> dict[str, object]:
     return run_steps(spark, steps)
 
 
+def _extract(spark, state_path, **params):
+    from ..streaming.watermark import WatermarkStore
+    from .extraction import extract_increment
+
+    return extract_increment(spark, state=WatermarkStore(spark, state_path), **params)
+
+
+def _union_view(spark, **params):
+    from .standardization import standardized_union_view
+
+    return standardized_union_view(spark, **params)
+
+
 # Built-in steps: sources
-register_source("read_table", lambda spark, name: tables.read_table(spark, name))
-register_source("read_sql", lambda spark, **p: tables.read_sql(spark, **p))
-register_source("read_file", lambda spark, **p: files.read_file(spark, **p))
-register_source("read_objects", lambda spark, **p: files.read_objects(spark, **p))
+for _name, _fn in {
+    "read_table": tables.read_table,
+    "read_sql": tables.read_sql,
+    "read_file": files.read_file,
+    "read_objects": files.read_objects,
+    "read_folder": files.read_folder,
+    "read_pages": pages.read_pages,
+    "read_listing": pages.read_listing,
+    "load_file_to_table": writers.load_file_to_table,
+    "extract_increment": _extract,
+    "standardized_union_view": _union_view,
+}.items():
+    register_source(_name, _fn)
 # transformations
 register_transform("remove_columns", columns.remove_columns)
 register_transform("drop_by_prefix", columns.drop_by_prefix)
@@ -109,6 +133,12 @@ register_transform("exclude_by_params", filters.exclude_by_params)
 register_transform("latest_per_key", latest.latest_per_key)
 register_transform("coerce_schema", coerce_schema)
 register_transform("extract_text", text.extract_text)
+register_transform("objects_to_rows", files.objects_to_rows)
+register_transform("apply_transformation", apply_transformation)
+register_transform("incremental_filter", watermark.incremental_filter)
+register_transform("next_watermark", watermark.next_watermark)
+register_transform("lookup_one", filters.lookup_one)
+register_transform("rfm_analysis", rfm_analysis)
 register_step(
     "concat_by_name", lambda spark, inputs: reshape.concat_by_name(inputs)
 )
@@ -117,23 +147,12 @@ register_step(
 )
 register_step(
     "merge_upsert",
-    lambda spark, inputs, **p: merge.merge_upsert(inputs[0], inputs[1], **p),
+    lambda spark, inputs, source=None, **p: merge.merge_upsert(
+        inputs[0], inputs[1] if len(inputs) > 1 else source, **p
+    ),
 )
-
-
-def _rfm(df, **p):
-    from .rfm import rfm_analysis
-
-    return rfm_analysis(df, **p)
-
-
-register_transform("rfm_analysis", _rfm)
-
-
-def _save(df, **p):
-    from ..sinks.writers import save_table
-
-    save_table(df, **p)
-
-
-register_sink("save_table", _save)
+# sinks; write_objects gives the result of each object as its output
+register_sink("save_table", writers.save_table)
+register_sink("write_by_date", writers.write_by_date)
+register_sink("create_view", writers.create_view)
+register_sink("write_objects", writers.write_objects)

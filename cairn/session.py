@@ -165,22 +165,3 @@ def is_missing_path(exc: Exception) -> bool:
         return False
     cls = exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
     return cls == "PATH_NOT_FOUND"
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy per-row
-    work (regexes, JSON parsing, casts, Python batches).
-
-    A scan yields one task per file split; a single large row group cannot be
-    split, so heavy work on it would run in one task. Only then is a round-robin
-    repartition added; inputs that are already spread (the normal case at scale)
-    are returned unchanged, without a shuffle."""
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Connect session): leave the plan alone
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from ..functions.names import quote
-from ..session import materialize, spread
+from ..session import materialize
 
 
 def save_table(
@@ -38,8 +38,11 @@ def save_table(
     if mode == "overwrite" and spark.catalog.tableExists(name):
         staging = f"{name}__staging_{uuid.uuid4().hex[:8]}"
         w.saveAsTable(staging)
-        spark.sql(f"DROP TABLE {name}")
+        # the old table is dropped only after the new one has its name
+        old = f"{name}__old_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
         spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {old}")
     else:
         w.saveAsTable(name)
 
@@ -64,12 +67,13 @@ def write_by_date(
 
     Rows without a timestamp are dropped (they have no date). Existing dates are
     replaced, others kept (dynamic partition overwrite). Rows are range-partitioned
-    on (date, timestamp) first, so a task writes one or two dates and a heavy date
-    is spread over many tasks."""
+    on (date, timestamp, hash of the row) first, so a task writes one or two dates and
+    a heavy date, even of one timestamp, is spread over many tasks."""
     ts = F.col(quote(ts_column))
     dated = df.filter(ts.isNotNull()).withColumn(date_column, F.to_date(ts))
+    spreading = F.xxhash64(*[F.col(quote(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
     (
-        dated.repartitionByRange(F.col(date_column), ts)
+        dated.repartitionByRange(F.col(date_column), ts, spreading)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_column)
@@ -123,6 +127,8 @@ def _object_writer(root: str, extension: str | None):
                         data = b""
                     else:
                         data = bytes(content)
+                    if "/" in name:
+                        fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
                     with fs.open_output_stream(target) as fh:
                         fh.write(data)
                     out.append((name, key, True, None))
@@ -133,6 +139,12 @@ def _object_writer(root: str, extension: str | None):
     return write
 
 
+def _some(df: DataFrame, text):
+    """The number of rows ``n`` and ``some`` example texts for an error message."""
+    ends = F.array_distinct(F.filter(F.array(F.min("_t"), F.max("_t")), lambda t: t.isNotNull()))
+    return df.select(text.alias("_t")).agg(F.count(F.lit(1)).alias("n"), ends.alias("some")).first()
+
+
 def write_objects(
     objects: DataFrame, root: str, file_extension: str | None = None
 ) -> DataFrame:
@@ -142,20 +154,18 @@ def write_objects(
     Written by the executors in parallel (Arrow batches); failures are collected
     and raised together. Two rows with one name are an error (checked first).
     Returns the per-object result rows."""
-    dups = objects.groupBy("file_name").count().filter(F.col("count") > 1).limit(5).collect()
-    if dups:
-        raise ValueError(f"duplicate object names: {[r['file_name'] for r in dups]}")
+    dups = _some(objects.groupBy("file_name").count().filter(F.col("count") > 1), F.col("file_name"))
+    if dups.n:
+        raise ValueError(f"{dups.n} duplicate object names, such as {sorted(dups.some)}")
     ctype = objects.schema["file_content"].dataType
     if isinstance(ctype, (BinaryType, StringType)):
         content = F.col("file_content")
     else:
         content = F.to_json(F.col("file_content"))
-    src = spread(objects.select("file_name", content.alias("file_content")))
+    src = objects.select("file_name", content.alias("file_content"))
     result = src.mapInPandas(_object_writer(root, file_extension), WRITE_RESULT)
     done = materialize(result, "objects")
-    failed = done.filter(~F.col("ok")).limit(20).collect()
-    if failed:
-        raise RuntimeError(
-            "failed to write objects: " + "; ".join(f"{r['file_name']}: {r['error']}" for r in failed)
-        )
+    failed = _some(done.filter(~F.col("ok")), F.concat_ws(": ", "file_name", "error"))
+    if failed.n:
+        raise RuntimeError(f"{failed.n} objects were not written, such as " + "; ".join(sorted(failed.some)))
     return done

@@ -9,9 +9,6 @@ from pyspark.sql.types import StructType
 # Accepted CSV delimiters.
 CSV_DELIMITERS = (",", ";", "|")
 
-# a per-file row (path + two longs) is about 200 bytes: 200k files ~ 40 MB
-MAX_BROADCAST_FILES = 200_000
-
 
 def read_file(
     spark: SparkSession,
@@ -25,7 +22,9 @@ def read_file(
 ) -> DataFrame:
     """Read parquet / json / csv (S5-S7). CSV: schema inferred unless given.
 
-    ``skip_lines`` drops the first n lines of every CSV file before the header."""
+    ``skip_lines`` drops the first n lines of every CSV file before the header.
+    ``multiline``: records may hold line breaks inside quotes; such a file is read by
+    one task."""
     fmt = fmt.lower()
     if fmt == "parquet":
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
@@ -37,46 +36,59 @@ def read_file(
     if fmt == "csv":
         if delimiter not in CSV_DELIMITERS:
             raise ValueError(f"delimiter must be one of {CSV_DELIMITERS}")
+        if skip_lines and multiline:
+            raise ValueError("skip_lines counts lines, so it cannot go with records of several lines")
+        # a quote inside a quoted value is doubled (RFC 4180), not escaped by a backslash
+        options = {"sep": delimiter, "header": str(header).lower(), "escape": '"'}
         if skip_lines:
-            return _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema)
-        r = spark.read.option("sep", delimiter).option("header", str(header).lower())
+            return _csv_skipping_lines(spark, path, options, skip_lines, schema)
+        r = spark.read.options(**options, multiLine=str(multiline).lower())
         r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
         return r.csv(path)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def _csv_skipping_lines(spark, path, delimiter, header, skip_lines, schema) -> DataFrame:
-    """Drop the first ``skip_lines`` lines of each file, then parse as CSV.
+def _csv_skipping_lines(spark, path, options, skip_lines, schema) -> DataFrame:
+    """Drop the first ``skip_lines`` lines of each file, then parse as CSV, one record a
+    line.
 
     Lines are numbered per file with the file's block start and the position in
-    the reading task; only the first block of a file can hold its first lines."""
+    the reading task; only the first block of a file can hold its first lines. The first
+    line kept of every file is its header, if there is one."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_i"),
     )
-    # one row per input file: broadcast when the listed file count proves it small
+    # one row per input file; Spark chooses the join by its size
     firsts = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
-    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
-    kept = lines.join(firsts, "_f", "left").filter(
-        (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + skip_lines)
-    )
-    if schema is not None:
-        # JVM only: drop each file's header line, parse the rest with from_csv
-        body = kept
-        if header:
-            body = kept.filter((F.col("_b") > 0) | (F.col("_i") > F.col("_i0") + skip_lines))
-        ddl = schema if isinstance(schema, str) else schema.simpleString()
-        if ddl.startswith("struct<"):
-            ddl = ddl[len("struct<"):-1]
-        parsed = F.from_csv(F.col("value"), ddl, {"sep": delimiter})
-        return body.filter(F.length("value") > 0).select(parsed.alias("r")).select("r.*")
-    # schema inference needs Spark's CSV-dataset reader (a Python pass over lines)
-    r = spark.read.option("sep", delimiter).option("header", str(header).lower())
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return r.csv(kept.select("value").rdd.map(lambda row: row[0]))
+    place = F.when(F.col("_b") == 0, F.col("_i") - F.col("_i0") - skip_lines)
+    numbered = lines.join(firsts, "_f", "left").select("value", F.coalesce(place, F.lit(1)).alias("_n"))
+    first = 1 if options["header"] == "true" else 0
+    body = numbered.filter((F.col("_n") >= first) & (F.length("value") > 0)).select("value")
+    head = numbered.filter(F.col("_n") == 0).select("value").limit(1) if first else None
+    if schema is None:
+        # Spark's own reader of strings infers the types, all inside the JVM
+        names = None
+        if head is not None:
+            line = head.first()
+            names = _csv_of(spark, spark.createDataFrame([(line[0] if line else "",)], "value string"), {**options, "header": "false"})
+            names = [str(x) for x in names.first()] if line else []
+        typed = _csv_of(spark, body, {**options, "header": "false", "inferSchema": "true"})
+        return typed.toDF(*names) if names and len(names) == len(typed.columns) else typed
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    if ddl.startswith("struct<"):
+        ddl = ddl[len("struct<"):-1]
+    parsed = F.from_csv(F.col("value"), ddl, {k: v for k, v in options.items() if k != "header"})
+    return body.select(parsed.alias("r")).select("r.*")
+
+
+def _csv_of(spark, lines: DataFrame, options: dict) -> DataFrame:
+    """CSV records from a frame of one string column."""
+    jvm = spark.sparkContext._jvm
+    strings = getattr(lines._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(spark._jsparkSession.read().options(options).csv(strings), spark)
 
 
 def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:

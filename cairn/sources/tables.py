@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PLACEHOLDER = re.compile(r"'\{\{\s*(\w+)\s*\}\}'|\{\{\s*(\w+)\s*\}\}")
+_PLACEHOLDER = re.compile(
+    r"""--[^\n]*|/\*.*?\*/
+    |'(?P<literal>(?:[^'\\]|\\.|'')*)'
+    |`\{\{\s*(?P<quoted>\w+)\s*\}\}`
+    |(?P<keyword>\b(?:FROM|JOIN|INTO|TABLE))(?P<gap>\s+)\{\{\s*(?P<named>\w+)\s*\}\}
+    |\{\{\s*(?P<plain>\w+)\s*\}\}""",
+    re.VERBOSE | re.IGNORECASE | re.DOTALL,
+)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -25,11 +32,33 @@ def _params(parameters) -> dict[str, object]:
     return {p["key"]: p["value"] for p in parameters}
 
 
-def to_named_markers(sql: str) -> str:
-    """Rewrite ``{{name}}`` (or ``'{{name}}'``) into the named marker ``:name``.
+def to_named_markers(sql: str, identifiers: Collection[str] = ()) -> str:
+    """Rewrite ``{{name}}`` into the named marker ``:name``; values are then bound by
+    Spark as literals, never spliced into the text.
 
-    Values are then bound by Spark as literals, never spliced into the text."""
-    return _PLACEHOLDER.sub(lambda m: ":" + (m.group(1) or m.group(2)), sql)
+    A placeholder that is a whole literal (``'{{x}}'``) becomes the marker alone; one
+    inside a literal (``'%{{x}}%'``) becomes part of a concatenation. One in back quotes,
+    after FROM, JOIN, INTO or TABLE, or named in ``identifiers`` is a name: it becomes
+    ``IDENTIFIER(:name)``."""
+
+    def literal(text: str) -> str:
+        pieces = re.split(r"\{\{\s*(\w+)\s*\}\}", text)
+        if len(pieces) == 1:
+            return f"'{text}'"
+        parts = [f":{x}" if i % 2 else f"'{x}'" for i, x in enumerate(pieces) if x]
+        return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
+
+    def rewrite(m: re.Match) -> str:
+        if m["literal"] is not None:
+            return literal(m["literal"])
+        name = m["quoted"] or m["named"] or m["plain"]
+        if name is None:  # a comment
+            return m[0]
+        if m["plain"] and name not in identifiers:
+            return f":{name}"
+        return f"{m['keyword'] or ''}{m['gap'] or ''}IDENTIFIER(:{name})"
+
+    return _PLACEHOLDER.sub(rewrite, sql)
 
 
 def read_sql(
@@ -37,18 +66,24 @@ def read_sql(
     sql: str | None = None,
     sql_file: str | None = None,
     parameters=None,
+    identifiers: Collection[str] = (),
 ) -> DataFrame:
     """Run a SQL text or file with ``{{param}}`` parameters.
 
-    ``parameters``: ``[{key, value}]`` or a dict. A table name can be bound with
-    ``IDENTIFIER(:name)``."""
+    ``parameters``: ``[{key, value}]`` or a dict. Table names are bound after FROM and
+    JOIN; ``identifiers`` names the parameters that are column names. Inside a literal a
+    value is bound as text. A placeholder without a parameter is an error."""
     if sql is None and sql_file is None:
         raise ValueError("give a SQL text or a SQL file")
     if sql is None:
         with open(sql_file, encoding="utf-8") as fh:
             sql = fh.read()
     args = _params(parameters)
-    text = to_named_markers(sql)
+    text = to_named_markers(sql, identifiers)
+    unknown = {x for m in _PLACEHOLDER.finditer(sql) for x in re.findall(r"\{\{\s*(\w+)\s*\}\}", m[0])
+               if not m[0].startswith(("--", "/*"))} - set(args)
+    if unknown:
+        raise KeyError(f"no value for {sorted(unknown)}")
     return spark.sql(text, args=args) if args else spark.sql(text)
 
 

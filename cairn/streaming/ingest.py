@@ -3,15 +3,15 @@
 ``readStream`` over the landed-pages folder replaces the hand-kept watermark file:
 the stream checkpoint records which files were consumed, ``trigger(availableNow)``
 processes what is there and stops, and each micro-batch is **upserted** into the
-target on its key, so a page landed twice (inclusive ``>=`` re-reads) never
-duplicates rows.
-
-Target layout: one snapshot folder per committed batch ``{target}/v=<epoch>`` and
-a commit log ``{target}/_commits`` (appended rows; the greatest epoch wins). A
-batch re-run after a failure rewrites its own snapshot from the last snapshot
-committed *before* it, so replays are idempotent. On a catalog with row-level
-MERGE (a table format such as Delta or Iceberg) ``DataFrame.mergeInto`` would
-replace the snapshot rewrite.
+target on its key, so a page landed twice (inclusive ``>=`` re-reads) or read again
+under a new checkpoint never duplicates rows.
+
+The target is a plain parquet table partitioned by ``part``, a hash of the key: a key
+always lives in one partition, so a micro-batch reads and replaces (dynamic partition
+overwrite) only the partitions of its own keys. Choose ``parts`` so that a partition is
+a few hundred megabytes. A batch that is run again gives the same rows. Readers should
+not run during the last step of a batch, when folders are exchanged; a catalog whose
+tables have row-level MERGE does without both limits.
 """
 
 from __future__ import annotations
@@ -19,79 +19,89 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from ..functions.names import quote
 from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
-from ..session import is_missing_path
+from ..session import materialize, release
 
-COMMITS_SCHEMA = StructType(
-    [StructField("epoch", LongType(), False), StructField("path", StringType(), False)]
-)
+PART = "part"
+DEFAULT_PARTS = 64
 
 
-def _last_commit(spark: SparkSession, target: str, before: int | None = None) -> str | None:
-    try:
-        commits = spark.read.schema(COMMITS_SCHEMA).parquet(f"{target}/_commits")
-    except Exception as e:
-        if is_missing_path(e):  # nothing committed yet; other errors propagate
-            return None
-        raise
-    if before is not None:
-        commits = commits.filter(F.col("epoch") < before)
-    rows = commits.agg(F.max_by("path", "epoch").alias("p")).collect()
-    return rows[0]["p"] if rows and rows[0]["p"] else None
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _read_parts(spark: SparkSession, target: str, schema: StructType) -> DataFrame | None:
+    # a missing table is looked for, not found out by an error
+    if not _exists(spark, target):
+        return None
+    return spark.read.schema(StructType([*schema.fields, StructField(PART, IntegerType())])).parquet(target)
 
 
 def read_current(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame | None:
-    """The latest committed snapshot of ``target`` (None before the first commit)."""
-    path = _last_commit(spark, target.rstrip("/"))
-    if path is None:
+    """The rows of ``target`` (None before the first batch)."""
+    target = target.rstrip("/")
+    if not _exists(spark, target):
         return None
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(target).drop(PART)
 
 
 def upsert_batch(
     batch: DataFrame,
-    epoch: int,
     target: str,
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
+    parts: int = DEFAULT_PARTS,
 ) -> None:
-    """Merge one micro-batch into the target and commit a new snapshot.
+    """Merge one micro-batch into the partitions of ``target`` that hold its keys.
 
-    The batch is read by several branches (dedup, NULL keys, merge, size check),
-    so it is kept once for the duration of the call; the file source can replay
-    it if blocks are lost."""
+    Of records with one key in a batch the greatest by ``order_by`` (then by the whole
+    row) stays. Rows with a NULL key match nothing; equal ones are kept once, so a batch
+    that is run again adds none. An empty batch writes nothing."""
     spark = batch.sparkSession
     target = target.rstrip("/")
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    if PART in batch.columns:
+        raise ValueError(f"records hold a column named {PART!r}")
+    any_null = reduce(lambda a, b: a | b, [F.col(quote(k)).isNull() for k in keys])
+    one_each = latest_per_key(batch.filter(~any_null), keys, order_by or []).unionByName(
+        batch.filter(any_null).dropDuplicates()
+    )
+    part = F.pmod(F.xxhash64(*[F.col(quote(k)) for k in keys]), F.lit(parts)).cast("int")
+    fresh = materialize(one_each.withColumn(PART, part), "batch")
     try:
-        # a batch may carry one record twice (overlapping landings): keep one per
-        # key; rows with a NULL key can match nothing and all pass through
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        deduped = latest_per_key(batch, keys, order_by or [], keep_null_keys=False).unionByName(
-            batch.filter(any_null)
-        )
-        prev = _last_commit(spark, target, before=epoch)
-        if prev is None:
-            new_state = deduped
+        touched = [r[0] for r in fresh.select(PART).distinct().collect()]  # at most ``parts``
+        if not touched:
+            return
+        state = _read_parts(spark, target, batch.schema)
+        if state is None:
+            merged = fresh
         else:
-            current = spark.read.schema(batch.schema).parquet(prev)
-            new_state = merge_upsert(current, deduped, keys, keys, order_by)
-        path = f"{target}/v={epoch:010d}"
-        new_state.write.mode("overwrite").parquet(path)
-        spark.range(1).select(
-            F.lit(int(epoch)).cast("long").alias("epoch"), F.lit(path).alias("path")
-        ).write.mode("append").parquet(f"{target}/_commits")
+            old = state.filter(F.col(PART).isin(touched))
+            old_null = old.filter(any_null)
+            merged = merge_upsert(old.filter(~any_null), fresh.filter(~any_null), keys, keys, order_by).unionByName(
+                old_null.unionByName(fresh.filter(any_null)).dropDuplicates()
+            )
+        # the merge is complete on shared storage before any partition is replaced
+        staged = materialize(merged, "merged")
+        try:
+            (
+                staged.hint("rebalance", PART)  # few files a partition, large ones split
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(PART)
+                .parquet(target)
+            )
+        finally:
+            release(staged)
     finally:
-        batch.unpersist()
+        release(fresh)
 
 
 def ingest_stream(
@@ -104,10 +114,12 @@ def ingest_stream(
     items: str = "data",
     order_by: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
+    parts: int = DEFAULT_PARTS,
 ):
     """Start the landing stream (availableNow) and return the ``StreamingQuery``.
 
-    Call ``.awaitTermination()`` to wait for the files present at start."""
+    Call ``.awaitTermination()`` to wait for the files present at start. ``parts`` must
+    stay the same for one target."""
     page_schema = StructType([StructField(items, ArrayType(item_schema))])
     reader = spark.readStream.schema(page_schema)
     if max_files_per_trigger:
@@ -119,7 +131,7 @@ def ingest_stream(
     )
     return (
         records.writeStream.foreachBatch(
-            lambda df, epoch: upsert_batch(df, epoch, target, keys, order_by)
+            lambda df, epoch: upsert_batch(df, target, keys, order_by, parts)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

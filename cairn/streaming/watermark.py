@@ -33,6 +33,15 @@ STATE_SCHEMA = StructType(
 )
 
 
+def _field(df: DataFrame, name: str) -> tuple[Column, str]:
+    """A column, or a field inside one (``attributes.updated_at``), and its type."""
+    if name in df.columns:
+        c = F.col(quote(name))
+    else:
+        c = F.col(".".join(quote(part) for part in name.split(".")))
+    return c, df.select(c.alias("c")).dtypes[0][1]
+
+
 def _mark_col(mark) -> Column:
     if isinstance(mark, Column):
         return mark
@@ -57,9 +66,10 @@ def incremental_filter(
     m = utc_wall_clock(_mark_col(mark))  # UTC wall clock, zone-free from here on
     if floor_to_day:
         m = F.date_trunc("day", m)
-    ts = F.col(quote(ts_column))
-    dtype = dict(df.dtypes)[ts_column]
-    if dtype != "timestamp_ntz":
+    ts, dtype = _field(df, ts_column)
+    if dtype == "string":
+        ts = utc_wall_clock(parse_timestamp(ts))
+    elif dtype != "timestamp_ntz":
         m = instant_of_utc_wall_clock(m)
     return df.filter(ts >= m)
 
@@ -74,8 +84,7 @@ def next_watermark(
     values that did not parse (ignored, reported).
 
     ``floor="day"`` gives the mark at midnight of the latest day (shape B)."""
-    c = F.col(quote(ts_column))
-    dtype = dict(df.dtypes)[ts_column]
+    c, dtype = _field(df, ts_column)
     # everything as a UTC wall-clock TIMESTAMP_NTZ: max, floor and format are zone-free
     if dtype == "timestamp_ntz":
         parsed = c

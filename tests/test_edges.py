@@ -1,9 +1,23 @@
 """Rows that were once lost or answered wrongly."""
 
 import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
 
 from cairn.operators.coerce import coerce_schema
-from cairn.operators.latest import attach_key_stats
+from cairn.operators.columns import clean_strings
+from cairn.operators.filters import lookup_one
+from cairn.operators.flatten import flatten_columns
+from cairn.operators.latest import attach_key_stats, latest_per_key
+from cairn.operators.merge import merge_upsert
+from cairn.operators.text import extract_text
+from cairn.plans.rfm import rfm_base
+from cairn.sinks.writers import write_by_date, write_objects
+from cairn.sources.files import read_file
+from cairn.sources.tables import read_sql
+from cairn.streaming.ingest import read_current, upsert_batch
 from cairn.operators.reshape import unpivot_columns
 from cairn.plans.rfm import SEGMENT_RULES, rfm_segment
 
@@ -40,3 +54,89 @@ def test_every_score_has_a_segment(spark):
     labels = {label for _, bounds in SEGMENT_RULES for *_, label in bounds}
     assert {v for k, v in got.items() if k[0]} == labels and got[None, 2.0] not in labels
     assert got[3, 2.5] == got[3, 3.5] == got[4, 3.0] and got[3, 3.0] != got[3, 2.5] and got[1, 4.5] == got[2, 5.0]
+
+
+def test_small_amounts_keep_their_scale(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1), Decimal("0.0040")), (1, dt.date(2024, 1, 2), Decimal("0.0015"))],
+                               "c int, d date, a decimal(18,4)")
+    row = rfm_base(df, "c", "d", "a", as_of="2024-02-01").first()
+    assert row.MONETARY == Decimal("0.0055") and row.AMOUNT_LAST_40D == Decimal("0.0015")
+    assert row.STD_MONETARY_40D == pytest.approx(0.00125, abs=1e-12)
+
+
+def test_map_columns_are_carried(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS t, map('a', 'x') AS m UNION ALL SELECT 1, 2, map('a', 'y')")
+    assert latest_per_key(df, ["k"], ["t"]).first().m == {"a": "y"}
+    assert merge_upsert(df.filter("t = 1"), df, ["k"], order_by=["t"]).first().m == {"a": "y"}
+
+
+def test_given_keys_keep_other_values(spark):
+    df = spark.createDataFrame([("{\"a\": 1}", "not json"), ("{}", "{\"a\": 2}")], "good string, mixed string")
+    out = flatten_columns(df, ["good", "mixed"], keys={"good": ["a"], "mixed": ["a"]})
+    assert out.columns == ["GOOD__A", "mixed"] and {r.mixed for r in out.collect()} == {"not json", "{\"a\": 2}"}
+
+
+def test_lookup_tells_none_from_several(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a")], "id int, v string")
+    assert lookup_one(df, {"id": 1}, require=True).first().v == "a"
+    for params in ({"v": "a"}, {"v": "z"}):
+        with pytest.raises(LookupError):
+            lookup_one(df, params, require=True)
+
+
+def test_unknown_placeholder_is_an_error(spark):
+    with pytest.raises(KeyError):
+        read_sql(spark, "SELECT {{a}} AS a, '{{b}}' AS b", parameters={"a": 1})
+
+
+def test_quotes_in_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,t\n1,"say ""hi"", ok"\n2,"two\nlines"\n')
+    rows = read_file(spark, str(tmp_path), "csv", multiline=True).collect()
+    assert [tuple(r) for r in rows] == [(1, 'say "hi", ok'), (2, "two\nlines")]
+
+
+def test_one_timestamp_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(200_000).withColumn("ts", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_by_date(df, str(tmp_path / "d"), "ts")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "d" / "extract_date=2024-01-01").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 200_000
+
+
+def test_failures_are_counted(spark, tmp_path):
+    df = spark.createDataFrame([(f"n{i % 30}", "x") for i in range(60)], "file_name string, file_content string")
+    with pytest.raises(ValueError, match="^30 duplicate"):
+        write_objects(df, str(tmp_path / "o"))
+
+
+def test_operators_start_no_job(spark):
+    """Building these plans runs nothing: no size check, no look at the data."""
+    df = spark.range(100).select("id", F.col("id").cast("string").alias("s")).groupBy("id").agg(F.max("s").alias("s"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("built", "plans")
+    try:
+        clean_strings(df)
+        coerce_schema(df, {"id": "int64", "s": "string"})
+        extract_text(df, "s", "t")
+        latest_per_key(df, ["id"], ["s"])
+        merge_upsert(df, df.limit(3), ["id"])
+        assert list(tracker.getJobIdsForGroup("built")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_upsert_touches_the_partitions_of_its_keys(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert_batch(spark.range(100).selectExpr("id", "'old' AS v"), target, ["id"], parts=8)
+    before = {(p.parent.name, p.name) for p in (tmp_path / "t").rglob("*.parquet")}
+    batch = spark.createDataFrame([(7, "new"), (None, "n")], "id bigint, v string")
+    for _ in range(2):  # run again: the same rows
+        upsert_batch(batch, target, ["id"], parts=8)
+    after = {(p.parent.name, p.name) for p in (tmp_path / "t").rglob("*.parquet")}
+    assert len({part for part, _ in before}) == 8 and len({part for part, _ in before - after}) <= 2
+    rows = sorted(((r.id, r.v) for r in read_current(spark, target).collect()), key=str)
+    want = [(i, "new" if i == 7 else "old") for i in range(100)] + [(None, "n")]
+    assert rows == sorted(want, key=str)

@@ -47,14 +47,13 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_cases(spark, broadcast_rows):
+def test_cases(spark):
     target, source = CASES["update_insert_nulls_dups"]
     source = [s + (None,) * 0 for s in source]
     source = [(s[0], s[1], s[2] if len(s) > 2 else None) for s in source]
     t = spark.createDataFrame(target, TARGET)
     s = spark.createDataFrame(source, SOURCE)
-    got = merge_upsert(t, s, ["k1", "k2"], ["k1", "k2"], broadcast_rows=broadcast_rows)
+    got = merge_upsert(t, s, ["k1", "k2"], ["k1", "k2"])
     assert got.columns == ["k1", "k2", "v", "extra"]
     assert sorted(map(tuple, got.collect()), key=repr) == model(target, source)
 
@@ -66,7 +65,7 @@ def test_random_against_model(spark):
         source = [(rnd.choice([None, 1, 2, 5]), rnd.choice(["a", "b"]), rnd.choice([None, f"s{i}"])) for i in range(10)]
         t = spark.createDataFrame(target, TARGET)
         s = spark.createDataFrame(source, SOURCE)
-        got = merge_upsert(t, s, ["k1", "k2"], broadcast_rows=[0, 100][trial % 2])
+        got = merge_upsert(t, s, ["k1", "k2"])
         assert sorted(map(tuple, got.collect()), key=repr) == model(target, source)
 
 

@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from cairn.plans import registry
 from tests.oracle_compare import compare, duck_connection
 
 SF_DIR = os.environ.get("CAIRN_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@ writes need it, and no single-task window in the ranking queries."""
 
 import pytest
 
-import __spark_entry__ as entry
+from cairn.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonMapInArrow", "FlatMapGroupsInPandas")
@@ -17,9 +17,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_plan_shape(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_DIR))
+    plan = _plan(registry.QUERIES[name](spark, SF_DIR))
     if name not in PYTHON_ALLOWED:
         assert not any(n in plan for n in PYTHON_NODES), plan
     if name in RANKING:
@@ -28,7 +28,7 @@ def test_plan_shape(spark, name):
 
 def test_scan_prunes_and_pushes(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    q = entry.queries()
+    q = registry.QUERIES
     plan = _plan(q["incremental_filter"](spark, SF_DIR))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
     plan = _plan(q["remove_columns"](spark, SF_DIR))
