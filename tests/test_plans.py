@@ -36,3 +36,19 @@ def test_scan_prunes_and_pushes(spark):
     plan = _plan(q["filter_by_params"](spark, SF_DIR))
     assert "EqualTo(o_orderstatus,F)" in plan and "EqualTo(o_orderpriority,1-URGENT)" in plan
     spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_no_ranking_pass_sorts_in_one_task(spark, monkeypatch):
+    """The plan of each pass before it is stored: what is read later is only a scan."""
+    from cairn.operators import ranking
+
+    seen, store = [], ranking.materialize
+
+    def watched(df, name="stage"):
+        seen.append(_plan(df))
+        return store(df, name)
+
+    monkeypatch.setattr(ranking, "materialize", watched)
+    registry.QUERIES["rfm_analysis"](spark, SF_DIR)
+    assert len(seen) == 3
+    assert all("rangepartitioning" in plan and "SinglePartition" not in plan for plan in seen), seen
