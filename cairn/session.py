@@ -155,13 +155,7 @@ def _release_all() -> None:
             _delete(spark, path)
 
 
-def is_missing_path(exc: Exception) -> bool:
-    """True when ``exc`` says a read path does not exist (and nothing else)."""
-    try:
-        from pyspark.errors import AnalysisException
-    except ImportError:  # pragma: no cover
-        return False
-    if not isinstance(exc, AnalysisException):
-        return False
-    cls = exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
-    return cls == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked of the session's own file systems."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

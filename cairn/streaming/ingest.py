@@ -26,20 +26,15 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from ..functions.names import quote
 from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
-from ..session import materialize, release
+from ..session import materialize, path_exists, release
 
 PART = "part"
 DEFAULT_PARTS = 64
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _read_parts(spark: SparkSession, target: str, schema: StructType) -> DataFrame | None:
     # a missing table is looked for, not found out by an error
-    if not _exists(spark, target):
+    if not path_exists(spark, target):
         return None
     return spark.read.schema(StructType([*schema.fields, StructField(PART, IntegerType())])).parquet(target)
 
@@ -47,7 +42,7 @@ def _read_parts(spark: SparkSession, target: str, schema: StructType) -> DataFra
 def read_current(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame | None:
     """The rows of ``target`` (None before the first batch)."""
     target = target.rstrip("/")
-    if not _exists(spark, target):
+    if not path_exists(spark, target):
         return None
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(target).drop(PART)

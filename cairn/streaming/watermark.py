@@ -22,7 +22,7 @@ from ..functions.timestamps import (
     parse_timestamp,
     utc_wall_clock,
 )
-from ..session import is_missing_path
+from ..session import path_exists
 
 STATE_SCHEMA = StructType(
     [
@@ -115,12 +115,9 @@ class WatermarkStore:
         self.path = path.rstrip("/")
 
     def _read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        except Exception as e:
-            if is_missing_path(e):  # no mark saved yet; any other error propagates
-                return None
-            raise
+        if not path_exists(self.spark, self.path):  # no mark saved yet
+            return None
+        return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
 
     def load(self, source: str) -> str | None:
         """The saved mark as ``YYYY-MM-DDTHH:MM:SSZ``, or None."""
