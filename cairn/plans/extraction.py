@@ -7,13 +7,15 @@ then save the new mark, so a failed write never moves the mark past unwritten ro
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import quote
 from ..operators.coerce import TYPE_MAP, coerce_schema
 from ..operators.columns import clean_strings
+from ..session import materialize, path_exists, release
 from ..sinks.writers import write_by_date
 from ..sources.pages import page_completeness_b, read_pages
 from ..streaming.watermark import WatermarkStore, incremental_filter, next_watermark
@@ -42,6 +44,20 @@ def split_tenants(text: str) -> list[str]:
     return [t.strip() for t in text.split(",") if t.strip()]
 
 
+def _merge_dates(spark: SparkSession, landed: DataFrame, target: str, ts_column: str, mark: str, key: Sequence[str]) -> DataFrame:
+    """``landed`` and the rows of its dates already at ``target`` that it does not bring
+    again: neither the whole row nor, where no part of it is NULL, the ``key``."""
+    old = spark.read.parquet(target).filter(F.col("extract_date") >= F.to_date(F.lit(mark[:10])))
+    dates = landed.select(F.to_date(F.col(quote(ts_column))).alias("_date")).distinct()
+    old = old.join(dates, F.col("extract_date") == F.col("_date"), "left_semi").drop("extract_date")
+    for columns, same in ((list(key), lambda a, b: a == b), ([c for c in landed.columns if c in old.columns], lambda a, b: a.eqNullSafe(b))):
+        if columns:
+            again = landed.select(*[F.col(quote(c)).alias(f"_again{i}") for i, c in enumerate(columns)])
+            on = [same(F.col(quote(c)), F.col(f"_again{i}")) for i, c in enumerate(columns)]
+            old = old.join(again, on, "left_anti")
+    return landed.unionByName(old, allowMissingColumns=True)
+
+
 def extract_increment(
     spark: SparkSession,
     pages_path: str,
@@ -55,6 +71,7 @@ def extract_increment(
     floor_to_day: bool = True,
     tenant_field: str | None = None,
     require_complete: bool = True,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Land one entity's increment; returns the one-row watermark frame written.
 
@@ -62,7 +79,12 @@ def extract_increment(
     ``coerce_schema``; rows before the saved mark are skipped unless historical.
     With ``require_complete`` the landed pages are checked first (every
     ``currentPage`` up to ``totalPages``, per ``tenant_field`` if given): a gap
-    raises before anything is written or the mark moves."""
+    raises before anything is written or the mark moves.
+
+    Dates are replaced whole. A source asked from a midnight lands whole dates; one
+    asked from a mark in mid-day lands only what came later, so the rows that its dates
+    already have are kept, except those landed again: with the same ``key``, or the
+    same whole row."""
     if require_complete:
         check_pages_complete(spark, pages_path, tenant_field)
     item_ddl = ", ".join(f"`{c}` STRING" for c in schema)
@@ -78,7 +100,13 @@ def extract_increment(
     mark = state.load(entity)
     # Dates are replaced whole, so what is written always begins at midnight.
     typed = incremental_filter(typed, ts_column, mark, is_historical, True)
+    merged = None
+    if mark is not None and not is_historical and not mark.endswith("T00:00:00Z") and path_exists(spark, target):
+        # stored, because it reads the folders that are replaced
+        typed = merged = materialize(_merge_dates(spark, typed, target, ts_column, mark, key), "increment")
     write_by_date(typed, target, ts_column)
+    if merged is not None:
+        release(merged)
     # the mark moves only after the data is written
     written = spark.read.parquet(target)
     if mark is not None and not is_historical:

@@ -229,6 +229,27 @@ def test_extract_increment(spark, tmp_dir):
     assert state.load("cursos") == "2024-01-03T00:00:00Z"
 
 
+@pytest.mark.parametrize("key", [(), ("id",)])
+def test_extract_increment_keeps_the_morning(spark, tmp_dir, key):
+    from cairn.plans.extraction import extract_increment
+
+    schema = {"id": "int64", "name": "string", "at": "timestamp[ns]"}
+    state = WatermarkStore(spark, f"{tmp_dir}/state")
+    runs = [
+        [("1", "a", "2024-01-01 23:00:00"), ("2", "b", "2024-01-02 08:00:00"), ("3", "c", "2024-01-02 11:00:00"), (None, "n", "2024-01-02 11:00:00")],
+        # asked from 11:00: the rows of that second again, one of them changed, and later ones
+        [("3", "C", "2024-01-02 11:00:00"), (None, "n", "2024-01-02 11:00:00"), ("4", "d", "2024-01-02 15:00:00"), ("5", "e", "2024-01-03 01:00:00")],
+    ]
+    for n, rows in enumerate(runs):
+        page = {"items": [dict(zip(schema, r)) for r in rows], "currentPage": 1, "totalPages": 1}
+        _write(f"{tmp_dir}/landing{n}/p.json", json.dumps(page) + "\n")
+        extract_increment(spark, f"{tmp_dir}/landing{n}", "e", schema, f"{tmp_dir}/out", state, "at", floor_to_day=False, key=key)
+    got = sorted((r.id or 0, r.name) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    third = [(3, "C")] if key else [(3, "C"), (3, "c")]
+    assert got == [(0, "n"), (1, "a"), (2, "b"), *third, (4, "d"), (5, "e")]
+    assert state.load("e") == "2024-01-03T01:00:00Z"
+
+
 def test_load_file_to_table(spark, tmp_dir):
     from cairn.sinks.writers import load_file_to_table
 
