@@ -475,6 +475,49 @@ def test_shards_are_even_and_groups_together(docs, rows, shards):
         assert len(parts[text]) <= max(1, -(-n // quota)) + (n > quota)
 
 
+@pytest.mark.parametrize(
+    "groups, single, cut",
+    [
+        ([200] * 12, 2400, 0),  # 0.67 of a quota each: none could move before
+        ([1600] + [150] * 16, 800, 1),  # only the hot group, larger than a quota, is cut
+        ([270, 210, 150] * 5, 1650, 0),  # 0.5 to 0.9 of a quota
+        ([2] * 2400, 0, 0),  # only copies
+        ([290] * 16 + [20] * 8, 0, 8),  # only copies, and the small ones fit nowhere whole
+    ],
+)
+def test_large_groups_are_placed_whole(spark, groups, single, cut):
+    texts = [f"g{g}" for g, n in enumerate(groups) for _ in range(n)] + [f"s{i}" for i in range(single)]
+    random.Random(5).shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = sharding.assign_shards(docs, block_rows=500).collect()
+    assert collections.Counter(r.shard for r in got) == {j: 300 for j in range(16)}
+    assert {(r.shard, r.slot) for r in got} == {(j, i) for j in range(16) for i in range(300)}
+    parts = collections.defaultdict(set)
+    for r in got:
+        parts[texts[r.doc_id]].add(r.shard)
+    assert sum(len(parts[f"g{g}"]) > 1 for g in range(len(groups))) == cut
+    assert len(parts["g0"]) <= max(1, -(-groups[0] // 300))
+
+
+def test_small_groups_fill_the_rooms(spark):
+    texts = [f"g{i // 3}" for i in range(3000)] + ["h"] * 72  # 768 a shard: groups of 3 are small
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sharding.assign_shards(docs, shards=4, block_rows=100).collect()
+    assert {(r.shard, r.slot) for r in got} == {(j, i) for j in range(4) for i in range(768)}
+    parts = collections.defaultdict(set)
+    for r in got:
+        parts[texts[r.doc_id]].add(r.shard)
+    assert sum(len(p) > 1 for p in parts.values()) <= 3
+
+
+def test_place_largest_first():
+    rooms = [300] * 16
+    pieces = sharding._place([(1, 1000), (2, 200), (3, 200)], rooms)
+    assert sum(b - a for _, a, b, _ in pieces) == 1400 and sum(rooms) == 16 * 300 - 1400
+    assert sorted(b - a for g, a, b, _ in pieces if g == 1) == [100, 300, 300, 300]
+    assert {s for g, _, _, s in pieces if g == 3}.isdisjoint(s for g, _, _, s in pieces if g == 2)
+
+
 # ------------------------------------------------------------------ mixing
 
 
