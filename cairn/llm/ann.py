@@ -7,7 +7,11 @@ so lists are balanced. A graph of each centroid's nearest centroids stays in mem
 a best-first search in it finds the nearest centroids of vectors and queries. Every
 vector goes to its nearest list, and vectors near a boundary also to the lists whose
 centroids are hardly farther (their distance within a ratio of the nearest). A query
-reads the lists whose centroids are within a ratio of its nearest one.
+reads the lists whose centroids are within a ratio of its nearest one; the ratio and the
+most lists are fitted in the job, by the true neighbours (all vectors compared) of a
+bounded set of queries, so they grow with the number of lists. The sample is searched
+whole: what it holds are candidates, and a list's vectors that score less than a query's
+last one of them are left out.
 
 Equal vectors are one entry with the smallest ids, as many as a result may need, so
 a vector that very many rows share is searched once. Lists longer than ``list_rows``
@@ -120,6 +124,50 @@ def _within(apart: np.ndarray, ratio: float, most: int, radius: float) -> np.nda
     return ok
 
 
+def _order(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All centroids by their distance from each row, and the squared distances."""
+    apart = _squared(x, centres)
+    ids = np.argsort(apart, axis=1, kind="stable")
+    return ids, np.take_along_axis(apart, ids, 1)
+
+
+def _top(q: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of v, score) of the ``n`` largest inner products of each row of q,
+    and of all that equal the last."""
+    n = min(n, len(v))
+    near = q @ v.T
+    last = np.partition(near, len(v) - n, axis=1)[:, len(v) - n]
+    row, col = np.nonzero(near >= (last - 1e-9 * np.abs(last))[:, None])
+    return row, col, np.einsum("ij,ij->i", q[row], v[col])
+
+
+def fitted_probes(x: np.ndarray, centres: np.ndarray, held: np.ndarray, probes: int, ratio: float, radius: float, goal: float) -> tuple[int, float]:
+    """The most lists and the ratio that reach ``goal`` of the true neighbours of the
+    queries ``x`` (lifted) with the fewest lists read; no less than those given.
+    ``held``: (row of x, neighbour, list), one row for each list that holds one."""
+    ids, apart = _order(x, centres)
+    place = np.argsort(ids, axis=1, kind="stable")
+    far = np.sqrt(apart) / np.maximum(np.maximum(np.sqrt(apart[:, :1]), radius), 1e-300)
+    _, pair = np.unique(held[:, :2], axis=0, return_inverse=True)
+    first = np.full(pair.max() + 1, len(centres))  # the place of a neighbour's nearest list
+    np.minimum.at(first, pair.ravel(), place[held[:, 0], held[:, 2]])
+    row = np.zeros(len(first), int)
+    row[pair.ravel()] = held[:, 0]
+    at = far[row, first]
+    best, most = None, min(probes, len(centres))
+    while True:
+        inside = np.sort(at[first < most])
+        need = int(np.ceil(goal * len(first)))
+        if len(inside) >= need:
+            r = max(ratio, float(inside[need - 1]) * (1 + 1e-9))
+            read = float((far[:, :most] <= r).sum(1).mean())
+            if best is None or read < best[0]:
+                best = (read, most, r)
+        if most == len(centres):
+            return best[1], best[2]
+        most = min(len(centres), most + max(8, most // 4))
+
+
 def _valid(vectors: DataFrame) -> DataFrame:
     """vec_id, v (doubles) of the rows that take part."""
     rows = vectors.withColumn("v", F.col("v").cast("array<double>")).where("v is not null and vec_id is not null and size(v) > 0")
@@ -144,6 +192,8 @@ def nearest(
     probe_ratio: float = 1.25,
     list_rows: int = 8192,
     query_rows: int = 4096,
+    goal: float = 0.95,
+    trials: int = 256,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, by falling
     inner product of the original vectors in double precision, ties to the smaller id.
@@ -170,7 +220,7 @@ def nearest(
     if not size:
         return empty
     norm = float(entries.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0])
-    sample = entries.select("v").orderBy(F.xxhash64("entry"), "entry").limit(max_sample).toArrow()
+    sample = entries.select("entry", "v").orderBy(F.xxhash64("entry"), "entry").limit(max_sample).toArrow()
     points = _matrix(sample["v"].combine_chunks())
 
     def lifted(x: np.ndarray) -> np.ndarray:
@@ -191,8 +241,10 @@ def nearest(
                 for at in range(0, whole.num_rows, 512):
                     batch = whole.slice(at, 512)
                     x = _matrix(batch["v"])
-                    y = lifted(x) if sizes is None else np.c_[x, np.zeros(len(x))]
-                    ids, apart = graph.search(y, most + 32)
+                    if sizes is None:
+                        ids, apart = graph.search(lifted(x), most + 32)
+                    else:
+                        ids, apart = _order(np.c_[x, np.zeros(len(x))], graph.centres)
                     ok = _within(apart, ratio, most, radius)
                     if sizes is not None:
                         held = np.where(ids >= 0, sizes[ids], 0)
@@ -209,7 +261,44 @@ def nearest(
     sizes = np.zeros(len(graph.centres), np.int64)
     for r in posted.groupBy("list").count().collect():  # one row a centroid
         sizes[r["list"]] = r["count"]
+    # The trial queries' true neighbours, and the lists that hold them.
+    trial = asked.select("entry", "v").orderBy(F.xxhash64("entry"), "entry").limit(trials).toArrow()
+    tried, tried_entry = _matrix(trial["v"].combine_chunks()), trial["entry"].to_numpy()
+
+    def true_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.zeros((0, 2), np.int64), np.zeros(0)  # (trial, entry) and scores of this task
+        for batch in batches:
+            row, col, score = _top(tried, _matrix(batch["v"]), k + 1)
+            other = batch["entry"].to_numpy()[col]
+            pairs = np.r_[best[0], np.c_[row, other][other != tried_entry[row]]]
+            score = np.r_[best[1], score[other != tried_entry[row]]]
+            order = np.lexsort((pairs[:, 1], -score, pairs[:, 0]))
+            pairs, score = pairs[order], score[order]
+            kept = np.arange(len(pairs)) - np.searchsorted(pairs[:, 0], pairs[:, 0]) < k
+            best = pairs[kept], score[kept]
+        yield pa.RecordBatch.from_pydict({"trial": pa.array(best[0][:, 0], pa.int64()), "entry": pa.array(best[0][:, 1], pa.int64()), "score": pa.array(best[1], pa.float64())})
+
+    if len(tried) and size > 1:
+        true = entries.select("entry", "v").mapInArrow(true_ones, "trial bigint, entry bigint, score double")
+        true = true.withColumn("nth", F.row_number().over(Window.partitionBy("trial").orderBy(F.desc("score"), "entry"))).where(F.col("nth") <= k)
+        held = posted.join(F.broadcast(true.select("trial", "entry")), "entry").select("trial", "entry", "list").toArrow()
+        held = np.c_[held["trial"].to_numpy(), held["entry"].to_numpy(), held["list"].to_numpy()]
+        probes, probe_ratio = fitted_probes(np.c_[tried, np.zeros(len(tried))], graph.centres, held, probes, probe_ratio, radius, goal)
     probing = store(asked.mapInArrow(assign(probe_ratio, probes, sizes), kind), "ann-probes")
+    point_entry = sample["entry"].to_numpy()
+
+    def in_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 128):
+                batch = whole.slice(at, 128)
+                row, col, score = _top(_matrix(batch["v"]), points, k + 1)
+                yield pa.RecordBatch.from_pydict({"query": batch["entry"].take(pa.array(row)), "entry": pa.array(point_entry[col], pa.int64()), "score": pa.array(score, pa.float64())})
+
+    sampled = store(asked.mapInArrow(in_sample, "query bigint, entry bigint, score double"), "ann-sampled")
+    # A query's last score in the sample; without k + 1 points there is no bound.
+    bound = F.min("score") if len(points) > k else F.lit(float("-inf"))
+    bounds = sampled.groupBy(F.col("query").alias("entry")).agg(bound.alias("least"))
+    probing = probing.join(bounds, "entry")
     # Lists and query groups in parts of bounded size; a query part meets every list part.
     list_parts = F.ceil(F.col("n") / F.lit(list_rows)).cast("int")
     lists = posted.groupBy("list").agg(F.count("*").alias("n")).select("list", list_parts.alias("list_parts"))
@@ -218,21 +307,20 @@ def nearest(
     small = F.broadcast(cut)  # at most max_centroids and their splits
     many = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     list_side = posted.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("list_parts")).cast("int").alias("lp"), many("query_parts").alias("qp"), "entry", "first", "v")
-    query_side = probing.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("query_parts")).cast("int").alias("qp"), many("list_parts").alias("lp"), "entry", "v")
+    query_side = probing.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("query_parts")).cast("int").alias("qp"), many("list_parts").alias("lp"), "entry", "v", "least")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_e, out_s = [], [], []
         if left.num_rows and right.num_rows:
             v, q = _matrix(left["v"].combine_chunks()), _matrix(right["v"].combine_chunks())
             entry, asker = left["entry"].to_numpy(), right["entry"].to_numpy()
-            first = left["first"].to_numpy()
+            first, least = left["first"].to_numpy(), right["least"].to_numpy()
             n = min(k + 1, len(v))
             for at in range(0, len(q), 256):
-                near = q[at : at + 256] @ v.T
-                last = np.partition(near, len(v) - n, axis=1)[:, len(v) - n]
                 # All that reach the last score, in exact order: ties to the smaller id.
-                row, col = np.nonzero(near >= (last - 1e-9 * np.abs(last))[:, None])
-                score = np.einsum("ij,ij->i", q[at + row], v[col])
+                row, col, score = _top(q[at : at + 256], v, n)
+                enough = score >= least[at + row] - 1e-9 * np.abs(least[at + row])
+                row, col, score = row[enough], col[enough], score[enough]
                 order = np.lexsort((first[col], -score, row))
                 row, col, score = row[order], col[order], score[order]
                 place = np.arange(len(row)) - np.searchsorted(row, row)
@@ -250,6 +338,7 @@ def nearest(
     keys = ["list", "lp", "qp"]
     hits = list_side.groupBy(*keys).cogroup(query_side.groupBy(*keys)).applyInArrow(search, "query bigint, entry bigint, score double")
     # A vector in several lists is found several times, with the same score.
+    hits = hits.union(sampled)
     hits = hits.groupBy("query", "entry").agg(F.max("score").alias("score"))
     hits = hits.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
     place = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

@@ -399,6 +399,22 @@ def test_neighbours_against_brute_force(spark, n):
     assert hits >= (0.9 if n > 100 else 1.0) * total
 
 
+def test_lists_read_grow_with_their_number(spark):
+    """Noise has no clusters: 2 of 100 lists hold few of the neighbours."""
+    r = np.random.default_rng(1)
+    v = r.normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(set)
+    for x in ann.nearest(df, list_size=30, max_sample=600, probes=2, probe_ratio=1.0).collect():
+        got[x.query_id].add(x.vec_id)
+    hits = 0
+    for q in range(0, 3000, 20):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert all(len(x) == 20 for x in got.values()) and hits >= 0.9 * 20 * 150
+
+
 # ------------------------------------------------------------------ languages
 
 
