@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, language_id, lm_scoring, mixing, packing, pii, sharding, simhash, toxicity
+from . import ann, exact_dedup, language_id, lm_scoring, mixing, packing, phrases, pii, sharding, simhash, toxicity
 
 DOMAINS = ["good", "low", "toxic"]
 #: Target shares of the mix in tokens.
@@ -81,11 +81,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("_hash")
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_simhash, op3_lm_scoring, op4_ann, op5_language_id,
-        op6_packing, op7_exact_dedup, op8_pii, op9_sharding, op10_mixing,
+        op6_packing, op7_exact_dedup, op8_pii, op9_sharding, op10_mixing, op13_phrases,
     )
 }
 
@@ -99,4 +103,41 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op13_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), found AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM words, range(1, 5) AS lengths(k) WHERE len(w) >= k
+        ), f AS (
+            SELECT lang, k, phrase, count(*) AS f FROM found GROUP BY ALL HAVING count(*) >= 30
+        ), totals AS (
+            SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+        ), cuts AS (
+            SELECT lang, k, phrase, f AS a, c, array_to_string(string_split(phrase, ' ')[:c], ' ') AS l_phrase,
+                   array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS r_phrase
+            FROM f, range(1, 4) AS places(c) WHERE c < k
+        ), scored AS (
+            SELECT cuts.lang, cuts.k, cuts.phrase, a, l.f AS l, r.f AS r, c, (2000000 * a::HUGEINT // (l.f + r.f))::BIGINT AS score
+            FROM cuts JOIN f AS l ON l.lang = cuts.lang AND l.phrase = l_phrase
+                      JOIN f AS r ON r.lang = cuts.lang AND r.phrase = r_phrase
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+        ), parts AS (
+            SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase
+            FROM f, range(2, 4) AS lengths(m), range(1, 4) AS starts(i) WHERE m < k AND i + m - 1 <= k
+        ), longer AS (
+            SELECT lang, phrase, max(f) AS f FROM parts GROUP BY ALL
+        ), kept AS (
+            SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+            FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.phrase = best.phrase
+            WHERE longer.f IS NULL OR 100 * longer.f < 80 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
