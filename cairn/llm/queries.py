@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, language_id, lm_scoring, mixing, packing, phrases, pii, sharding, simhash, toxicity
+from . import (
+    ann, exact_dedup, hard_negatives, language_id, lm_scoring, mixing, packing, phrases, pii, quality_rules, sharding, simhash, toxicity,
+)
 
 DOMAINS = ["good", "low", "toxic"]
 #: Target shares of the mix in tokens.
@@ -81,6 +83,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("_hash")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -89,7 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_simhash, op3_lm_scoring, op4_ann, op5_language_id,
-        op6_packing, op7_exact_dedup, op8_pii, op9_sharding, op10_mixing, op13_phrases,
+        op6_packing, op7_exact_dedup, op8_pii, op9_sharding, op10_mixing, op11_quality_rules, op12_hard_negatives, op13_phrases,
     )
 }
 
@@ -103,6 +114,28 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                   list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM vectors AS a JOIN vectors AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        ), negatives AS (
+            SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+            FROM positives JOIN pairs USING (anchor_id)
+            WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+    """,
     "op13_phrases": r"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang,
