@@ -88,19 +88,25 @@ def bounds(a: Rows, b: Rows, level: int, pairs=None) -> tuple[np.ndarray, np.nda
     return middle - spread, middle + spread
 
 
+def largest(a: Rows, b: Rows) -> int:
+    """What no inner product exceeds. Raises where one might not fit in a long."""
+    most = a.size * b.size * max(1, a.vectors.shape[1])
+    if most >= 2**63:
+        raise ValueError("an inner product may not fit in a long")
+    return most
+
+
 def scores(a: Rows, b: Rows, pairs) -> np.ndarray:
-    """Exact inner products of pairs. Raises where one might not fit in a long."""
+    """Exact inner products of pairs."""
     i, j = pairs
-    most = a.size * b.size * max(1, a.vectors.shape[1])
+    most = largest(a, b)
     out = np.empty(len(i), np.int64)
     for at in range(0, len(i), 65_536):
         x, y = i[at : at + 65_536], j[at : at + 65_536]
         if most < EXACT:  # sums of doubles are exact here
             out[at : at + 65_536] = np.einsum("ij,ij->i", a.vectors[x], b.vectors[y])
-        elif most < 2**63:
-            out[at : at + 65_536] = np.einsum("ij,ij->i", a.exact[x].astype(np.int64), b.exact[y].astype(np.int64))
         else:
-            raise ValueError("an inner product may not fit in a long")
+            out[at : at + 65_536] = np.einsum("ij,ij->i", a.exact[x].astype(np.int64), b.exact[y].astype(np.int64))
     return out
 
 
@@ -131,6 +137,7 @@ def search(a: Rows, b: Rows, best: Best, same: bool, offset: int = 0) -> int:
     """Adds to ``best`` what rows ``b`` have for anchors ``a``: rows of the ``same`` label
     (but the anchor's own), or of others. Returns the number of pairs scored exactly."""
     scored = 0
+    largest(a, b)  # before bounds, which a score beyond a long would miss
     for at in range(0, len(b.ids), CHUNK):
         rows = b.part(at, at + CHUNK)
         open_ = (a.labels[:, None] == rows.labels[None, :]) == same
