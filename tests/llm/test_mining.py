@@ -302,7 +302,7 @@ def test_quality_rules(spark):
 
 def test_the_expression_says_what_the_rules_say(spark):
     """The ordered conditional against the rules applied one by one in Python."""
-    rows, labels = quality_texts()
+    rows, labels = quality_texts(600)
     counted = quality_rules.text_counts(make(spark, rows + ODD))
     rules = quality_rules.learn(counted, spark.createDataFrame(labels, "doc_id bigint, quality int"))
     assert len(rules) >= 2
