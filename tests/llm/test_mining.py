@@ -251,9 +251,9 @@ def quality_texts(n=300):
         words = [r.choice(WORDS) + str(r.randint(0, 40)) for _ in range(r.randint(20, 160))]
         bad = i % 4 == 0
         if bad and i % 8:
-            words = [w + r.choice(["###", "$$", "|"]) if r.random() < 0.4 else w for w in words]
+            words = [w[:-1] + r.choice("#$|") if r.random() < 0.4 else w for w in words]
         elif bad:
-            words = [w.upper() + "!!" for w in words]
+            words = [w.upper() for w in words]
         text = " ".join(w + (r.choice(["\n", ".", ""]) if r.random() < 0.2 else "") for w in words)
         rows.append((i, text, "en"))
         labels.append((i, 0 if bad else 1))
