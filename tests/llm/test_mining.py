@@ -283,7 +283,7 @@ def test_repeated_words_of_many_distinct_ones():
 
 
 def test_quality_rules(spark):
-    rows, labels = quality_texts()
+    rows, labels = quality_texts(900)
     learned = [x for x in labels if x[0] % 3]  # the others are held out
     marks = spark.createDataFrame([*learned, (None, 0), (903, None), (5, 1)], "doc_id bigint, quality int")
     got = quality_rules.quality_rules(make(spark, rows + ODD), marks)
@@ -294,7 +294,7 @@ def test_quality_rules(spark):
     for x in found:
         assert x.base_failed == base_fails(x.n_words, x.n_repeat_words)
         assert x.kept == (not x.base_failed and x.rule is None)
-    by_id = {x.doc_id: x for x in found if x.doc_id is not None and x.doc_id < 300 and x.doc_id != 5}
+    by_id = {x.doc_id: x for x in found if x.doc_id is not None and x.doc_id < 900 and x.doc_id != 5}
     held = [(by_id[i], good) for i, good in labels if i % 3 == 0 and not by_id[i].base_failed]
     assert np.mean([x.kept == bool(good) for x, good in held]) > 0.97
     assert all(x.kept for x, good in held if good)
