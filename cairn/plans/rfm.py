@@ -6,8 +6,9 @@ Plan (all customers stay spread over the cluster):
   columns together (partial aggregation before the shuffle, so a customer holding a
   third of all rows is combined map-side); the latest amount is ``max_by`` on
   (date, tiebreak) instead of a window plus ``row_number = 1`` and a self join;
-* three range-partitioned NTILE passes (``distributed_ntile``), chained so each pass
-  carries the columns along instead of joining scores back;
+* the per-customer rows are stored once; the boundaries of the three NTILEs are found by
+  sketch and exact counting rounds over the narrow key columns (``ntile_scores``), so
+  the scores are comparisons with literals: no sort, no window, no join;
 * the segment CASE and the final projection.
 
 The reference's date filters (``d >= LAST_DAY(d) - 1 YEAR`` and ``- 40 DAY``) are
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import packed_order
-from ..operators.ranking import distributed_ntile, release_ranking
+from ..operators.boundaries import Order, ntile_scores
 
 # Segment labels and the label for rows without a score.
 SEGMENT_NEW = "New Customers"
@@ -157,7 +158,6 @@ def rfm_analysis(
     tiebreak: str | None = None,
     window: str = "reference",
     buckets: int = 5,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """Score and segment every customer; columns in ``OUTPUT_COLUMNS`` order.
 
@@ -166,18 +166,16 @@ def rfm_analysis(
     broken by customer id ascending (NULL last) so the result is deterministic.
     """
     base = rfm_base(df, customer, date, amount, as_of, tiebreak, window)
-    cust = F.col("CUSTOMER_ID").asc_nulls_last()
-    m_scored = distributed_ntile(
-        base, buckets, [F.col("MONETARY").asc_nulls_last(), cust], "MONETARY_SCORE", num_partitions
+    customer_id = Order("CUSTOMER_ID")
+    scored = ntile_scores(
+        base,
+        {
+            "MONETARY_SCORE": [Order("MONETARY"), customer_id],
+            "FREQUENCY_SCORE": [Order("FREQUENCY"), customer_id],
+            "RECENCY_SCORE": [Order("RECENCY", descending=True), customer_id],
+        },
+        buckets,
     )
-    f_scored = distributed_ntile(
-        m_scored, buckets, [F.col("FREQUENCY").asc_nulls_last(), cust], "FREQUENCY_SCORE", num_partitions
-    )
-    release_ranking(m_scored)  # the frequency pass has stored everything it needs
-    scored = distributed_ntile(
-        f_scored, buckets, [F.col("RECENCY").desc_nulls_first(), cust], "RECENCY_SCORE", num_partitions
-    )
-    release_ranking(f_scored)
     mean_mf = (F.col("FREQUENCY_SCORE") + F.col("MONETARY_SCORE")) / 2
     return scored.select(
         "CUSTOMER_ID", "LASTBUY", "RECENCY", "FREQUENCY", "MONETARY",

@@ -38,17 +38,25 @@ def test_scan_prunes_and_pushes(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-def test_no_ranking_pass_sorts_in_one_task(spark, monkeypatch):
-    """The plan of each pass before it is stored: what is read later is only a scan."""
-    from cairn.operators import ranking
+def test_rfm_stores_once_and_sorts_nothing(spark, monkeypatch):
+    """The per-customer rows are stored once, without a sort of them; the scores are
+    comparisons over that table. At most six jobs run before the result is read."""
+    from cairn.operators import boundaries
 
-    seen, store = [], ranking.materialize
+    seen, store = [], boundaries.materialize
 
     def watched(df, name="stage"):
         seen.append(_plan(df))
         return store(df, name)
 
-    monkeypatch.setattr(ranking, "materialize", watched)
-    registry.QUERIES["rfm_analysis"](spark, SF_DIR)
-    assert len(seen) == 3
-    assert all("rangepartitioning" in plan and "SinglePartition" not in plan for plan in seen), seen
+    monkeypatch.setattr(boundaries, "materialize", watched)
+    sc, group = spark.sparkContext, "rfm-jobs"
+    sc.setJobGroup(group, "jobs of one RFM plan")
+    try:
+        out = registry.QUERIES["rfm_analysis"](spark, SF_DIR)
+        jobs = len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(seen) == 1 and "rangepartitioning" not in seen[0] and "Sort" not in seen[0], seen
+    assert not any(x in _plan(out) for x in ("Exchange", "Sort", "Window", "Join"))
+    assert jobs <= 6

@@ -99,7 +99,7 @@ def test_hot_customer_matches_window_ntile(spark):
         cust = 0 if i % 3 == 0 else 1 + (i * 7) % 97
         rows.append((cust, D(2024, 1, 1 + i % 28), Decimal(i % 50 + 1), i))
     df = _df(spark, rows)
-    out = rfm_analysis(df, "cust", "d", "amt", as_of="2024-02-01", tiebreak="id", num_partitions=6)
+    out = rfm_analysis(df, "cust", "d", "amt", as_of="2024-02-01", tiebreak="id")
     base = (
         df.groupBy("cust")
         .agg(F.count("cust").alias("f"), F.sum("amt").alias("m"), F.max("d").alias("last"))
