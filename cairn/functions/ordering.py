@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .names import quote
+
 _MICROS_PER_DAY = 86_400_000_000
 _MICROS_OFFSET = 300_000_000_000_000_000  # > |micros| for years 1..9999
 _TB_OFFSET = 2**63
@@ -62,3 +64,14 @@ def packed_order(d: Column, d_type: str, tb: Column | None, tb_type: str | None)
         return None
     hi = (m + F.lit(_MICROS_OFFSET)).cast("decimal(38,0)") * _dec(_SHIFT, 21)
     return (hi + t).cast(PACKED_TYPE)
+
+
+def packed_order_or_least(d: str, d_type: str, tb: str | None, tb_type: str | None) -> Column | None:
+    """``packed_order`` of two columns by name, where rows without a date come before
+    all dates and are ordered by their tiebreak; None when not packable."""
+    tie = F.col(quote(tb)) if tb is not None else None
+    packed = packed_order(F.col(quote(d)), d_type, tie, tb_type)
+    if packed is None:
+        return None
+    least = packed_order(F.lit("0001-01-01").cast("date"), "date", tie, tb_type) - _dec(_SHIFT, 21)
+    return F.coalesce(packed, least).cast(PACKED_TYPE)

@@ -121,7 +121,6 @@ def test_operators_start_no_job(spark):
         clean_strings(df)
         coerce_schema(df, {"id": "int64", "s": "string"})
         extract_text(df, "s", "t")
-        latest_per_key(df, ["id"], ["s"])
         merge_upsert(df, df.limit(3), ["id"])
         assert list(tracker.getJobIdsForGroup("built")) == []
     finally:
