@@ -846,10 +846,11 @@ _EVENT_ITEM_DDL = (
 )
 
 
-def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50, withhold=None):
+def _land_event_pages(spark, sf_dir, path, predicate=None, page_size=50, withhold=None, changed=None):
     """Land events as shape-A API pages: ``{data: [...], meta: {total}}``, 50
-    records per page (page = event_id div 50, so a page never grows)."""
-    ev = table(spark, sf_dir, "events")
+    records per page (page = event_id div 50, so a page never grows). ``changed``: new
+    values of columns."""
+    ev = table(spark, sf_dir, "events").withColumns(changed or {})
     if predicate is not None:
         ev = ev.filter(predicate)
     pages = ev.groupBy(F.floor(F.col("event_id") / page_size).alias("page")).agg(
@@ -1024,7 +1025,7 @@ def q_ingest_stream(spark, sf_dir):
     base = _scratch(spark, "stream")
     landing = f"{base}/landing"
     item_schema = StructType.fromDDL(_EVENT_ITEM_DDL)
-    run = dict(target=f"{base}/target", checkpoint=f"{base}/checkpoint", keys=["event_id"])
+    run = dict(target=f"{base}/target", checkpoint=f"{base}/checkpoint", keys=["event_id"], event_time="ts")
     _land_event_pages(spark, sf_dir, f"{landing}/run1", F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     ingest_stream(spark, f"{landing}/*", item_schema, **run).awaitTermination()
     _land_event_pages(spark, sf_dir, f"{landing}/run2", F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
@@ -1399,11 +1400,38 @@ def q_ingest_stream_new_checkpoint(spark, sf_dir):
     for run, predicate in enumerate([F.col("ts") < cut, F.col("ts") >= cut]):
         _land_event_pages(spark, sf_dir, f"{base}/landing/run{run}", predicate)
         ingest_stream(
-            spark, f"{base}/landing/*", item_schema, f"{base}/target", f"{base}/checkpoint{run}", ["event_id"]
+            spark, f"{base}/landing/*", item_schema, f"{base}/target", f"{base}/checkpoint{run}", ["event_id"], event_time="ts"
         ).awaitTermination()
     return read_current(spark, f"{base}/target")
 
 
+@register(
+    "ingest_stream_many_batches",
+    """SELECT event_id, ts, user_id, event_type,
+              CASE WHEN event_id % 50 BETWEEN 1 AND 4 THEN value + event_id % 50 ELSE value END AS value, props
+       FROM events""",
+)
+def q_ingest_stream_many_batches(spark, sf_dir):
+    """All events, then four batches of changed ones, each also landing again what the
+    one before changed; the dates that gathered many files are compacted in between."""
+    from pyspark.sql.types import StructType
+
+    from ..streaming.ingest import compact, ingest_stream, read_current
+
+    base = _scratch(spark, "stream")
+    item_schema = StructType.fromDDL(_EVENT_ITEM_DDL)
+    run = dict(target=f"{base}/target", checkpoint=f"{base}/checkpoint", keys=["event_id"], event_time="ts")
+    for batch in range(5):
+        part = F.col("event_id") % 50
+        again = {"value": F.when(part.between(1, batch), F.col("value") + part).otherwise(F.col("value"))}
+        wanted = part.between(batch - 1, batch) & (part > 0) if batch else None
+        _land_event_pages(spark, sf_dir, f"{base}/landing/run{batch}", wanted, changed=again)
+        ingest_stream(spark, f"{base}/landing/*", item_schema, **run).awaitTermination()
+        if batch == 2:
+            compact(spark, f"{base}/target", most_files=1)
+    return read_current(spark, f"{base}/target")
+
+
 @register("csv_quoted", "SELECT doc_id, text FROM documents")
 def q_csv_quoted(spark, sf_dir):
     """Values with quotes (doubled), delimiters and line breaks."""

@@ -17,7 +17,6 @@ from cairn.plans.rfm import rfm_base
 from cairn.sinks.writers import write_by_date, write_objects
 from cairn.sources.files import read_file
 from cairn.sources.tables import read_sql
-from cairn.streaming.ingest import read_current, upsert_batch
 from cairn.operators.reshape import unpivot_columns
 from cairn.plans.rfm import SEGMENT_RULES, rfm_segment
 
@@ -125,17 +124,3 @@ def test_operators_start_no_job(spark):
         assert list(tracker.getJobIdsForGroup("built")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-
-
-def test_upsert_touches_the_partitions_of_its_keys(spark, tmp_path):
-    target = str(tmp_path / "t")
-    upsert_batch(spark.range(100).selectExpr("id", "'old' AS v"), target, ["id"], parts=8)
-    before = {(p.parent.name, p.name) for p in (tmp_path / "t").rglob("*.parquet")}
-    batch = spark.createDataFrame([(7, "new"), (None, "n")], "id bigint, v string")
-    for _ in range(2):  # run again: the same rows
-        upsert_batch(batch, target, ["id"], parts=8)
-    after = {(p.parent.name, p.name) for p in (tmp_path / "t").rglob("*.parquet")}
-    assert len({part for part, _ in before}) == 8 and len({part for part, _ in before - after}) <= 2
-    rows = sorted(((r.id, r.v) for r in read_current(spark, target).collect()), key=str)
-    want = [(i, "new" if i == 7 else "old") for i in range(100)] + [(None, "n")]
-    assert rows == sorted(want, key=str)
