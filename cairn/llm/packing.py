@@ -10,7 +10,7 @@ fewer than k tokens; only the short tails leave the gaps of their class.
 Every worker fills its own bins. What doesn't fill a bin (fewer than k pieces per
 class and worker) is numbered over all workers and fills bins of k again; then fewer
 than k pieces per class are left, a number that the capacity bounds, and those are
-packed first-fit by falling length.
+packed first-fit by falling length, a few neighbouring classes at a time.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ PIECE = (
 )
 
 
+#: Left-over pieces are packed by ranges of classes that begin here: (1), 4, 16, 128.
+FIRST_CLASSES = (4, 16, 128)
+RANGES = len(FIRST_CLASSES) + 1
+
 #: Letters of the first 256 code points: in composed form, with lower case of their own.
 LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -56,12 +60,21 @@ class Words(dict):
         self.merges = self.tokenizer.model.tokenize
         self.most = most
         self.stops = {x: self._encoded(x) for x in ".,"}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [x.content.lower().encode() for x in added]
 
     def ids(self, text: str) -> bytes:
         """The ids of a text. The vocabulary drops white space and no token crosses it,
         so the ids of the words in order are those of the text. It lowers case as well;
-        A-Z are lowered beforehand, so that there are fewer words to keep."""
-        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        A-Z are lowered beforehand, so that there are fewer words to keep. Special tokens
+        are looked for before case is lowered, so a word that may hold one stays as it
+        is."""
+        raw = text.encode()
+        lowered = raw.lower()
+        if not any(x in lowered for x in self.special):
+            return b"".join(map(self.__getitem__, lowered.split()))
+        words = zip(raw.split(), lowered.split())
+        return b"".join(self._encoded(w.decode()) if any(x in low for x in self.special) else self[low] for w, low in words)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
@@ -102,7 +115,7 @@ def cuts(length: int, capacity: int, tail: int) -> Iterator[tuple[int, int]]:
         yield rest, capacity // rest
 
 
-def _pieces(path: str, special_as_text: bool, end_id: int, capacity: int, tail: int, last_class: int):
+def _pieces(path: str, special_as_text: bool, end_id: int, capacity: int, tail: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +128,6 @@ def _pieces(path: str, special_as_text: bool, end_id: int, capacity: int, tail:
                 ids = words.ids(text) + end
                 total, start = len(ids) // 4, 0
                 for length, k in cuts(total, capacity, tail):
-                    k = min(k, last_class)
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     held = waiting.setdefault(k, [])
                     held.append([doc_id, start, length, crc, total, k, worker, 0, None, None])
@@ -144,7 +156,11 @@ def _batch(pieces: list[list], id_type: pa.DataType) -> pa.RecordBatch:
 
 
 def _first_fit(capacity: int):
+    """Packs one group of left-over pieces; ``RANGES`` groups at most, so bins are told
+    apart by bin and group."""
+
     def run(left: pa.Table) -> pa.Table:
+        group = left["group"][0].as_py()
         lengths = left["length"].to_pylist()
         room: list[int] = []
         bins, offsets = [0] * len(lengths), [0] * len(lengths)
@@ -156,7 +172,7 @@ def _first_fit(capacity: int):
             bins[i], offsets[i] = at, capacity - room[at]
             room[at] -= lengths[i]
         kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-        return left.select(kept).append_column("sequence_id", pa.array([b * 4 + 2 for b in bins], pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
+        return left.select(kept).append_column("sequence_id", pa.array([(b * RANGES + group) * 4 + 2 for b in bins], pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     return run
 
@@ -169,7 +185,6 @@ def pack(
     capacity: int = 2048,
     end_id: int = 1,
     tail: int = 16,
-    last_class: int = 128,
     special_as_text: bool = False,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per
@@ -179,12 +194,11 @@ def pack(
     id. Pieces cover every id once; those of a sequence lie gapless from offset 0 and
     hold at most ``capacity`` ids. sequence_id is unique, not gapless. Rows with one
     doc_id, or none, are packed as documents of their own. No documents, no rows.
-    ``last_class`` takes all shorter lengths as well.
     """
     narrow = pick(docs, doc_id=id_col, text=text_col)
     kind = narrow.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    pieces = store(narrow.mapInArrow(_pieces(tokenizer, special_as_text, end_id, capacity, tail, last_class), f"doc_id {kind}, {PIECE}"), "pieces")
+    pieces = store(narrow.mapInArrow(_pieces(tokenizer, special_as_text, end_id, capacity, tail), f"doc_id {kind}, {PIECE}"), "pieces")
 
     # What the workers could not fill: number it per class over all workers.
     left = pieces.where("sequence_id is null").drop("sequence_id", "offset")
@@ -202,10 +216,12 @@ def pack(
     fills = (F.col("bin") + 1) * F.col("class") <= F.col("all")
     filled = left.where(fills).select(
         *columns[:5],
-        ((F.col("bin") * (last_class + 1) + F.col("class")) * 4 + 1).alias("sequence_id"),
+        ((F.col("bin") * (capacity + 1) + F.col("class")) * 4 + 1).alias("sequence_id"),
         (F.sum("length").over(in_bin) - F.col("length")).alias("offset"),
     )
-    # Fewer than k pieces of each class k: at most last_class ** 2 / 2 rows in all.
+    # Fewer than k pieces of each class k; the capacity has few classes, since a class is
+    # capacity // length: some 2 * sqrt(capacity), so a group has a bounded number of rows.
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-    rest = left.where(~fills).withColumn("all_left", F.lit(0)).groupBy("all_left").applyInArrow(lambda t: _first_fit(capacity)(t), schema)
+    group = sum((F.when(F.col("class") >= first, 1).otherwise(0) for first in FIRST_CLASSES), F.lit(0))
+    rest = left.where(~fills).withColumn("group", group).groupBy("group").applyInArrow(lambda t: _first_fit(capacity)(t), schema)
     return pieces.where("sequence_id is not null").select(*columns).union(filled.select(*columns)).union(rest.select(*columns))

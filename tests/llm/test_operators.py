@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cairn.llm import ann, exact_dedup, language_id, lm_scoring, mixing, packing, pii, sharding, simhash, toxicity
 from cairn.llm.graph import components
@@ -271,7 +272,7 @@ def test_packing_covers_every_id_once(docs, rows):
             end += length
         assert end <= 256
     full = sum(r.length for r in got)
-    assert 256 * len(sequences) <= 1.02 * full + 256
+    assert 256 * len(sequences) <= 1.02 * full + 256 * packing.RANGES
 
 
 def _pieces(n, capacity=256, tail=16):
@@ -299,6 +300,27 @@ def test_words_give_the_texts_ids():
         assert np.frombuffer(words.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_in_any_case():
+    """Special tokens are looked for before case is lowered, also inside words."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    words, r = packing.Words(tokenizer_path(), False), random.Random(3)
+    pieces = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|StartOfText|>", "<|EndOfText|>", "see", "Here", "É", " ", "\n", "<|", "|>", ".", "'s", "12", "漢"]
+    texts = ["see <|ENDOFTEXT|> here", "a<|endoftext|>B", "<|STARTOFTEXT|><|startoftext|>", "x<|EndOfText|>y <|endoftext|>"]
+    texts += ["".join(r.choice(pieces) for _ in range(r.randint(1, 9))) for _ in range(3000)]
+    for text in texts:
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("n_words", [0, 1, 3, 10])
+def test_short_texts_leave_little_padding(spark, n_words):
+    texts = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(" ".join(["cat"] * n_words)).alias("text")).repartition(6)
+    got = packing.pack(texts, tokenizer_path()).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert sum(r.n for r in got) == 20_000 * (n_words + 1) and all(r.n == r.end <= 2048 for r in got)
+    assert len(got) * 2048 <= 1.02 * 20_000 * (n_words + 1) + 2048 * packing.RANGES
+
+
 # ------------------------------------------------------------------ language model
 
 
