@@ -150,35 +150,98 @@ def _totals(rows: DataFrame, domains: int, rate: Column) -> np.ndarray:
     return np.array([float(x or 0) for x in sums])
 
 
-def fit_rates(rows: DataFrame, targets: list[float], steps: int = 40, every: int = 8, tolerance: float = 1e-7) -> DataFrame:
+def _pushed(p: list[Column], rate: Column, push: np.ndarray) -> Column:
+    """A projected step: along the posterior, and cut at 0."""
+    return F.greatest(F.lit(0.0), rate + sum((x * float(push[i]) for i, x in enumerate(p)), F.lit(0.0)))
+
+
+def _newton(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance: float, every: int) -> tuple[DataFrame, np.ndarray]:
+    """Steps weighted by the inverse Gram matrix, which reach targets that can be reached
+    in few steps: they go on until there or until ``every`` of them do not halve the
+    residual. Where it does not go to 0 they have another goal than least squares and
+    are only a start."""
+    p = [F.col(f"p{i}") for i in range(len(goal))]
+    solve = np.linalg.pinv(gram, rcond=1e-10)
+    now, rate, step = cells.withColumn("rate", F.lit(1.0)), F.col("rate"), 0
+    residual = goal - _totals(now, len(goal), rate)
+    start = np.abs(residual).max()
+    while np.abs(residual).max() > tolerance * max(goal.sum(), 1):
+        rate = _pushed(p, rate, solve @ residual)
+        step += 1
+        if step % every == 0:
+            now, rate = store(now.withColumn("rate", rate), "rates"), F.col("rate")
+        residual = goal - _totals(now, len(goal), rate)
+        if step % every == 0:
+            if np.abs(residual).max() > start / 2:
+                break
+            start = np.abs(residual).max()
+    return now.withColumn("rate", rate), residual
+
+
+def _accelerated(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance: float, every: int) -> tuple[DataFrame, np.ndarray]:
+    """Accelerated projected gradient on the plain distance of the totals: steps of 1 / L
+    (L: the largest eigenvalue of the Gram matrix) from a point ahead of the last one;
+    the lead is given up when the distance grows. Ends when no step of ``every`` brings
+    the distance down by ``tolerance`` of the targets."""
+    k = len(goal)
+    p = [F.col(f"p{i}") for i in range(k)]
+    eta = 1 / max(np.linalg.eigvalsh(gram).max(), 1e-300)
+    now = store(cells.withColumns({"ahead": F.col("rate")}), "rates")
+    scale = max(goal.sum(), 1)
+    ahead_total = best = None
+    t, still = 1.0, 0
+    while still < 3:
+        before = best
+        for _ in range(every):
+            if ahead_total is None:
+                ahead_total = _totals(now, k, F.col("ahead"))
+            now = now.withColumn("new", _pushed(p, F.col("ahead"), eta * (goal - ahead_total)))
+            total = _totals(now, k, F.col("new"))
+            distance = float(((goal - total) ** 2).sum() ** 0.5)
+            if best is not None and distance > best and t > 1:  # restart from the last point
+                t, ahead_total = 1.0, None
+                now = store(now.drop("new").withColumn("ahead", F.col("rate")), "rates")
+                continue
+            following = (1 + (1 + 4 * t * t) ** 0.5) / 2
+            lead, t = (t - 1) / following, following
+            now = now.withColumn("ahead", F.col("new") + lead * (F.col("new") - F.col("rate")))
+            now = store(now.drop("rate").withColumnRenamed("new", "rate"), "rates")
+            ahead_total, best = None, distance if best is None else min(best, distance)
+        still = still + 1 if before is not None and before - best <= tolerance * scale else 0
+    return now.drop("ahead"), goal - _totals(now, k, F.col("rate"))
+
+
+def fit_rates(
+    rows: DataFrame, targets: list[float], every: int = 8, tolerance: float = 1e-9
+) -> tuple[DataFrame, np.ndarray]:
     """``rows`` (n_tokens, p0, p1...) with ``rate``: nonnegative, and such that the sums
-    of rate * n_tokens * p come as near to ``targets`` as can be.
+    of rate * n_tokens * p come as near to ``targets`` as can be, in tokens; and what is
+    left to the targets, by domain.
 
     Projected gradient descent from rate 1 on the squared distance of the domains'
-    totals, weighted by the inverse of their Gram matrix G (the sums of n_tokens * pi *
-    pj); a row's step is its posterior times G^-1 times the residual, and below 0 it is
-    cut. Where many rates are cut at 0 the distance falls by a constant factor a step.
-    Documents without tokens have no say and keep the rate of their posterior.
+    totals. Rows of one posterior keep one rate, so the steps run over the distinct
+    posteriors with their tokens; a step sends one total per domain to the driver. The
+    first steps are weighted by the domains' Gram matrix; targets that these do not reach are approached by plain accelerated steps until the distance no longer
+    falls. Documents without tokens have no say and get the rate of their posterior.
     """
     k = len(targets)
-    p = [F.col(f"p{i}") for i in range(k)]
+    names = [f"p{i}" for i in range(k)]
+    cells = store(rows.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens")), "posterior-cells")
+    p = [F.col(x) for x in names]
     gram = np.zeros((k, k))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = rows.agg(*[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    sums = cells.agg(*[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
     for i, j in pairs:
         gram[i, j] = gram[j, i] = float(sums[f"g{i}_{j}"] or 0)
-    solve = np.linalg.pinv(gram, rcond=1e-10)
     goal = np.array(targets, float)
-    now, rate = rows.withColumn("rate", F.lit(1.0)), F.col("rate")
-    for step in range(1, steps + 1):
-        residual = goal - _totals(now, k, rate)
-        if np.abs(residual).max() <= tolerance * max(goal.sum(), 1):
-            break
-        push = solve @ residual
-        rate = F.greatest(F.lit(0.0), rate + sum((p[i] * float(push[i]) for i in range(k)), F.lit(0.0)))
-        if step % every == 0:
-            now, rate = store(now.withColumn("rate", rate), "rates"), F.col("rate")
-    return now.withColumn("rate", rate)
+    fitted, residual = _newton(cells, goal, gram, tolerance, every)
+    if np.abs(residual).max() > tolerance * max(goal.sum(), 1) and gram.any():
+        fitted, residual = _accelerated(store(fitted, "rates"), goal, gram, tolerance, every)
+    # one row per distinct posterior; Spark broadcasts it if it is small
+    rates = fitted.select(*[F.col(x).alias(f"_{x}") for x in names], "rate")
+    same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in names]
+    joined = rows.join(store(rates, "rates"), same, "left").drop(*[f"_{x}" for x in names])
+    return joined.withColumn("rate", F.coalesce("rate", F.lit(1.0))), residual
 
 
 def mix(
@@ -188,25 +251,42 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     total: float | None = None,
-    steps: int = 40,
+    keep: str | None = None,
 ) -> DataFrame:
-    """(doc_id, n_tokens, one posterior column per domain, rate, copies), a row per row.
+    """(doc_id, n_tokens, one posterior column per domain, rate, copies, and per domain
+    the tokens by which the fit misses its target), a row per row.
 
     ``weights`` are the domains' target shares of the mix (scaled to sum 1; a domain not
-    named has 0), ``total`` its size in tokens (default: that of ``docs``). ``rate`` is
+    named has 0), ``total`` its size in tokens (default: that of ``docs``). With ``keep``
+    the size grows from there until every document that is likeliest of that domain, and has
+    tokens, has a rate of 1 or more, so none of them is thinned out. ``rate`` is
     fitted; ``copies`` is the whole number it is rounded to, up with the probability of
     its fraction (by a hash of the document, so the same for repeated rows): their
-    expected token totals are those of the rates. Words are tokens; NULL and empty texts
-    have none. No documents, no rows. Weights of sum 0 are an error.
+    expected token totals are those of the rates. Targets that no nonnegative rates reach
+    are approached as near as can be; ``missed_<domain>`` says how near. Words are tokens;
+    NULL and empty texts have none. No documents, no rows. Weights of sum 0 are an error.
     """
     if sum(weights.values()) <= 0 or min(weights.values()) < 0:
         raise ValueError("weights must be nonnegative and not all 0")
+    if keep is not None and not weights.get(keep):
+        raise ValueError("the domain to keep needs a weight")
     shares = [weights.get(d, 0.0) / sum(weights.values()) for d in classifier.domains]
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("_hash", F.xxhash64("doc_id", "text"))
     rows = store(classifier.posteriors(rows, ["doc_id", "_hash"]), "posteriors")
     if total is None:
         total = float(rows.agg(F.sum("n_tokens")).first()[0] or 0)
-    fitted = fit_rates(rows, [total * s for s in shares], steps)
+    fitted, residual = fit_rates(rows, [total * s for s in shares])
+    if keep is not None:
+        p = [F.col(f"p{i}") for i in range(len(shares))]
+        mine = (F.greatest(*p) if len(p) > 1 else p[0]) == p[classifier.domains.index(keep)]
+        for _ in range(60):
+            least = fitted.where(mine & (F.col("n_tokens") > 0)).agg(F.min("rate")).first()[0]
+            if least is None or least >= 1:
+                break
+            total *= max(1.02, 1.0001 / least if least > 0.01 else 2.0)
+            fitted, residual = fit_rates(rows, [total * s for s in shares])
+        else:
+            raise ValueError(f"no size of the mix keeps all documents of {keep}")
     chance = F.shiftrightunsigned(F.xxhash64("_hash"), 11) / F.lit(float(1 << 53))
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
     return fitted.select(
@@ -215,6 +295,7 @@ def mix(
         *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(classifier.domains)],
         "rate",
         copies.alias("copies"),
+        *[F.lit(float(x)).alias(f"missed_{d}") for d, x in zip(classifier.domains, residual)],
         "_hash",
     )
 

@@ -559,20 +559,67 @@ def test_place_largest_first():
 # ------------------------------------------------------------------ mixing
 
 
+def posteriors(spark, n=300, seed=1):
+    r = np.random.default_rng(seed)
+    p = np.round(r.dirichlet([0.3, 0.3, 0.3], n), 2)
+    return spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(r.integers(0, 50, n), p)], "n_tokens bigint, p0 double, p1 double, p2 double")
+
+
 def test_rates_meet_targets(spark):
-    r = np.random.default_rng(1)
-    p = r.dirichlet([0.3, 0.3, 0.3], 300)
-    rows = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(r.integers(0, 50, 300), p)], "n_tokens bigint, p0 double, p1 double, p2 double")
     goal = [3000.0, 500.0, 1500.0]
-    got = np.array([tuple(x) for x in mixing.fit_rates(rows, goal).collect()])
-    assert (got[:, 4] >= 0).all()
-    assert np.allclose((got[:, 0] * got[:, 4]) @ got[:, 1:4], goal, rtol=1e-4)
+    found, residual = mixing.fit_rates(posteriors(spark), goal)
+    got = np.array([tuple(x) for x in found.collect()])
+    assert len(got) == 300 and (got[:, 4] >= 0).all()
+    assert np.allclose((got[:, 0] * got[:, 4]) @ got[:, 1:4], goal, rtol=1e-6) and np.abs(residual).max() < 1e-3
     # The same steps in numpy.
     rate, t = np.ones(300), got[:, 0]
     solve = np.linalg.pinv((got[:, 1:4].T * t) @ got[:, 1:4])
-    for _ in range(40):
+    for _ in range(400):
         rate = np.maximum(0, rate + got[:, 1:4] @ (solve @ (goal - (t * rate) @ got[:, 1:4])))
-    assert np.allclose(rate, got[:, 4], atol=1e-5)
+    assert np.allclose(rate, got[:, 4], atol=1e-6)
+
+
+def brute_nnls(a, goal):
+    """The least distance of nonnegative combinations of the columns of ``a`` to the
+    goal, by trying every set of as many columns as there are rows."""
+    import itertools
+
+    best = np.linalg.norm(goal), np.zeros(len(goal))
+    for n in range(1, len(goal) + 1):
+        for some in itertools.combinations(range(a.shape[1]), n):
+            x, *_ = np.linalg.lstsq(a[:, some], goal, rcond=None)
+            if (x >= -1e-9).all():
+                total = a[:, some] @ x
+                best = min(best, (np.linalg.norm(goal - total), total), key=lambda y: y[0])
+    return best
+
+
+@pytest.mark.parametrize("goal", [[90_000.0, 6_000.0, 4_000.0], [0.0, 0.0, 70_000.0], [10_000.0, 60_000.0, 1_000.0]])
+def test_targets_out_of_reach(spark, goal):
+    """Where no rates reach the targets, the totals are those of nonnegative least
+    squares, in tokens."""
+    kinds = [(0.6, 0.3, 0.1), (0.5, 0.4, 0.1), (0.55, 0.25, 0.2)]
+    rows = spark.createDataFrame([(100, *kinds[i % 3]) for i in range(1500)], "n_tokens bigint, p0 double, p1 double, p2 double")
+    found, residual = mixing.fit_rates(rows, goal)
+    got = np.array([tuple(x) for x in found.collect()])
+    distance, total = brute_nnls(np.array(kinds).T, np.array(goal))
+    mine = (got[:, 0] * got[:, 4]) @ got[:, 1:4]
+    assert np.allclose(mine, total, atol=1e-6 * sum(goal) + 1) and np.allclose(np.linalg.norm(residual), distance, rtol=1e-6, atol=1)
+
+
+def test_the_domain_to_keep_is_not_thinned_out(spark):
+    """On a corpus that is nearly all good every good document stays."""
+    kinds = ["toxic" if i % 60 == 0 else "low" if i % 60 == 1 else "good" for i in range(600)]
+    texts = [(i, " ".join([*WORDS[i % 7 : i % 7 + 9], *{"good": [], "toxic": ["vorkel"], "low": ["zanth"]}[k]]), "en") for i, k in enumerate(kinds)]
+    docs = make(spark, texts)
+    labels = spark.createDataFrame([(i, int(k == "good"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id bigint, quality int, toxic int")
+    classifier = label_classifier(docs, labels)
+    found = mixing.mix(docs, classifier, MIX_WEIGHTS, keep="good").collect()
+    good = [x for x in found if kinds[x.doc_id] == "good"]
+    assert min(x.copies for x in good) >= 1
+    totals = {d: sum(x.n_tokens * x.rate * x[f"p_{d}"] for x in found) for d in MIX_WEIGHTS}
+    for d, w in MIX_WEIGHTS.items():
+        assert totals[d] + found[0][f"missed_{d}"] == pytest.approx(w * (sum(totals.values()) + sum(found[0][f"missed_{e}"] for e in MIX_WEIGHTS)), rel=1e-6)
 
 
 def test_mix(spark, docs, rows):
@@ -587,7 +634,7 @@ def test_mix(spark, docs, rows):
     assert len(got) == len(marked) + len(rows) and all(x.rate >= 0 and x.copies >= 0 for x in got)
     total = sum(x.n_tokens for x in got)
     for d, w in MIX_WEIGHTS.items():
-        assert sum(x.n_tokens * x.rate * x[f"p_{d}"] for x in got) == pytest.approx(w * total, rel=1e-4)
+        assert sum(x.n_tokens * x.rate * x[f"p_{d}"] for x in got) == pytest.approx(w * total, rel=1e-6)
     copies = collections.Counter()
     for x in got:
         copies[x.doc_id] += x.copies
