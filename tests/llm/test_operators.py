@@ -454,7 +454,9 @@ def test_languages(docs, rows):
             if letters and want and r.doc_id < 300:
                 assert r.lang_pred == want
     kept = language_id.accepted(docs)
-    assert kept.columns == docs.columns and kept.count() == sum(bool(t and any(c.isalpha() for c in t)) for _, t, _ in rows)
+    assert kept.columns == docs.columns
+    # 906, one letter 50,000 times, is like no language learned
+    assert bag(kept.select("doc_id").collect()) == bag((i,) for i, t, _ in rows if t and any(c.isalpha() for c in t) and i != 906)
 
 
 def test_mixed_document_and_tree_sum(spark, docs):
@@ -463,10 +465,65 @@ def test_mixed_document_and_tree_sum(spark, docs):
     whole = language_id.train(docs.where("lang is not null").coalesce(1))
     assert np.allclose(model.log_p, whole.log_p)
     text = " ".join(WORDS * 3 + LOST)
-    found = language_id.identify(make(spark, [(1, text, None)]), model, names=("p", "s", "m")).first()
+    found = language_id.identify(make(spark, [(1, text, None)]), model, names=("p", "s", "m", "e")).first()
     assert found.p == "en" and 0.6 < found.s < 0.9 and "fr:" in found.m
 
 
+def test_text_that_no_language_explains(spark, docs):
+    model = language_id.train(docs.where("lang is not null"))
+    odd = ["これは日本語の文章です" * 5, "Это русский текст", "zqxj zqxj", "the cat sat on a mat and ran", "le chat noir dort", "の" * 5000, "12 34 a"]
+    found = language_id.identify(make(spark, [(i, x, None) for i, x in enumerate(odd)]), model, names=("p", "s", "m", "e")).orderBy("doc_id").collect()
+    assert [x.e >= 0.25 for x in found[:6]] == [False, False, False, True, True, False]
+    assert all(x.s < 0.1 for x in found[:3]) and [found[3].p, found[4].p] == ["en", "fr"] and found[3].s > 0.9
+    foreign = make(spark, [(5000, odd[0], None), (5001, odd[1], "ru"), (5002, odd[2], None)])
+    kept = language_id.accepted(docs.where("lang is not null").union(foreign.where("doc_id != 5001")))
+    assert kept.where("doc_id >= 5000").count() == 0 and kept.where("doc_id < 120").count() == 121
+
+
+def brute_mixture(log_p, active, rounds):
+    """EM of one document, word by word."""
+    share = {j: 1 / len(active) for j in active}
+    for _ in range(rounds):
+        new = dict.fromkeys(active, 0.0)
+        for row in log_p:
+            joint = {j: math.exp(row[j] - max(row)) * share[j] for j in active}
+            for j in active:
+                new[j] += joint[j] / sum(joint.values()) / len(log_p)
+        share = new
+    return share, sum(math.log(sum(math.exp(row[j] - max(row)) * share[j] for j in active)) for row in log_p)
+
+
+def test_inference_against_brute_force():
+    """Proportions and set by the same rule, one document and one word at a time, with
+    no bound on the set."""
+    r = np.random.default_rng(6)
+    scores = []
+    for n in (1, 3, 40, 120, 200):
+        own = r.integers(0, r.integers(1, 7), n)  # up to six languages in a text
+        x = r.normal(-30, 2, (n, 7))
+        x[np.arange(n), own] += r.uniform(5, 15, n)
+        scores.append(x)
+    for x, got in zip(scores, language_id.infer(scores)):
+        every, _ = brute_mixture(x, range(7), 8)
+        order = sorted(range(6), key=lambda j: -every[j])
+        sizes = max(1, sum(every[j] * len(x) > 0.1 for j in range(6)))
+        tried = []
+        for size in range(1, sizes + 1):
+            share, log_l = brute_mixture(x, [*order[:size], 6], 8)
+            tried.append((-2 * log_l + (size - 1) * math.log(len(x) + 1), share))
+        want = min(tried, key=lambda y: y[0])[1]
+        assert np.allclose(got, [want.get(j, 0.0) for j in range(7)], atol=1e-6)
+    assert (language_id.infer(scores)[-1][:6] > 0.05).sum() > 4
+
+
+def test_long_texts_are_inferred_in_bounded_units(docs):
+    model = language_id.train(docs.where("lang is not null"))
+    whole = model.word_scores(language_id._spaced("the cat sat on a mat " * 60_000))
+    assert len(whole) <= language_id.MOST_UNITS
+    some = model.word_scores(language_id._spaced("the cat sat on a mat " * 600))
+    assert np.allclose(whole.sum(axis=0) / 100, some.sum(axis=0), rtol=1e-3)
+
+
 # ------------------------------------------------------------------ toxicity
 
 
