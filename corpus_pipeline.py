@@ -15,8 +15,8 @@ from cairn.llm.queries import CAPACITY, DISTANCE, MIX_WEIGHTS, SHINGLE, label_cl
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in an identified language stay; those without one (no text, no
-    letters) go."""
+    """Documents in a learned language stay; those without letters go, and those most of
+    whose text no learned language explains."""
     return language_id.accepted(docs)
 
 
@@ -31,10 +31,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their fitted rates say: the good domain is raised to its
-    target, so its documents stay at least once, and the others are thinned out."""
+    """Documents as often as their fitted rates say. The mix is made as large as it takes
+    for every document that is likeliest good to stay at least once; the others are
+    raised or thinned out to their shares."""
     classifier = label_classifier(docs, table(spark, sf_dir, "labels"))
-    return mixing.mixed(docs, mixing.mix(docs, classifier, MIX_WEIGHTS))
+    return mixing.mixed(docs, mixing.mix(docs, classifier, MIX_WEIGHTS, keep="good"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
