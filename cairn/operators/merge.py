@@ -16,6 +16,7 @@ NULL key take part in no join.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -148,3 +149,88 @@ def merge_upsert(
         ]
     )
     return updated.unionByName(inserts)
+
+
+def merge_one_per_key(
+    target: DataFrame,
+    source,
+    source_on: Sequence[str],
+    target_on: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """``merge_upsert`` where a key of several source rows gives one row, also where it is
+    inserted: one full outer join, so the target is read once. Of a target bucketed by
+    the key nothing is shuffled. Source rows with a NULL key are all inserted."""
+    if not isinstance(source, DataFrame):
+        source = borrow_types(to_dataframe(target.sparkSession, source), target.schema)
+    source_on, target_on = list(source_on), list(target_on or source_on)
+    if not source_on or len(source_on) != len(target_on):
+        raise ValueError("source_on and target_on must be non-empty and of equal length")
+    by_lower = {c.lower(): c for c in source.columns}
+    extra = sorted(set(by_lower) - {c.lower() for c in target.columns})
+    if extra:
+        raise ValueError(f"source columns not in target: {extra}")
+    has_key = reduce(lambda a, b: a & b, [F.col(quote(k)).isNotNull() for k in source_on])
+    keys = [F.col(quote(k)).alias(f"__sk{i}") for i, k in enumerate(source_on)]
+    row = F.struct(*[F.col(quote(c)) for c in source.columns])
+    order = F.struct(*[F.col(quote(c)) for c in (order_by or [])], comparable_row(source).alias("__row"))
+    winners = source.filter(has_key).groupBy(*keys).agg(F.max_by(row, order).alias("__w"))
+    others = source.filter(~has_key).select(*keys, row.alias("__w"))
+    right = winners.unionByName(others) if any(source.schema[k].nullable for k in source_on) else winners
+    same = reduce(lambda a, b: a & b, [target[quote(t)] == right[f"__sk{i}"] for i, t in enumerate(target_on)])
+    joined = target.join(right.withColumn("__s", F.lit(True)), same, "full")
+    return joined.select(
+        *[
+            F.when(F.col("__s"), F.col("__w").getField(by_lower[f.name.lower()]).cast(f.dataType)).otherwise(target[quote(f.name)]).alias(f.name)
+            if f.name.lower() in by_lower
+            else target[quote(f.name)].alias(f.name)
+            for f in target.schema.fields
+        ]
+    )
+
+
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, location: str | None = None) -> None:
+    """A catalog table bucketed and sorted by ``keys``: one file a bucket, so joins and
+    merges on them neither shuffle nor sort it. Choose ``buckets`` so that one is a few
+    hundred megabytes. ``location``: a folder for an external table."""
+    writer = df.repartition(buckets, *[F.col(quote(k)) for k in keys]).write
+    writer = writer.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns of a catalog table, None if it has none."""
+    about = _described(spark, name)
+    if "Num Buckets" not in about:
+        return None
+    return int(about["Num Buckets"]), [c.strip(" `") for c in about["Bucket Columns"].strip("[]").split(",")]
+
+
+def merge_into(spark: SparkSession, name: str, source, keys: Sequence[str], order_by: Sequence[str] | None = None) -> None:
+    """Merge into a bucketed catalog table in place (``merge_one_per_key``): the new contents
+    are written to a staging table of the same buckets, which then takes the name; that of
+    an external table lies beside the old folder. The join leaves each bucket's rows in
+    one task, so a bucket is again one file."""
+    from ..session import delete_folder
+    from ..sinks.writers import swap_table
+
+    spec = bucketing(spark, name)
+    if spec is None or {c.lower() for c in spec[1]} != {k.lower() for k in keys}:
+        raise ValueError(f"{name} is not bucketed by {list(keys)}")
+    about, tag = _described(spark, name), uuid.uuid4().hex[:8]
+    # in the order of the buckets' columns, so that the exchange of the source is the table's
+    on = sorted(keys, key=lambda k: [c.lower() for c in spec[1]].index(k.lower()))
+    merged = merge_one_per_key(spark.table(name), source, on, None, order_by)
+    writer = merged.write.bucketBy(spec[0], *spec[1]).sortBy(*spec[1])
+    external = about.get("Type") == "EXTERNAL"
+    if external:
+        old = about["Location"].rstrip("/")
+        writer = writer.option("path", f"{old.split('__merged_')[0]}__merged_{tag}")
+    writer.saveAsTable(f"{name}__staging_{tag}")
+    swap_table(spark, f"{name}__staging_{tag}", name)
+    if external:  # dropping such a table leaves its files
+        delete_folder(spark, old)

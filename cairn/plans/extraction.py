@@ -97,7 +97,7 @@ def extract_increment(
     parsed = typed.filter(F.col(f"`{ts_column}`").isNotNull()).count()
     if given > parsed:
         raise ValueError(f"{given - parsed} values of {ts_column} are not timestamps; nothing was written")
-    mark = state.load(entity)
+    version, mark = state.version(entity), state.load(entity)
     # Dates are replaced whole, so what is written always begins at midnight.
     typed = incremental_filter(typed, ts_column, mark, is_historical, True)
     merged = None
@@ -115,5 +115,5 @@ def extract_increment(
     wm = next_watermark(written, ts_column, floor="day" if floor_to_day else None)
     row = wm.collect()[0]
     if row["last_update"]:
-        state.save(entity, row["last_update"])
+        state.save(entity, row["last_update"], version)
     return wm.select("last_update", "values_seen", F.col("values_unparsed"))

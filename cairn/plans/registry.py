@@ -8,7 +8,7 @@ computed columns carry the same names on both sides.
 from __future__ import annotations
 
 import functools
-import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -828,14 +828,9 @@ def q_coerce_schema(spark, sf_dir):
 # ---------------------------------------------------------------- files, pages, objects
 
 def _scratch(spark, name: str) -> str:
-    """Scratch folder under the session's checkpoint folder. Only a session that runs on
-    this one machine gets one of its own when none is set; a cluster must name it."""
-    from ..session import checkpoint_dir, scratch_path
+    """Scratch folder under the session's checkpoint folder."""
+    from ..session import scratch_path
 
-    if not checkpoint_dir(spark) and re.match(r"local(\[|$)", spark.sparkContext.master):
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-ckpt-"))
     return scratch_path(spark, name, remove_at_exit=True)
 
 
@@ -1512,3 +1507,97 @@ def q_flow_extract_text(spark, sf_dir):
         {"step": "write_objects", "input": "texts", "params": {"root": f"{base}/out", "file_extension": "txt"}},
     ])
     return read_objects(spark, f"{base}/out").select("file_name", F.decode("file_content", "UTF-8").alias("content"))
+
+
+@register(
+    "merge_upsert_bucketed",
+    """SELECT c.c_custkey, c.c_name,
+              CASE WHEN c.c_nationkey = 3 THEN c.c_nationkey + 100 ELSE c.c_nationkey END AS c_nationkey,
+              CASE WHEN c.c_nationkey = 3 THEN NULL ELSE c.c_acctbal END AS c_acctbal, c.c_mktsegment
+       FROM customer c
+       UNION ALL
+       SELECT c_custkey + 1000000000, NULL, c_nationkey + 100, NULL, NULL FROM customer WHERE c_nationkey = 4""",
+)
+def q_merge_upsert_bucketed(spark, sf_dir):
+    """In-place merge into a table bucketed by its key: changed customers, each landed
+    twice, and new ones."""
+    from ..operators.merge import merge_into, save_bucketed
+
+    name = f"cairn_customer_{uuid.uuid4().hex[:8]}"
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    save_bucketed(customer, name, ["c_custkey"], 8, location=_scratch(spark, "bucketed"))
+    gone = F.lit(None).cast(dict(customer.dtypes)["c_acctbal"]).alias("c_acctbal")
+    changed = customer.filter("c_nationkey = 3").select("c_custkey", (F.col("c_nationkey") + 100).alias("c_nationkey"), gone)
+    older = customer.filter("c_nationkey = 3").select("c_custkey", F.lit(-1).cast(dict(customer.dtypes)["c_nationkey"]).alias("c_nationkey"), "c_acctbal")
+    added = customer.filter("c_nationkey = 4").select((F.col("c_custkey") + 1000000000).alias("c_custkey"), (F.col("c_nationkey") + 100).alias("c_nationkey"), gone)
+    merge_into(spark, name, changed.unionByName(older).unionByName(added), ["c_custkey"], order_by=["c_nationkey"])
+    return spark.table(name)
+
+
+@register(
+    "coerce_number_forms",
+    """SELECT o_orderkey AS whole, o_orderkey AS exponent, CAST(NULL AS BIGINT) AS fraction, CAST(NULL AS TINYINT) AS small,
+              CASE WHEN o_orderkey % 2 = 0 THEN 4 ELSE 3 END AS refused
+       FROM orders WHERE o_orderkey > 127 OR o_orderkey < 0""",
+)
+def q_coerce_number_forms(spark, sf_dir):
+    """Whole numbers written with a point or an exponent are whole numbers; what is
+    refused is kept and counted."""
+    from ..operators.coerce import coerce_schema
+
+    key = F.col("o_orderkey").cast("string")
+    text = table(spark, sf_dir, "orders").filter("o_orderkey > 127 OR o_orderkey < 0").select(
+        F.concat(key, F.lit(".0")).alias("whole"), F.concat(key, F.lit("00e-2")).alias("exponent"),
+        F.concat(key, F.lit(".5")).alias("fraction"), key.alias("small"), F.lit("n/a").alias("odd"),
+        F.when(F.col("o_orderkey") % 2 == 0, "x").alias("even"),
+    )
+    schema = {"whole": "int64", "exponent": "int64", "fraction": "int64", "small": "int8", "odd": "float64", "even": "timestamp[ns]"}
+    out = coerce_schema(text, schema, rejects="refused")
+    return out.select("whole", "exponent", "fraction", "small", F.size("refused").alias("refused"))
+
+
+@register(
+    "sql_double_quoted_param",
+    "SELECT c_custkey, 'seg: ' || c_mktsegment AS label FROM customer WHERE c_mktsegment = 'BUILDING' OR c_name LIKE '%0007%'",
+)
+def q_sql_double_quoted_param(spark, sf_dir):
+    from ..sources.tables import read_sql
+
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer_named")
+    return read_sql(
+        spark,
+        '''SELECT c_custkey, concat("{{ prefix }}: ", c_mktsegment) AS label FROM customer_named
+           WHERE c_mktsegment = "{{segment}}" OR c_name LIKE "%{{part}}%"''',
+        parameters=[{"key": "prefix", "value": "seg"}, {"key": "segment", "value": "BUILDING"}, {"key": "part", "value": "0007"}],
+    )
+
+
+@register(
+    "sql_list_param",
+    "SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_custkey % 10 NOT IN (1, 2, 3)",
+)
+def q_sql_list_param(spark, sf_dir):
+    from ..sources.tables import read_sql
+
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_listed")
+    return read_sql(
+        spark,
+        "SELECT o_orderkey FROM orders_listed WHERE o_orderstatus IN ({{ states }}) AND o_custkey % 10 NOT IN ({{ends}})",
+        parameters={"states": ["F", "P"], "ends": [1, 2, 3]},
+    )
+
+
+@register("overwrite_path_failed", "SELECT c_custkey FROM customer")
+def q_overwrite_path_failed(spark, sf_dir):
+    """An overwrite that fails in a task leaves the rows that were there."""
+    from ..sinks.writers import save_table
+
+    path = _scratch(spark, "overwritten")
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    save_table(keys, path=path)
+    try:
+        save_table(keys.select(F.when(F.col("c_custkey") > 0, F.raise_error(F.lit("stop"))).otherwise(F.col("c_custkey")).alias("c_custkey")), path=path)
+    except Exception as error:
+        if "stop" not in str(error):
+            raise
+    return spark.read.parquet(path)

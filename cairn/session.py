@@ -9,10 +9,11 @@ sets a checkpoint folder, and only when none is configured.
 from __future__ import annotations
 
 import atexit
+import os
+import re
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -62,44 +63,41 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 def scratch_path(spark: SparkSession, name: str, remove_at_exit: bool = False) -> str:
     """A fresh path under the session's checkpoint folder.
 
-    Raises when no checkpoint folder is configured: scratch output must live on a
-    shared file system, never on one machine's disk. ``remove_at_exit`` deletes
-    the folder when the Python process ends.
+    Scratch output must live on a shared file system, never on one machine's disk: on a
+    cluster that names none this raises. A session that runs on this one machine gets a
+    temporary folder when none is set. ``remove_at_exit`` deletes the folder when the
+    Python process ends.
     """
     base = checkpoint_dir(spark)
     if not base:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; configure a shared folder for scratch output"
-        )
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for scratch output")
+        base = tempfile.mkdtemp(prefix="cairn-ckpt-")
+        spark.sparkContext.setCheckpointDir(base)
+        base = checkpoint_dir(spark)
     path = f"{base}/cairn/{name}-{uuid.uuid4().hex}"
     if remove_at_exit:
         _SCRATCH.append((spark, path))
     return path
 
 
-# stored intermediates of this process: id(DataFrame) -> (path or None, DataFrame)
-_STORED: dict[int, tuple[str | None, DataFrame]] = {}
+# stored intermediates of this process: id(DataFrame) -> (path, DataFrame)
+_STORED: dict[int, tuple[str, DataFrame]] = {}
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Run ``df`` once and return a DataFrame that reads the stored result.
 
-    With a checkpoint folder: written as parquet there (survives executor loss,
-    lineage cut, later reads are column-pruned). Without: persisted to memory and
-    disk (recomputed from lineage if blocks are lost). Call ``release`` once no
-    plan needs it; whatever is left is removed when the Python process exits.
+    Written as parquet under the checkpoint folder (survives executor loss, lineage cut,
+    later reads are column-pruned). Call ``release`` once no plan needs it; whatever is
+    left is removed when the Python process exits.
     """
     spark = df.sparkSession
-    if checkpoint_dir(spark):
-        path = scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
-        _STORED[id(out)] = (path, out)
-        return out
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    _STORED[id(kept)] = (None, kept)
-    return kept
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    _STORED[id(out)] = (path, out)
+    return out
 
 
 def _delete(spark: SparkSession | None, path: str) -> None:
@@ -130,10 +128,7 @@ def release(df: DataFrame) -> None:
     if entry is None:
         return
     path, kept = entry
-    if path is None:
-        kept.unpersist()
-    else:
-        _delete(kept.sparkSession, path)
+    _delete(kept.sparkSession, path)
 
 
 @atexit.register
@@ -147,15 +142,74 @@ def _release_all() -> None:
         _delete(spark if alive else None, path)
     for key in list(_STORED):
         path, kept = _STORED.pop(key)
-        if path is not None:
-            try:
-                spark = kept.sparkSession if kept.sparkSession.sparkContext._jsc else None
-            except Exception:
-                spark = None
-            _delete(spark, path)
+        try:
+            spark = kept.sparkSession if kept.sparkSession.sparkContext._jsc else None
+        except Exception:
+            spark = None
+        _delete(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, asked of the session's own file systems."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, p = _file_system(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def swap_folder(spark: SparkSession, staging: str, path: str) -> None:
+    """Give ``staging`` the name of the existing folder ``path``; the old one is deleted
+    only then, and comes back if the new one cannot get its name."""
+    fs, new = _file_system(spark, staging)
+    _, target = _file_system(spark, path)
+    _, old = _file_system(spark, f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+    if not fs.rename(target, old):
+        raise OSError(f"cannot rename {path}")
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"cannot rename {staging}")
+    fs.delete(old, True)
+
+
+def create_new(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file unless there is one of this name; whether it was created. On a
+    file system with atomic create only one of several callers gets True."""
+    fs, p = _file_system(spark, path)
+    data = content.encode()
+    if fs.getUri().getScheme() == "file":
+        local = p.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            handle = os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError:
+            return False
+        with os.fdopen(handle, "wb") as out:
+            out.write(data)
+        return True
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as error:
+        if "AlreadyExists" in str(error):
+            return False
+        raise
+    out.write(bytearray(data))
+    out.close()
+    return True
+
+
+def small_files(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the files of a folder that holds few."""
+    fs, p = _file_system(spark, folder)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from ..functions.names import quote
-from ..session import materialize
+from ..session import delete_folder, materialize, path_exists, swap_folder
 
 
 def save_table(
@@ -23,30 +23,43 @@ def save_table(
 ) -> None:
     """Write ``df`` to a catalog table or a parquet folder (K1, K2, K7).
 
-    An empty name is a no-op (as in the reference's append). Overwriting a catalog
-    table goes through a staging table and a swap, so a plan that reads the table
-    it replaces still works."""
+    An empty name is a no-op (as in the reference's append). Overwriting goes through a
+    staging table, or a staging folder beside ``path``, and a swap of names: a plan that
+    reads what it replaces still works, and a write that fails leaves the old rows."""
     if not name and not path:
         return
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    spark = df.sparkSession
     if path:
-        w.parquet(path)
+        replaced = mode == "overwrite" and path_exists(spark, path)
+        if replaced and not (partition_by and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"):
+            staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex[:8]}"
+            try:
+                w.parquet(staging)
+                swap_folder(spark, staging, path)
+            finally:
+                delete_folder(spark, staging)
+        else:
+            w.parquet(path)
         return
-    spark = df.sparkSession
     if mode == "overwrite" and spark.catalog.tableExists(name):
         staging = f"{name}__staging_{uuid.uuid4().hex[:8]}"
         w.saveAsTable(staging)
-        # the old table is dropped only after the new one has its name
-        old = f"{name}__old_{uuid.uuid4().hex[:8]}"
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-        spark.sql(f"DROP TABLE {old}")
+        swap_table(spark, staging, name)
     else:
         w.saveAsTable(name)
 
 
+def swap_table(spark: SparkSession, staging: str, name: str) -> None:
+    """Give ``staging`` the name of an existing table, which is dropped only then."""
+    old = f"{name}__old_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {old}")
+
+
 def create_view(df: DataFrame, name: str, global_view: bool = False) -> DataFrame:
     """Create or replace a view over ``df`` (K6)."""
     if global_view:

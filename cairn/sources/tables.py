@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 _PLACEHOLDER = re.compile(
     r"""--[^\n]*|/\*.*?\*/
     |'(?P<literal>(?:[^'\\]|\\.|'')*)'
+    |"(?P<double>(?:[^"\\]|\\.|"")*)"
+    |\bIN\s*\(\s*\{\{\s*(?P<listed>\w+)\s*\}\}\s*\)
     |`\{\{\s*(?P<quoted>\w+)\s*\}\}`
     |(?P<keyword>\b(?:FROM|JOIN|INTO|TABLE))(?P<gap>\s+)\{\{\s*(?P<named>\w+)\s*\}\}
     |\{\{\s*(?P<plain>\w+)\s*\}\}""",
@@ -32,25 +34,36 @@ def _params(parameters) -> dict[str, object]:
     return {p["key"]: p["value"] for p in parameters}
 
 
-def to_named_markers(sql: str, identifiers: Collection[str] = ()) -> str:
+def to_named_markers(sql: str, identifiers: Collection[str] = (), lists: Mapping[str, int] | None = None) -> str:
     """Rewrite ``{{name}}`` into the named marker ``:name``; values are then bound by
     Spark as literals, never spliced into the text.
 
-    A placeholder that is a whole literal (``'{{x}}'``) becomes the marker alone; one
-    inside a literal (``'%{{x}}%'``) becomes part of a concatenation. One in back quotes,
+    A placeholder that is a whole literal (``'{{x}}'`` or ``"{{x}}"``) becomes the marker
+    alone; one inside a literal (``'%{{x}}%'``) becomes part of a concatenation. ``IN ({{x}})``
+    with a list (``lists``: its length by name) gets a marker for each element; no
+    element matches none. One in back quotes,
     after FROM, JOIN, INTO or TABLE, or named in ``identifiers`` is a name: it becomes
     ``IDENTIFIER(:name)``."""
 
-    def literal(text: str) -> str:
+    lists = lists or {}
+
+    def literal(text: str, mark: str) -> str:
         pieces = re.split(r"\{\{\s*(\w+)\s*\}\}", text)
         if len(pieces) == 1:
-            return f"'{text}'"
-        parts = [f":{x}" if i % 2 else f"'{x}'" for i, x in enumerate(pieces) if x]
+            return f"{mark}{text}{mark}"
+        parts = [f":{x}" if i % 2 else f"{mark}{x}{mark}" for i, x in enumerate(pieces) if x]
         return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
     def rewrite(m: re.Match) -> str:
         if m["literal"] is not None:
-            return literal(m["literal"])
+            return literal(m["literal"], "'")
+        if m["double"] is not None:
+            return literal(m["double"], '"')
+        if m["listed"] is not None:
+            name = m["listed"]
+            if name not in lists:
+                return re.sub(r"\{\{.*\}\}", f":{name}", m[0], flags=re.DOTALL)
+            return f"IN ({', '.join(f':{name}__{i}' for i in range(lists[name])) or 'NULL'})"
         name = m["quoted"] or m["named"] or m["plain"]
         if name is None:  # a comment
             return m[0]
@@ -79,11 +92,14 @@ def read_sql(
         with open(sql_file, encoding="utf-8") as fh:
             sql = fh.read()
     args = _params(parameters)
-    text = to_named_markers(sql, identifiers)
+    lists = {m["listed"] for m in _PLACEHOLDER.finditer(sql) if m["listed"] and isinstance(args.get(m["listed"]), (list, tuple, set))}
+    text = to_named_markers(sql, identifiers, {name: len(args[name]) for name in lists})
     unknown = {x for m in _PLACEHOLDER.finditer(sql) for x in re.findall(r"\{\{\s*(\w+)\s*\}\}", m[0])
                if not m[0].startswith(("--", "/*"))} - set(args)
     if unknown:
         raise KeyError(f"no value for {sorted(unknown)}")
+    args |= {f"{name}__{i}": x for name in lists for i, x in enumerate(args[name])}
+    args = {name: x for name, x in args.items() if name not in lists or re.search(rf":{name}\b", text)}
     return spark.sql(text, args=args) if args else spark.sql(text)
 
 

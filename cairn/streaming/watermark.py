@@ -9,6 +9,7 @@ write never skips rows; the inclusive ``>=`` re-read is made harmless by upsert.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from ..functions.timestamps import (
     parse_timestamp,
     utc_wall_clock,
 )
-from ..session import path_exists
+from ..session import create_new, small_files
 
 STATE_SCHEMA = StructType(
     [
@@ -107,6 +108,10 @@ def next_watermark(
     )
 
 
+class StaleMarkError(RuntimeError):
+    """Another run has saved a mark since this one began."""
+
+
 class WatermarkStore:
     """Per-source marks in a parquet folder; appends only, latest save wins (K8)."""
 
@@ -115,7 +120,7 @@ class WatermarkStore:
         self.path = path.rstrip("/")
 
     def _read(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.path):  # no mark saved yet
+        if not any(x.startswith("part-") for x in small_files(self.spark, self.path)):  # no mark saved yet
             return None
         return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
 
@@ -132,7 +137,24 @@ class WatermarkStore:
         )
         return rows[0]["m"] if rows else None
 
-    def save(self, source: str, mark: str) -> None:
+    def version(self, source: str) -> int:
+        """How many marks were saved for the source; give it to ``save`` so that of two
+        runs that began at one mark only the first can save its own."""
+        return max((int(x) for x in small_files(self.spark, self._claims(source)) if x.isdigit()), default=0)
+
+    def _claims(self, source: str) -> str:
+        return f"{self.path}/_versions/{hashlib.sha256(source.encode()).hexdigest()[:32]}"
+
+    def save(self, source: str, mark: str, version: int | None = None) -> None:
+        """Append a mark. With ``version`` (from before the run) the next version is claimed
+        first, by creating a file of its number: if another run has it, this one ends
+        with ``StaleMarkError`` and nothing is saved."""
+        if version is None:
+            version = self.version(source)
+            while not create_new(self.spark, f"{self._claims(source)}/{version + 1}", mark):
+                version += 1
+        elif not create_new(self.spark, f"{self._claims(source)}/{version + 1}", mark):
+            raise StaleMarkError(f"the mark of {source!r} was moved by another run")
         row = self.spark.range(1).select(
             F.lit(source).alias("source"),
             parse_timestamp(F.lit(mark)).alias("last_update"),
