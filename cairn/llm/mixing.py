@@ -151,8 +151,8 @@ def _totals(rows: DataFrame, domains: int, rate: Column) -> np.ndarray:
 
 
 def _pushed(p: list[Column], rate: Column, push: np.ndarray) -> Column:
-    """A projected step: along the posterior, and cut at 0."""
-    return F.greatest(F.lit(0.0), rate + sum((x * float(push[i]) for i, x in enumerate(p)), F.lit(0.0)))
+    """A projected step: along the posterior, and cut at the row's least rate."""
+    return F.greatest(F.col("least"), rate + sum((x * float(push[i]) for i, x in enumerate(p)), F.lit(0.0)))
 
 
 def _newton(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance: float, every: int) -> tuple[DataFrame, np.ndarray]:
@@ -169,7 +169,8 @@ def _newton(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance: flo
         rate = _pushed(p, rate, solve @ residual)
         step += 1
         if step % every == 0:
-            now, rate = store(now.withColumn("rate", rate), "rates"), F.col("rate")
+            last, now, rate = now, store(now.withColumn("rate", rate), "rates"), F.col("rate")
+            release(last)
         residual = goal - _totals(now, len(goal), rate)
         if step % every == 0:
             if np.abs(residual).max() > start / 2:
@@ -186,7 +187,7 @@ def _accelerated(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance
     k = len(goal)
     p = [F.col(f"p{i}") for i in range(k)]
     eta = 1 / max(np.linalg.eigvalsh(gram).max(), 1e-300)
-    now = store(cells.withColumns({"ahead": F.col("rate")}), "rates")
+    now = stored = store(cells.withColumns({"ahead": F.col("rate")}), "rates")
     scale = max(goal.sum(), 1)
     ahead_total = best = None
     t, still = 1.0, 0
@@ -199,20 +200,23 @@ def _accelerated(cells: DataFrame, goal: np.ndarray, gram: np.ndarray, tolerance
             total = _totals(now, k, F.col("new"))
             distance = float(((goal - total) ** 2).sum() ** 0.5)
             if best is not None and distance > best and t > 1:  # restart from the last point
-                t, ahead_total = 1.0, None
-                now = store(now.drop("new").withColumn("ahead", F.col("rate")), "rates")
+                t, ahead_total, last = 1.0, None, stored
+                now = stored = store(now.drop("new").withColumn("ahead", F.col("rate")), "rates")
+                release(last)
                 continue
             following = (1 + (1 + 4 * t * t) ** 0.5) / 2
             lead, t = (t - 1) / following, following
             now = now.withColumn("ahead", F.col("new") + lead * (F.col("new") - F.col("rate")))
-            now = store(now.drop("rate").withColumnRenamed("new", "rate"), "rates")
+            last = stored
+            now = stored = store(now.drop("rate").withColumnRenamed("new", "rate"), "rates")
+            release(last)
             ahead_total, best = None, distance if best is None else min(best, distance)
         still = still + 1 if before is not None and before - best <= tolerance * scale else 0
     return now.drop("ahead"), goal - _totals(now, k, F.col("rate"))
 
 
 def fit_rates(
-    rows: DataFrame, targets: list[float], every: int = 8, tolerance: float = 1e-9
+    rows: DataFrame, targets: list[float], every: int = 8, tolerance: float = 1e-9, floors: dict[int, float] | None = None
 ) -> tuple[DataFrame, np.ndarray]:
     """``rows`` (n_tokens, p0, p1...) with ``rate``: nonnegative, and such that the sums
     of rate * n_tokens * p come as near to ``targets`` as can be, in tokens; and what is
@@ -222,12 +226,15 @@ def fit_rates(
     totals. Rows of one posterior keep one rate, so the steps run over the distinct
     posteriors with their tokens; a step sends one total per domain to the driver. The
     first steps are weighted by the domains' Gram matrix; targets that these do not reach are approached by plain accelerated steps until the distance no longer
-    falls. Documents without tokens have no say and get the rate of their posterior.
+    falls. ``floors``: by domain the least rate of rows that are likeliest of it (0: of the
+    others). Documents without tokens have no say and get the rate of their posterior.
     """
     k = len(targets)
     names = [f"p{i}" for i in range(k)]
-    cells = store(rows.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens")), "posterior-cells")
     p = [F.col(x) for x in names]
+    largest = F.greatest(*p) if k > 1 else p[0]
+    least = F.coalesce(*[F.when(p[i] == largest, F.lit(float(x))) for i, x in (floors or {}).items()], F.lit(0.0))
+    cells = store(rows.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens")).withColumn("least", least), "posterior-cells")
     gram = np.zeros((k, k))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     sums = cells.agg(*[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
@@ -252,14 +259,16 @@ def mix(
     text_col: str = "text",
     total: float | None = None,
     keep: str | None = None,
+    tolerance: float = 1e-9,
 ) -> DataFrame:
     """(doc_id, n_tokens, one posterior column per domain, rate, copies, and per domain
     the tokens by which the fit misses its target), a row per row.
 
     ``weights`` are the domains' target shares of the mix (scaled to sum 1; a domain not
     named has 0), ``total`` its size in tokens (default: that of ``docs``). With ``keep``
-    the size grows from there until every document that is likeliest of that domain, and has
-    tokens, has a rate of 1 or more, so none of them is thinned out. ``rate`` is
+    documents that are likeliest of that domain have a rate of at least 1, so none of them
+    is thinned out, and the default size is what gives that domain's expected tokens their
+    share, if that is more. ``tolerance`` is a share of the size. ``rate`` is
     fitted; ``copies`` is the whole number it is rounded to, up with the probability of
     its fraction (by a hash of the document, so the same for repeated rows): their
     expected token totals are those of the rates. Targets that no nonnegative rates reach
@@ -273,20 +282,13 @@ def mix(
     shares = [weights.get(d, 0.0) / sum(weights.values()) for d in classifier.domains]
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("_hash", F.xxhash64("doc_id", "text"))
     rows = store(classifier.posteriors(rows, ["doc_id", "_hash"]), "posteriors")
+    at = classifier.domains.index(keep) if keep is not None else None
     if total is None:
-        total = float(rows.agg(F.sum("n_tokens")).first()[0] or 0)
-    fitted, residual = fit_rates(rows, [total * s for s in shares])
-    if keep is not None:
-        p = [F.col(f"p{i}") for i in range(len(shares))]
-        mine = (F.greatest(*p) if len(p) > 1 else p[0]) == p[classifier.domains.index(keep)]
-        for _ in range(60):
-            least = fitted.where(mine & (F.col("n_tokens") > 0)).agg(F.min("rate")).first()[0]
-            if least is None or least >= 1:
-                break
-            total *= max(1.02, 1.0001 / least if least > 0.01 else 2.0)
-            fitted, residual = fit_rates(rows, [total * s for s in shares])
-        else:
-            raise ValueError(f"no size of the mix keeps all documents of {keep}")
+        mine = F.sum(F.col("n_tokens") * F.col(f"p{at}")) if keep is not None else F.lit(0.0)
+        size, kept = rows.agg(F.sum("n_tokens"), mine).first()
+        total = max(float(size or 0), float(kept or 0) / shares[at] if keep is not None else 0.0)
+    floors = {at: 1.0} if keep is not None else None
+    fitted, residual = fit_rates(rows, [total * s for s in shares], tolerance=tolerance, floors=floors)
     chance = F.shiftrightunsigned(F.xxhash64("_hash"), 11) / F.lit(float(1 << 53))
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
     return fitted.select(
