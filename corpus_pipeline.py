@@ -31,11 +31,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their fitted rates say. The mix is made as large as it takes
-    for every document that is likeliest good to stay at least once; the others are
-    raised or thinned out to their shares."""
+    """Documents as often as their fitted rates say. Every document that is likeliest good
+    has a rate of at least 1, so it stays; the others are raised or thinned out to their
+    shares, to one in a thousand of the mix where that can be reached."""
     classifier = label_classifier(docs, table(spark, sf_dir, "labels"))
-    return mixing.mixed(docs, mixing.mix(docs, classifier, MIX_WEIGHTS, keep="good"))
+    return mixing.mixed(docs, mixing.mix(docs, classifier, MIX_WEIGHTS, keep="good", tolerance=1e-3))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
