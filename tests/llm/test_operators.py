@@ -469,15 +469,17 @@ def test_mixed_document_and_tree_sum(spark, docs):
     assert found.p == "en" and 0.6 < found.s < 0.9 and "fr:" in found.m
 
 
-def test_text_that_no_language_explains(spark, docs):
-    model = language_id.train(docs.where("lang is not null"))
+def test_text_that_no_language_explains(spark):
+    # with few learned n-grams a language hardly differs from the background
+    learned = make(spark, corpus(2000)[:2000])
+    model = language_id.train(learned)
     odd = ["これは日本語の文章です" * 5, "Это русский текст", "zqxj zqxj", "the cat sat on a mat and ran", "le chat noir dort", "の" * 5000, "12 34 a"]
     found = language_id.identify(make(spark, [(i, x, None) for i, x in enumerate(odd)]), model, names=("p", "s", "m", "e")).orderBy("doc_id").collect()
     assert [x.e >= 0.25 for x in found[:6]] == [False, False, False, True, True, False]
-    assert all(x.s < 0.1 for x in found[:3]) and [found[3].p, found[4].p] == ["en", "fr"] and found[3].s > 0.9
+    assert all(x.s < 0.25 for x in found[:3]) and [found[3].p, found[4].p] == ["en", "fr"] and found[3].s > 0.9
     foreign = make(spark, [(5000, odd[0], None), (5001, odd[1], "ru"), (5002, odd[2], None)])
-    kept = language_id.accepted(docs.where("lang is not null").union(foreign.where("doc_id != 5001")))
-    assert kept.where("doc_id >= 5000").count() == 0 and kept.where("doc_id < 120").count() == 121
+    kept = language_id.accepted(learned.union(foreign.where("doc_id != 5001")))
+    assert kept.where("doc_id >= 5000").count() == 0 and kept.where("doc_id < 2000").count() == 2000
 
 
 def brute_mixture(log_p, active, rounds):
