@@ -7,11 +7,11 @@ so lists are balanced. A graph of each centroid's nearest centroids stays in mem
 a best-first search in it finds the nearest centroids of vectors and queries. Every
 vector goes to its nearest list, and vectors near a boundary also to the lists whose
 centroids are hardly farther (their distance within a ratio of the nearest). A query
-reads the lists whose centroids are within a ratio of its nearest one; the ratio and the
-most lists are fitted in the job, by the true neighbours (all vectors compared) of a
-bounded set of queries, so they grow with the number of lists. The sample is searched
-whole: what it holds are candidates, and a list's vectors that score less than a query's
-last one of them are left out.
+reads the lists whose centroids are within a ratio of its nearest one; the ratio, the
+most lists and the width of the search are fitted in the job, by the true neighbours (all
+vectors compared) of a bounded set of queries, so they grow with the number of lists.
+Each query's few nearest lists are searched first; of the others, vectors that score less
+than the last of what these gave are left out. Only lists give results.
 
 Equal vectors are one entry with the smallest ids, as many as a result may need, so
 a vector that very many rows share is searched once. Lists longer than ``list_rows``
@@ -39,6 +39,11 @@ def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1), 0)
 
 
+def _closest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each row, of 1024 rows at a time."""
+    return np.concatenate([_squared(x[at : at + 1024], centres).argmin(1) for at in range(0, len(x), 1024)])
+
+
 def balanced_centroids(sample: np.ndarray, count: int, rounds: int = 12, most: float = 2.0, seed: int = 42) -> np.ndarray:
     """About ``count`` centroids; a cluster with more than ``most`` times its fair share
     is split in two, and empty ones go."""
@@ -46,7 +51,7 @@ def balanced_centroids(sample: np.ndarray, count: int, rounds: int = 12, most: f
     count = max(1, min(count, len(sample)))
     centres = sample[rng.choice(len(sample), count, replace=False)].copy()
     for step in range(rounds):
-        near = _squared(sample, centres).argmin(1)
+        near = _closest(sample, centres)
         sizes = np.bincount(near, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, near, sample)
@@ -66,8 +71,8 @@ def balanced_centroids(sample: np.ndarray, count: int, rounds: int = 12, most: f
 class Graph:
     """Centroids, each with its nearest ones and a few at random, searched best first."""
 
-    def __init__(self, centres: np.ndarray, degree: int = 16, seed: int = 7):
-        self.centres = centres
+    def __init__(self, centres: np.ndarray, degree: int = 16, seed: int = 7, step: int = 4):
+        self.centres, self.squared, self.step = centres, (centres**2).sum(1), step
         n = len(centres)
         degree = min(degree, max(n - 1, 1))
         rng = np.random.default_rng(seed)
@@ -84,34 +89,36 @@ class Graph:
         finds for each row, nearest first (-1 and inf where there are fewer), and
         their squared distances."""
         rows, centres = len(x), self.centres
-        width = min(width, len(centres))
+        if width >= len(centres):
+            return _order(x, centres)
         ids = np.full((rows, width), -1)
         apart = np.full((rows, width), np.inf)
         open_ = np.zeros((rows, width), bool)
-        entries = self.entries if len(centres) > width else np.arange(len(centres))
-        new = np.tile(entries, (rows, 1))
+        seen = np.zeros((rows, len(centres)), bool)
+        new = np.tile(self.entries, (rows, 1))
         active = np.arange(rows)
         while len(active):
-            d = ((centres[new] - x[active, None]) ** 2).sum(2)
-            known = (new[:, :, None] == ids[active][:, None, :]).any(2)
+            d = (x[active] ** 2).sum(1)[:, None] - 2 * np.einsum("ijk,ik->ij", centres[new], x[active]) + self.squared[new]
             order = np.argsort(new, axis=1, kind="stable")
-            sorted_new = np.take_along_axis(new, order, 1)
-            twice = np.zeros_like(known)
-            np.put_along_axis(twice, order[:, 1:], sorted_new[:, 1:] == sorted_new[:, :-1], 1)
-            d[known | twice] = np.inf
-            all_ids = np.c_[ids[active], new]
+            new, d = np.take_along_axis(new, order, 1), np.maximum(np.take_along_axis(d, order, 1), 0)
+            known = seen[active[:, None], new]
+            known[:, 1:] |= new[:, 1:] == new[:, :-1]
+            d[known] = np.inf
+            seen[active[:, None], new] = True
             all_d = np.c_[apart[active], d]
-            all_open = np.c_[open_[active], np.isfinite(d)]
             best = np.argsort(all_d, axis=1, kind="stable")[:, :width]
-            ids[active] = np.take_along_axis(all_ids, best, 1)
-            apart[active] = np.take_along_axis(all_d, best, 1)
-            ids[active] = np.where(np.isfinite(apart[active]), ids[active], -1)
-            open_[active] = np.take_along_axis(all_open, best, 1)
+            near = np.take_along_axis(all_d, best, 1)
+            ids[active] = np.where(np.isfinite(near), np.take_along_axis(np.c_[ids[active], new], best, 1), -1)
+            apart[active] = near
+            open_[active] = np.take_along_axis(np.c_[open_[active], np.isfinite(d)], best, 1)
             active = active[open_[active].any(1)]
             if len(active):
-                at = np.where(open_[active], apart[active], np.inf).argmin(1)
-                open_[active, at] = False
-                new = self.links[ids[active, at]]
+                # The nearest few whose links were not followed yet, or else the nearest again.
+                far = np.where(open_[active], apart[active], np.inf)
+                at = np.argsort(far, axis=1, kind="stable")[:, : self.step]
+                at = np.where(np.isfinite(np.take_along_axis(far, at, 1)), at, at[:, :1])
+                open_[active[:, None], at] = False
+                new = self.links[ids[active[:, None], at]].reshape(len(active), -1)
         return ids, apart
 
 
@@ -141,31 +148,40 @@ def _top(q: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray,
     return row, col, np.einsum("ij,ij->i", q[row], v[col])
 
 
-def fitted_probes(x: np.ndarray, centres: np.ndarray, held: np.ndarray, probes: int, ratio: float, radius: float, goal: float) -> tuple[int, float]:
-    """The most lists and the ratio that reach ``goal`` of the true neighbours of the
-    queries ``x`` (lifted) with the fewest lists read; no less than those given.
-    ``held``: (row of x, neighbour, list), one row for each list that holds one."""
-    ids, apart = _order(x, centres)
-    place = np.argsort(ids, axis=1, kind="stable")
-    far = np.sqrt(apart) / np.maximum(np.maximum(np.sqrt(apart[:, :1]), radius), 1e-300)
+def fitted_probes(x: np.ndarray, graph: Graph, held: np.ndarray, probes: int, ratio: float, radius: float, goal: float) -> tuple[int, float, int]:
+    """The most lists, the ratio and the width of the graph's search that reach ``goal`` of
+    the true neighbours of the queries ``x`` (lifted) with the fewest lists read; no less
+    than those given. ``held``: (row of x, neighbour, list), one row for each list that
+    holds one."""
+    count = len(graph.centres)
     _, pair = np.unique(held[:, :2], axis=0, return_inverse=True)
-    first = np.full(pair.max() + 1, len(centres))  # the place of a neighbour's nearest list
-    np.minimum.at(first, pair.ravel(), place[held[:, 0], held[:, 2]])
-    row = np.zeros(len(first), int)
+    row = np.zeros(pair.max() + 1, int)
     row[pair.ravel()] = held[:, 0]
-    at = far[row, first]
-    best, most = None, min(probes, len(centres))
+    need = int(np.ceil(goal * len(row)))
+    width = min(4 * probes, count)
     while True:
-        inside = np.sort(at[first < most])
-        need = int(np.ceil(goal * len(first)))
-        if len(inside) >= need:
-            r = max(ratio, float(inside[need - 1]) * (1 + 1e-9))
-            read = float((far[:, :most] <= r).sum(1).mean())
-            if best is None or read < best[0]:
-                best = (read, most, r)
-        if most == len(centres):
-            return best[1], best[2]
-        most = min(len(centres), most + max(8, most // 4))
+        ids, apart = graph.search(x, width)
+        far = np.sqrt(apart) / np.maximum(np.maximum(np.sqrt(apart[:, :1]), radius), 1e-300)
+        place = np.full((len(x), count), width)
+        found = np.nonzero(ids >= 0)
+        place[found[0], ids[found]] = found[1]
+        first = np.full(len(row), width)  # the place of a neighbour's nearest list
+        np.minimum.at(first, pair.ravel(), place[held[:, 0], held[:, 2]])
+        at = np.where(first < width, far[row, np.minimum(first, width - 1)], np.inf)
+        best, most = None, min(probes, width)
+        while True:
+            inside = np.sort(at[first < most])
+            if len(inside) >= need:
+                r = max(ratio, float(inside[need - 1]) * (1 + 1e-9))
+                read = float((far[:, :most] <= r).sum(1).mean())
+                if best is None or read < best[0]:
+                    best = (read, most, r)
+            if most == width:
+                break
+            most = min(width, most + max(8, most // 4))
+        if best is not None:
+            return best[1], best[2], width
+        width = min(2 * width, count)
 
 
 def _valid(vectors: DataFrame) -> DataFrame:
@@ -192,6 +208,7 @@ def nearest(
     probe_ratio: float = 1.25,
     list_rows: int = 8192,
     query_rows: int = 4096,
+    first_lists: int = 8,
     goal: float = 0.95,
     trials: int = 256,
 ) -> DataFrame:
@@ -232,7 +249,7 @@ def nearest(
     wanted = queries.select("h", "v").distinct()
     asked = store(entries.join(wanted, ["h", "v"], "left_semi").select("entry", "first", "v"), "ann-queries")
 
-    def assign(ratio: float, most: int, sizes: np.ndarray | None = None):
+    def assign(ratio: float, most: int, width: int, sizes: np.ndarray | None = None):
         """Lists of entries, or of queries if the lists' ``sizes`` are known: then more
         lists are read until they must hold enough different vectors."""
 
@@ -241,23 +258,28 @@ def nearest(
                 for at in range(0, whole.num_rows, 512):
                     batch = whole.slice(at, 512)
                     x = _matrix(batch["v"])
-                    if sizes is None:
-                        ids, apart = graph.search(lifted(x), most + 32)
-                    else:
-                        ids, apart = _order(np.c_[x, np.zeros(len(x))], graph.centres)
-                    ok = _within(apart, ratio, most, radius)
-                    if sizes is not None:
-                        held = np.where(ids >= 0, sizes[ids], 0)
-                        ok |= (ids >= 0) & (np.cumsum(held, axis=1) - held < (k + 1) * replicas)
+                    x = lifted(x) if sizes is None else np.c_[x, np.zeros(len(x))]
+                    wide = width
+                    while True:
+                        ids, apart = graph.search(x, wide)
+                        ok = _within(apart, ratio, most, radius)
+                        if sizes is None:
+                            break
+                        held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
+                        enough = (k + 1) * replicas
+                        ok |= (ids >= 0) & (np.c_[np.zeros(len(x)), held[:, :-1]] < enough)
+                        if wide >= len(graph.centres) or (held[:, -1] >= enough).all():
+                            break
+                        wide *= 2
                     row, col = np.nonzero(ok)
                     yield pa.RecordBatch.from_pydict(
-                        {"entry": batch["entry"].take(pa.array(row)), "first": batch["first"].take(pa.array(row)), "list": pa.array(ids[row, col], pa.int64()), "v": batch["v"].take(pa.array(row))}
+                        {"entry": batch["entry"].take(pa.array(row)), "first": batch["first"].take(pa.array(row)), "list": pa.array(ids[row, col], pa.int64()), "place": pa.array(col, pa.int64()), "v": batch["v"].take(pa.array(row))}
                     )
 
         return run
 
-    kind = "entry bigint, first bigint, list bigint, v array<double>"
-    posted = store(entries.select("entry", "first", "v").mapInArrow(assign(boundary_ratio, replicas), kind), "ann-lists")
+    kind = "entry bigint, first bigint, list bigint, place bigint, v array<double>"
+    posted = store(entries.select("entry", "first", "v").mapInArrow(assign(boundary_ratio, replicas, replicas + 32), kind), "ann-lists")
     sizes = np.zeros(len(graph.centres), np.int64)
     for r in posted.groupBy("list").count().collect():  # one row a centroid
         sizes[r["list"]] = r["count"]
@@ -278,37 +300,14 @@ def nearest(
             best = pairs[kept], score[kept]
         yield pa.RecordBatch.from_pydict({"trial": pa.array(best[0][:, 0], pa.int64()), "entry": pa.array(best[0][:, 1], pa.int64()), "score": pa.array(best[1], pa.float64())})
 
+    width = 4 * probes
     if len(tried) and size > 1:
         true = entries.select("entry", "v").mapInArrow(true_ones, "trial bigint, entry bigint, score double")
         true = true.withColumn("nth", F.row_number().over(Window.partitionBy("trial").orderBy(F.desc("score"), "entry"))).where(F.col("nth") <= k)
         held = posted.join(F.broadcast(true.select("trial", "entry")), "entry").select("trial", "entry", "list").toArrow()
         held = np.c_[held["trial"].to_numpy(), held["entry"].to_numpy(), held["list"].to_numpy()]
-        probes, probe_ratio = fitted_probes(np.c_[tried, np.zeros(len(tried))], graph.centres, held, probes, probe_ratio, radius, goal)
-    probing = store(asked.mapInArrow(assign(probe_ratio, probes, sizes), kind), "ann-probes")
-    point_entry = sample["entry"].to_numpy()
-
-    def in_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
-                row, col, score = _top(_matrix(batch["v"]), points, k + 1)
-                yield pa.RecordBatch.from_pydict({"query": batch["entry"].take(pa.array(row)), "entry": pa.array(point_entry[col], pa.int64()), "score": pa.array(score, pa.float64())})
-
-    sampled = store(asked.mapInArrow(in_sample, "query bigint, entry bigint, score double"), "ann-sampled")
-    # A query's last score in the sample; without k + 1 points there is no bound.
-    bound = F.min("score") if len(points) > k else F.lit(float("-inf"))
-    bounds = sampled.groupBy(F.col("query").alias("entry")).agg(bound.alias("least"))
-    probing = probing.join(bounds, "entry")
-    # Lists and query groups in parts of bounded size; a query part meets every list part.
-    list_parts = F.ceil(F.col("n") / F.lit(list_rows)).cast("int")
-    lists = posted.groupBy("list").agg(F.count("*").alias("n")).select("list", list_parts.alias("list_parts"))
-    groups = probing.groupBy("list").agg(F.count("*").alias("n")).select("list", F.ceil(F.col("n") / F.lit(query_rows)).cast("int").alias("query_parts"))
-    cut = store(lists.join(groups, "list"), "ann-parts")  # one row a centroid
-    small = F.broadcast(cut)  # at most max_centroids and their splits
-    many = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    list_side = posted.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("list_parts")).cast("int").alias("lp"), many("query_parts").alias("qp"), "entry", "first", "v")
-    query_side = probing.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("query_parts")).cast("int").alias("qp"), many("list_parts").alias("lp"), "entry", "v", "least")
-
+        probes, probe_ratio, width = fitted_probes(np.c_[tried, np.zeros(len(tried))], graph, held, probes, probe_ratio, radius, goal)
+    probing = store(asked.mapInArrow(assign(probe_ratio, probes, width, sizes), kind), "ann-probes")
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_e, out_s = [], [], []
         if left.num_rows and right.num_rows:
@@ -335,10 +334,29 @@ def nearest(
             }
         )
 
-    keys = ["list", "lp", "qp"]
-    hits = list_side.groupBy(*keys).cogroup(query_side.groupBy(*keys)).applyInArrow(search, "query bigint, entry bigint, score double")
+    def searched(probing: DataFrame) -> DataFrame:
+        """(query, entry, score): the best of each list read, none under ``least``."""
+        # Lists and query groups in parts of bounded size; a query part meets every list part.
+        list_parts = F.ceil(F.col("n") / F.lit(list_rows)).cast("int")
+        lists = posted.groupBy("list").agg(F.count("*").alias("n")).select("list", list_parts.alias("list_parts"))
+        groups = probing.groupBy("list").agg(F.count("*").alias("n")).select("list", F.ceil(F.col("n") / F.lit(query_rows)).cast("int").alias("query_parts"))
+        cut = store(lists.join(groups, "list"), "ann-parts")  # one row a centroid
+        small = F.broadcast(cut)  # at most max_centroids and their splits
+        many = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        list_side = posted.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("list_parts")).cast("int").alias("lp"), many("query_parts").alias("qp"), "entry", "first", "v")
+        query_side = probing.join(small, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("query_parts")).cast("int").alias("qp"), many("list_parts").alias("lp"), "entry", "v", "least")
+        keys = ["list", "lp", "qp"]
+        return list_side.groupBy(*keys).cogroup(query_side.groupBy(*keys)).applyInArrow(search, "query bigint, entry bigint, score double")
+
+    # A query's last score in its nearest lists; fewer than k + 1 there give no bound.
+    nearest_lists = F.col("place") < first_lists
+    near = store(searched(probing.where(nearest_lists).withColumn("least", F.lit(float("-inf")))), "ann-near")
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    ranked = near.groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(by_score))
+    bounds = ranked.where(F.col("nth") == k + 1).select(F.col("query").alias("entry"), F.col("score").alias("least"))
+    rest = probing.where(~nearest_lists).join(bounds, "entry", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
     # A vector in several lists is found several times, with the same score.
-    hits = hits.union(sampled)
+    hits = near.union(searched(rest))
     hits = hits.groupBy("query", "entry").agg(F.max("score").alias("score"))
     hits = hits.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
     place = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

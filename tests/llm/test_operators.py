@@ -437,6 +437,20 @@ def test_lists_read_grow_with_their_number(spark):
     assert all(len(x) == 20 for x in got.values()) and hits >= 0.9 * 20 * 150
 
 
+def test_graph_search_finds_the_nearest_centroids():
+    r = np.random.default_rng(3)
+    centres, x = r.normal(size=(700, 8)), r.normal(size=(40, 8))
+    graph = ann.Graph(centres)
+    exact, apart = ann._order(x, centres)
+    ids, found = graph.search(x, 64)
+    assert ids.shape == (40, 64) and (ids >= 0).all() and (np.diff(found, axis=1) >= 0).all()
+    assert all(len(set(i)) == 64 for i in ids.tolist())
+    assert np.allclose(found, ((centres[ids] - x[:, None]) ** 2).sum(2))
+    assert np.mean([len(set(a[:20]) & set(b[:20])) / 20 for a, b in zip(ids.tolist(), exact.tolist())]) > 0.95
+    whole, _ = graph.search(x, 700)
+    assert (whole == exact).all()
+
+
 # ------------------------------------------------------------------ languages
 
 
