@@ -1,9 +1,10 @@
 """Flatten JSON-object string columns into one string column per key.
 
-Key discovery is the only action: all columns are scanned in **one** job that
-emits distinct (column, key) pairs, aggregated map-side before the shuffle, so what
-reaches the driver is the key set (the future schema), never the data. Each
-column is then parsed **once** into ``map<string,string>`` and indexed per key.
+Key discovery is the only action: all columns, found or given, are scanned in **one**
+job that emits distinct (column, key) pairs, aggregated map-side before the shuffle, so
+what reaches the driver is the key set (the future schema), never the data, and at most
+``MAX_KEYS`` of them. The second scan is the result's own: each column is parsed
+**once** into ``map<string,string>`` and indexed per key.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from ..functions.names import dedupe_names, normalize_name, quote
 log = logging.getLogger(__name__)
 
 MAP_TYPE = "map<string,string>"
+#: Most keys that discovery brings to the driver; more are an error, never left out.
+MAX_KEYS = 100_000
 
 
 def _string_columns(df: DataFrame) -> list[str]:
@@ -43,7 +46,7 @@ def discover_json_columns(df: DataFrame, candidates: Sequence[str] | None = None
 
 
 def discover_keys(
-    df: DataFrame, columns: Sequence[str], max_keys: int | None = None
+    df: DataFrame, columns: Sequence[str], max_keys: int | None = MAX_KEYS
 ) -> tuple[dict[str, list[str]], dict[str, bool], dict[str, bool]]:
     """Distinct keys per column (sorted), whether a column holds a non-object, and
     whether it holds any non-null value.
@@ -81,7 +84,7 @@ def discover_keys(
     # per column: at most one row without a key, plus the keys
     cap = None if max_keys is None else max_keys + len(columns) + 1
     rows = (pairs.limit(cap) if cap is not None else pairs).collect()
-    if cap is not None and len(rows) >= cap and sum(r["k"] is not None for r in rows) > max_keys:
+    if cap is not None and sum(r["k"] is not None for r in rows) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys; pass keys= explicitly")
     for r in rows:
         if r["k"] is not None:
@@ -106,13 +109,20 @@ def flatten_columns(
     ``on_invalid="keep"`` one aggregation still looks for values that are no objects.
     ``on_invalid``: "keep" leaves a column with non-object values unchanged;
     "null" flattens it anyway (those rows give NULLs).
-    ``max_columns``: more new columns than this are an error (default: no limit).
+    ``max_columns``: more new columns than this are an error (default: ``MAX_KEYS``
+    discovered keys; keys given are not limited). A string column that is no JSON may
+    hold values that are objects: their keys count too while columns are discovered.
     New columns come first, then the remaining columns in their order.
     """
     if on_invalid not in ("keep", "null"):
         raise ValueError("on_invalid must be 'keep' or 'null'")
+    max_keys = MAX_KEYS if max_columns is None else max_columns
+    discovered = None
     if columns is None:
-        columns = discover_json_columns(df)
+        # one scan finds the columns and their keys
+        columns = _string_columns(df)
+        discovered = discover_keys(df, columns, max_keys=max(max_keys, MAX_KEYS))
+        columns = [c for c in columns if discovered[2][c] and not discovered[1][c]]
         if not columns:
             raise ValueError("no column holds JSON objects")
     names = [c["name"] if isinstance(c, Mapping) else c for c in columns]
@@ -123,12 +133,12 @@ def flatten_columns(
     names = [by_lower[c.lower()] for c in names]
 
     if keys is None:
-        found, bad, seen = discover_keys(df, names, max_keys=max_columns)
+        found, bad, seen = discovered or discover_keys(df, names, max_keys=max_keys)
     else:
         found = {c: list(keys.get(c, [])) for c in names}
         bad = {c: False for c in names}
         seen = {c: True for c in names}
-        if on_invalid == "keep":
+        if discovered is None and on_invalid == "keep":
             objects = set(discover_json_columns(df, names))
             bad = {c: c not in objects for c in names}
 

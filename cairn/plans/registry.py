@@ -1310,6 +1310,86 @@ def q_extract_increment_two_runs(spark, sf_dir):
     return spark.read.parquet(f"{base}/target").select("event_id", "ts", "user_id", "value")
 
 
+def _land_nested_pages(spark, ev, path):
+    """Events as pages of 50 ``{data: [{id, attributes: {...}}], meta: {total}}``."""
+    attributes = F.struct("user_id", "value", F.date_format("ts", JSON_TS_FORMAT).alias("updated_at"))
+    record = F.struct(F.col("event_id").alias("id"), attributes.alias("attributes"))
+    pages = ev.groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(F.collect_list(record).alias("data"))
+    pages.select("data", F.struct(F.lit(ev.count()).alias("total")).alias("meta")).write.mode("overwrite").json(path)
+
+
+@register(
+    "extract_increment_shape_a",
+    "SELECT event_id AS id, ts AS attributes__updated_at, user_id AS attributes__user_id, value AS attributes__value FROM events",
+)
+def q_extract_increment_shape_a(spark, sf_dir):
+    """Two runs over pages that only say how many records there are, with the time of a
+    record inside an object; the second run lands what came at or after the first mark."""
+    from ..streaming.watermark import WatermarkStore
+    from .extraction import extract_increment
+
+    base = _scratch(spark, "increment_a")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    noon = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    state = WatermarkStore(spark, f"{base}/state")
+    for run in (0, 1):
+        mark = F.lit(state.load("events")).cast("timestamp").cast("timestamp_ntz") if run else None
+        _land_nested_pages(spark, ev.filter(F.col("ts") >= mark) if run else ev.filter(F.col("ts") < noon), f"{base}/landing{run}")
+        extract_increment(
+            spark, f"{base}/landing{run}", "events",
+            {"id": "int64", "attributes.updated_at": "timestamp[ns]", "attributes.user_id": "int64", "attributes.value": "float64"},
+            f"{base}/target", state, "attributes.updated_at", key=("id",), shape="a",
+        )
+    return spark.read.parquet(f"{base}/target").drop("extract_date")
+
+
+@register(
+    "extract_increment_moved_date",
+    """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN TIMESTAMP '2030-01-01' + to_seconds(event_id % 86400) ELSE ts END AS ts,
+              user_id FROM events""",
+)
+def q_extract_increment_moved_date(spark, sf_dir):
+    """A second run lands a fifth of the records again, in another date: each is there once."""
+    from ..streaming.watermark import WatermarkStore
+    from .extraction import extract_increment
+
+    base = _scratch(spark, "increment_moved")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    late = F.timestamp_add("SECOND", F.col("event_id") % 86400, F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    for run, part in enumerate([ev, ev.filter("event_id % 5 = 0").withColumn("ts", late)]):
+        _land_numbered_pages(spark, part, f"{base}/landing{run}")
+        extract_increment(
+            spark, f"{base}/landing{run}", "events", {"event_id": "int64", "ts": "timestamp[ns]", "user_id": "int64"},
+            f"{base}/target", WatermarkStore(spark, f"{base}/state"), "ts", key=("event_id",),
+        )
+    return spark.read.parquet(f"{base}/target").drop("extract_date")
+
+
+@register(
+    "missing_page_ranges",
+    """WITH p AS (SELECT DISTINCT event_type AS tenant, event_id // 50 + 1 AS page FROM events),
+         t AS (SELECT max(page) AS n FROM p),
+         landed AS (SELECT * FROM p WHERE page % 7 NOT IN (2, 3) AND page % 11 <> 0),
+         wanted AS (SELECT tenant, unnest(generate_series(1, n)) AS page FROM (SELECT DISTINCT tenant FROM landed), t),
+         missing AS (SELECT tenant, page FROM wanted EXCEPT SELECT tenant, page FROM landed),
+         runs AS (SELECT *, page - row_number() OVER (PARTITION BY tenant ORDER BY page) AS run FROM missing)
+       SELECT tenant, min(page) AS first_missing, max(page) AS last_missing, COUNT(*) AS pages FROM runs GROUP BY tenant, run""",
+)
+def q_missing_page_ranges(spark, sf_dir):
+    """The ranges of page numbers that did not land, per tenant."""
+    from ..sources.pages import missing_page_ranges
+
+    ev = table(spark, sf_dir, "events").withColumn("page", F.floor(F.col("event_id") / 50) + 1)
+    total = ev.agg(F.max("page")).first()[0]
+    path = _scratch(spark, "pages")
+    landed = ev.filter("page % 7 NOT IN (2, 3) AND page % 11 <> 0")
+    landed.groupBy(F.col("event_type").alias("tenant"), F.col("page").alias("currentPage")).agg(
+        F.collect_list(F.struct("event_id", "user_id")).alias("items")
+    ).withColumn("totalPages", F.lit(total)).write.json(path)
+    pages = spark.read.schema("tenant STRING, currentPage BIGINT, totalPages BIGINT").json(path)
+    return missing_page_ranges(pages, tenant="tenant")
+
+
 @register(
     "coerce_iso_variants",
     """SELECT event_id, CASE event_id % 4 WHEN 2 THEN date_trunc('millisecond', ts) WHEN 3 THEN date_trunc('minute', ts)
@@ -1440,6 +1520,21 @@ def q_csv_quoted(spark, sf_dir):
     return read_file(spark, path, "csv", header=False, multiline=True, schema="doc_id BIGINT, text STRING")
 
 
+@register("csv_quoted_skip_lines", "SELECT doc_id, text FROM documents")
+def q_csv_quoted_skip_lines(spark, sf_dir):
+    """Files with two lines before their header and line breaks inside quotes."""
+    from ..sinks.writers import write_objects
+    from ..sources.files import read_file
+
+    root = _scratch(spark, "csv_quoted_skip")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted)
+    files = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / 500).alias("file")).agg(F.collect_list(line).alias("lines"))
+    content = F.concat(F.lit("an export\nof documents\ndoc_id,text\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    write_objects(files.select(F.col("file").cast("string").alias("file_name"), content.alias("file_content")), root, "csv")
+    return read_file(spark, root, "csv", multiline=True, skip_lines=2, schema="doc_id BIGINT, text STRING")
+
+
 @register("csv_skip_lines", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def q_csv_skip_lines(spark, sf_dir):
     """Several files, two lines before the header of each, types inferred."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import materialize
+
 # Accepted CSV delimiters.
 CSV_DELIMITERS = (",", ";", "|")
 
@@ -19,12 +21,16 @@ def read_file(
     skip_lines: int = 0,
     schema: StructType | str | None = None,
     multiline: bool = False,
+    split: bool = True,
 ) -> DataFrame:
-    """Read parquet / json / csv (S5-S7). CSV: schema inferred unless given.
+    """Read parquet / json / csv (S5-S7). CSV: schema inferred unless given; without a
+    schema, files whose header names other columns, or in another order, are an error.
 
     ``skip_lines`` drops the first n lines of every CSV file before the header.
-    ``multiline``: records may hold line breaks inside quotes; such a file is read by
-    one task."""
+    ``multiline``: records may hold line breaks inside quotes. A large file is still read
+    by many tasks (see ``_csv_records``), for which its quotes must pair: with an odd
+    number of them the read raises. ``split=False`` leaves each file to one task and
+    Spark's own reader, for files with quotes inside unquoted values."""
     fmt = fmt.lower()
     if fmt == "parquet":
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
@@ -36,25 +42,28 @@ def read_file(
     if fmt == "csv":
         if delimiter not in CSV_DELIMITERS:
             raise ValueError(f"delimiter must be one of {CSV_DELIMITERS}")
-        if skip_lines and multiline:
-            raise ValueError("skip_lines counts lines, so it cannot go with records of several lines")
+        if skip_lines and multiline and not split:
+            raise ValueError("skip_lines with records of several lines needs split=True")
         # a quote inside a quoted value is doubled (RFC 4180), not escaped by a backslash
         options = {"sep": delimiter, "header": str(header).lower(), "escape": '"'}
+        if multiline and split:
+            return _csv_parsed(spark, _csv_records(spark, path, skip_lines), {**options, "multiLine": "true"}, schema)
         if skip_lines:
-            return _csv_skipping_lines(spark, path, options, skip_lines, schema)
+            return _csv_parsed(spark, _csv_lines(spark, path, skip_lines), options, schema)
         r = spark.read.options(**options, multiLine=str(multiline).lower())
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-        return r.csv(path)
+        if schema is not None:
+            return r.schema(schema).csv(path)
+        # the header of every file is compared with the columns, not skipped unread
+        return r.option("inferSchema", "true").option("enforceSchema", str(not header).lower()).csv(path)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def _csv_skipping_lines(spark, path, options, skip_lines, schema) -> DataFrame:
-    """Drop the first ``skip_lines`` lines of each file, then parse as CSV, one record a
-    line.
+def _csv_lines(spark: SparkSession, path, skip_lines: int) -> DataFrame:
+    """``value``, ``n``: the lines of all files without the first ``skip_lines`` of each;
+    n is 0 for a file's first line kept.
 
     Lines are numbered per file with the file's block start and the position in
-    the reading task; only the first block of a file can hold its first lines. The first
-    line kept of every file is its header, if there is one."""
+    the reading task; only the first block of a file can hold its first lines."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_f"),
@@ -64,24 +73,80 @@ def _csv_skipping_lines(spark, path, options, skip_lines, schema) -> DataFrame:
     # one row per input file; Spark chooses the join by its size
     firsts = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
     place = F.when(F.col("_b") == 0, F.col("_i") - F.col("_i0") - skip_lines)
-    numbered = lines.join(firsts, "_f", "left").select("value", F.coalesce(place, F.lit(1)).alias("_n"))
-    first = 1 if options["header"] == "true" else 0
-    body = numbered.filter((F.col("_n") >= first) & (F.length("value") > 0)).select("value")
-    head = numbered.filter(F.col("_n") == 0).select("value").limit(1) if first else None
+    return lines.join(firsts, "_f", "left").select("value", F.coalesce(place, F.lit(1)).alias("n")).filter("n >= 0")
+
+
+def _csv_records(spark: SparkSession, path, skip_lines: int = 0) -> DataFrame:
+    """``value``, ``n``: the records of all files, line breaks inside quotes kept, without
+    the first ``skip_lines`` lines of each file; n is 0 for a file's first record.
+
+    A line begins a record when an even number of quotes comes before it in its file. The
+    quotes of each file block are counted in parallel and summed over the blocks (one row
+    a block), so every block then finds its own borders; the lines of a record that
+    crosses into later blocks are brought to the block where it begins. A task sorts the
+    lines of one block, and what crosses into it."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_i"),
+    )
+    if skip_lines:
+        # only a file's first block can hold its first lines: its smallest numbers
+        firsts = lines.filter(F.col("_b") == 0).groupBy("_f", "_b").agg(F.min("_i").alias("_i0"))
+        lines = lines.join(firsts, ["_f", "_b"], "left").filter(F.coalesce(F.col("_i") - F.col("_i0") >= skip_lines, F.lit(True))).drop("_i0")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("_q", quotes.cast("long"))
+    in_file = Window.partitionBy("_f").orderBy("_b")  # one row a block
+    blocks = lines.groupBy("_f", "_b").agg(F.sum("_q").alias("_sum"))
+    before = (F.sum("_sum").over(in_file) - F.col("_sum")).alias("_before")
+    blocks = materialize(blocks.select("*", before, F.min("_b").over(in_file).alias("_first")), "csv-blocks")
+    odd = blocks.groupBy("_f").agg(F.sum("_sum").alias("n")).filter("n % 2 = 1").limit(5).collect()
+    if odd:
+        raise ValueError(f"quotes do not pair in {[r['_f'] for r in odd]}; read with split=False")
+    in_block = Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (F.col("_before") + F.sum("_q").over(in_block) - F.col("_q")) % 2 == 1
+    lines = lines.join(blocks.select("_f", "_b", "_before", "_first"), ["_f", "_b"]).withColumn("_starts", ~inside)
+    # a record's number: how many begin in its block up to it; 0 continues an earlier block
+    lines = lines.withColumn("_r", F.sum(F.col("_starts").cast("long")).over(in_block))
+    begun = lines.groupBy("_f", "_b").agg(F.max("_r").alias("_n"))
+    earlier = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("_n") > 0, F.struct(F.col("_b").alias("b"), F.col("_n").alias("r"))), True).over(earlier)
+    begun = begun.select("_f", "_b", last.alias("_last"))  # one row a block
+    parts = lines.join(begun, ["_f", "_b"]).select(
+        "_f",
+        "_first",
+        F.when(F.col("_r") > 0, F.col("_b")).otherwise(F.col("_last.b")).alias("_rb"),
+        F.when(F.col("_r") > 0, F.col("_r")).otherwise(F.col("_last.r")).alias("_rr"),
+        F.struct("_b", "_i", "value").alias("_line"),
+    )
+    records = parts.groupBy("_f", "_first", "_rb", "_rr").agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
+    records = records.sortWithinPartitions("_f", "_rb", "_rr")  # so small files keep their order
+    text = F.rtrim(F.array_join(F.col("_lines.value"), "\n"), F.lit("\r"))
+    return records.select(text.alias("value"), F.when((F.col("_rb") == F.col("_first")) & (F.col("_rr") == 1), 0).otherwise(1).alias("n"))
+
+
+def _csv_parsed(spark: SparkSession, records: DataFrame, options: dict, schema) -> DataFrame:
+    """``records`` (``value``, ``n``) as CSV rows. With a header, the records numbered 0
+    are the files' headers."""
+    header = options["header"] == "true"
+    options = {k: v for k, v in options.items() if k != "header"}
+    body = records.filter((F.col("n") >= (1 if header else 0)) & (F.length("value") > 0)).select("value")
     if schema is None:
-        # Spark's own reader of strings infers the types, all inside the JVM
         names = None
-        if head is not None:
-            line = head.first()
-            names = _csv_of(spark, spark.createDataFrame([(line[0] if line else "",)], "value string"), {**options, "header": "false"})
-            names = [str(x) for x in names.first()] if line else []
+        if header:
+            heads = [r[0] for r in records.filter("n = 0").select("value").distinct().limit(2).collect()]
+            if len(heads) > 1:
+                raise ValueError(f"files with different headers: {heads}")
+            line = _csv_of(spark, spark.createDataFrame([(h,) for h in heads], "value string"), {**options, "header": "false"})
+            names = [str(x) for x in line.first()] if heads and heads[0] else None
+        # Spark's own reader of strings infers the types, all inside the JVM
         typed = _csv_of(spark, body, {**options, "header": "false", "inferSchema": "true"})
         return typed.toDF(*names) if names and len(names) == len(typed.columns) else typed
     ddl = schema if isinstance(schema, str) else schema.simpleString()
     if ddl.startswith("struct<"):
         ddl = ddl[len("struct<"):-1]
-    parsed = F.from_csv(F.col("value"), ddl, {k: v for k, v in options.items() if k != "header"})
-    return body.select(parsed.alias("r")).select("r.*")
+    return body.select(F.from_csv(F.col("value"), ddl, options).alias("r")).select("r.*")
 
 
 def _csv_of(spark, lines: DataFrame, options: dict) -> DataFrame:
@@ -94,28 +159,8 @@ def _csv_of(spark, lines: DataFrame, options: dict) -> DataFrame:
 def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:
     """Paths of zero-length files under ``root`` (Spark's file sources skip them).
 
-    Metadata-only listing on the driver, as Spark's own file index does: a native
-    listing through pyarrow when it knows the scheme, else the Hadoop file system
-    of the session."""
-    try:
-        import pyarrow.fs as pafs
-
-        local = root[len("file:"):] if root.startswith("file:") else root
-        if "://" in local:
-            fs, base = pafs.FileSystem.from_uri(local)
-        else:
-            fs, base = pafs.LocalFileSystem(), "/" + local.lstrip("/")
-        infos = fs.get_file_info(pafs.FileSelector(base, recursive=recursive, allow_not_found=True))
-        scheme = root.split("://", 1)[0] + "://" if "://" in root else "file:"
-        return [
-            scheme + i.path if scheme != "file:" else "file:" + i.path
-            for i in infos
-            if i.type == pafs.FileType.File and i.size == 0
-            and not i.base_name.startswith(("_", "."))
-            and not any(part.startswith(("_", ".")) for part in i.path[len(base):].split("/")[:-1])
-        ]
-    except Exception:  # scheme unknown to pyarrow: Hadoop listing
-        pass
+    A listing by the session's own file system, walked entry by entry: only the empty
+    files' paths stay on the driver, never the listing."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -123,11 +168,14 @@ def _empty_files(spark: SparkSession, root: str, recursive: bool) -> list[str]:
     if not fs.exists(path):
         return []
     it = fs.listFiles(path, recursive)
+    base = fs.getFileStatus(path).getPath().toUri().getPath()
     out = []
     while it.hasNext():
         st = it.next()
-        if st.getLen() == 0 and not st.getPath().getName().startswith(("_", ".")):
-            out.append(st.getPath().toString())
+        if st.getLen() == 0:
+            below = st.getPath().toUri().getPath()[len(base):].strip("/").split("/")
+            if not any(part.startswith(("_", ".")) for part in below):
+                out.append(st.getPath().toString())
     return out
 
 
