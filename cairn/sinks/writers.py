@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from ..functions.names import quote
-from ..session import delete_folder, materialize, path_exists, swap_folder
+from ..session import delete_folder, materialize, path_exists, release, swap_folder
 
 
 def save_table(
@@ -119,37 +118,74 @@ WRITE_RESULT = StructType(
 )
 
 
-def _object_writer(root: str, extension: str | None):
-    def write(batches: Iterator) -> Iterator:
+#: Names of one store: what Hadoop calls s3a, pyarrow calls s3.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _open_root(root: str):
+    """The file system of ``root`` and the path of ``root`` there."""
+    import pyarrow.fs as pafs
+
+    scheme, sep, rest = root.partition("://")
+    uri = SCHEMES.get(scheme, scheme) + sep + rest if sep else root
+    fs, base = pafs.FileSystem.from_uri(uri)
+    return fs, base.rstrip("/")
+
+
+def _object_batches(root: str, extension: str | None, act) -> Callable:
+    """A function over batches that runs ``act(fs, staged, target, row)`` for each object
+    and gives its outcome; errors are collected, the driver raises them."""
+
+    def run(batches: Iterator) -> Iterator:
         import pandas as pd
-        import pyarrow.fs as pafs
 
-        fs, base = pafs.FileSystem.from_uri(root)
-        fs.create_dir(base, recursive=True)
+        fs, base = _open_root(root)
+        end = f".{extension}" if extension else ""
         for pdf in batches:
             out = []
-            for name, content in zip(pdf["file_name"], pdf["file_content"]):
-                key = f"{root.rstrip('/')}/{name}" + (f".{extension}" if extension else "")
-                target = f"{base.rstrip('/')}/{name}" + (f".{extension}" if extension else "")
+            for row in pdf.itertuples(index=False):
+                name = f"{row.file_name}{end}"
+                key = f"{root.rstrip('/')}/{name}"
                 try:
-                    if isinstance(content, str):
-                        data = content.encode("utf-8")
-                    elif isinstance(content, dict):
-                        data = json.dumps(content).encode("utf-8")
-                    elif content is None:
-                        data = b""
-                    else:
-                        data = bytes(content)
-                    if "/" in name:
-                        fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                    with fs.open_output_stream(target) as fh:
-                        fh.write(data)
-                    out.append((name, key, True, None))
-                except Exception as e:  # collected, raised by the driver
-                    out.append((name, key, False, f"{type(e).__name__}: {e}"))
+                    act(fs, base, name, row)
+                    out.append((row.file_name, key, True, None))
+                except Exception as e:
+                    out.append((row.file_name, key, False, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["file_name", "key", "ok", "error"])
 
-    return write
+    return run
+
+
+def _stager(staging: str):
+    """Writes one object below the staging folder; a repeated task writes it again."""
+
+    def act(fs, base, name, row) -> None:
+        content = row.file_content
+        data = content.encode("utf-8") if isinstance(content, str) else b"" if content is None else bytes(content)
+        path = f"{base}/{staging}/{name}"
+        fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(path) as fh:
+            fh.write(data)
+
+    return act
+
+
+def _mover(staging: str):
+    """Gives one staged object its name. One no longer staged was moved by an earlier
+    attempt of this task."""
+
+    def act(fs, base, name, row) -> None:
+        import pyarrow.fs as pafs
+
+        path, target = f"{base}/{staging}/{name}", f"{base}/{name}"
+        staged, there = fs.get_file_info([path, target])
+        if staged.type == pafs.FileType.NotFound and there.type == pafs.FileType.File:
+            return
+        if "/" in name:
+            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        fs.move(path, target)
+
+    return act
 
 
 def _some(df: DataFrame, text):
@@ -164,8 +200,12 @@ def write_objects(
     """One object per row at ``root/file_name[.ext]`` (K3, K9).
 
     ``file_content`` may be binary or string (UTF-8) or a struct/map (JSON).
-    Written by the executors in parallel (Arrow batches); failures are collected
-    and raised together. Two rows with one name are an error (checked first).
+    Two phases, both by the executors in parallel (Arrow batches): all objects are
+    written below a staging folder of ``root`` whose name begins with ``_``, and only
+    when every one is there are they moved to their names. A write that fails leaves
+    no object and what was there before. A failure while moving raises too; objects moved
+    before it keep their new content. Failures are collected and raised together. Two rows
+    with one name are an error (checked first).
     Returns the per-object result rows."""
     dups = _some(objects.groupBy("file_name").count().filter(F.col("count") > 1), F.col("file_name"))
     if dups.n:
@@ -176,9 +216,23 @@ def write_objects(
     else:
         content = F.to_json(F.col("file_content"))
     src = objects.select("file_name", content.alias("file_content"))
-    result = src.mapInPandas(_object_writer(root, file_extension), WRITE_RESULT)
-    done = materialize(result, "objects")
-    failed = _some(done.filter(~F.col("ok")), F.concat_ws(": ", "file_name", "error"))
-    if failed.n:
-        raise RuntimeError(f"{failed.n} objects were not written, such as " + "; ".join(sorted(failed.some)))
+    staging = f"_staging-{uuid.uuid4().hex}"
+    fs, base = _open_root(root)
+    fs.create_dir(base, recursive=True)
+    try:
+        staged = materialize(src.mapInPandas(_object_batches(root, file_extension, _stager(staging)), WRITE_RESULT), "objects-staged")
+        _raise_failed(staged, "written")
+        moves = staged.select("file_name").mapInPandas(_object_batches(root, file_extension, _mover(staging)), WRITE_RESULT)
+        done = materialize(moves, "objects")
+        release(staged)
+        _raise_failed(done, "moved to their names")
+    finally:
+        if fs.get_file_info(f"{base}/{staging}").type.name == "Directory":
+            fs.delete_dir(f"{base}/{staging}")
     return done
+
+
+def _raise_failed(result: DataFrame, what: str) -> None:
+    failed = _some(result.filter(~F.col("ok")), F.concat_ws(": ", "file_name", "error"))
+    if failed.n:
+        raise RuntimeError(f"{failed.n} objects were not {what}, such as " + "; ".join(sorted(failed.some)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators.flatten import flatten_columns
 from cairn.plans.extraction import check_pages_complete, extract_increment
+from cairn.sinks.writers import SCHEMES, _mover, _open_root, write_objects
 from cairn.sources.files import read_file, read_objects
 from cairn.sources.pages import missing_page_ranges
 from cairn.streaming.watermark import WatermarkStore
@@ -160,6 +161,31 @@ def test_empty_objects_below_hidden_folders_stay_out(spark, tmp_path):
     assert got == [("full", b"f"), ("x", b""), ("z", b"")]
 
 
+def test_a_failed_write_leaves_no_object(spark, tmp_path):
+    root = tmp_path / "objects"
+    old = spark.createDataFrame([("a", "old")], "file_name STRING, file_content STRING")
+    write_objects(old, str(root), "txt")
+    rows = [(n, "new") for n in ("a", "b/c", "d", "x" * 300, "e")]  # no file can have the long name
+    with pytest.raises(RuntimeError, match="1 objects were not written"):
+        write_objects(spark.createDataFrame(rows, old.schema).repartition(3), str(root), "txt")
+    assert [p.name for p in root.rglob("*")] == ["a.txt"] and (root / "a.txt").read_text() == "old"
+    done = write_objects(spark.createDataFrame([r for r in rows if len(r[0]) < 300], old.schema), str(root), "txt")
+    assert done.filter("ok").count() == 4
+    assert sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file()) == ["a.txt", "b/c.txt", "d.txt", "e.txt"]
+    assert (root / "a.txt").read_text() == "new"
+
+
+def test_a_repeated_move_finds_its_object_moved(tmp_path):
+    (tmp_path / "a").write_text("moved")
+    row = type("Row", (), {"file_name": "a"})
+    fs, base = _open_root(str(tmp_path))
+    _mover("_staging-1")(fs, base, "a", row)
+    assert (tmp_path / "a").read_text() == "moved"
+    with pytest.raises(OSError):
+        _mover("_staging-1")(fs, base, "b", row)
+    assert SCHEMES["s3a"] == "s3"
+
+
 def test_flatten_finds_columns_and_keys_in_one_scan(spark, tmp_path):
     row = json.dumps({f"k{i}": i for i in range(5_000)})
     spark.createDataFrame([(1, row, '{"a": 1}', "text"), (2, '{"k0": 7}', "5", None)], "id INT, wide STRING, mixed STRING, t STRING").write.parquet(str(tmp_path / "t"))
