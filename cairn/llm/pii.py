@@ -114,7 +114,7 @@ def _url(text: str, at: int, scheme: int) -> tuple[int, int] | None:
 
 def _account(text: str, at: int) -> tuple[int, int] | None:
     """The identifier after a cue that ends at ``at``: a valid IBAN or 5 to 34 letters
-    and digits, 4 digits or more."""
+    and digits, 4 digits or more. It must end within 160 characters of the cue."""
     m = CUED.match(text, at, at + 160)  # bounded, so a failure costs little
     if not m:
         return None

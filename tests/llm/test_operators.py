@@ -563,6 +563,29 @@ def test_toxicity(spark, docs, rows):
     assert [x.score for x in even] == [0.0]
 
 
+def test_toxicity_of_words_known_by_chance(spark):
+    """Labels that nothing in the texts tells: the calibration sees no words learned from
+    its own documents, so no score is sure."""
+    r = random.Random(9)
+    texts = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(40)), "en") for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(r.random() < 0.3)) for i, _, _ in texts], "doc_id bigint, toxic int")
+    docs = make(spark, texts)
+    got = [x.score for x in toxicity.toxicity(docs, toxicity.learn(docs, labels, trees=5, depth=3)).collect()]
+    assert len(got) == 1200 and max(got) < 0.9 and 0.2 < sum(got) / len(got) < 0.4
+
+
+def test_toxicity_features_of_a_long_text():
+    words = ["you", "idiot", "plain", "WORD!"] * 50_000
+    row = dict(zip(toxicity.FEATURES, toxicity.Features({}).row(" ".join(words))))
+    again = dict(zip(toxicity.FEATURES, toxicity.Features({}, most=2).row(" ".join(words))))
+    assert row == again
+    hits = [i for i, w in enumerate(words) if w == "idiot"]
+    values = list(row.values())
+    assert values[1] == len(hits) and values[2] == len(hits) / len(words) and values[3] == 5.0 * len(hits)
+    assert values[9] == 13  # of any 50 words in a row
+    assert values[10] == 0.25 and values[11] == len(hits)
+
+
 # ------------------------------------------------------------------ sharding
 
 
