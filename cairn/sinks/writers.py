@@ -118,6 +118,9 @@ WRITE_RESULT = StructType(
 )
 
 
+#: Objects that a task writes, about.
+TASK_OBJECTS = 10_000
+
 #: Names of one store: what Hadoop calls s3a, pyarrow calls s3.
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
@@ -158,12 +161,16 @@ def _object_batches(root: str, extension: str | None, act) -> Callable:
 
 def _stager(staging: str):
     """Writes one object below the staging folder; a repeated task writes it again."""
+    last = []  # the folder this task made last
 
     def act(fs, base, name, row) -> None:
         content = row.file_content
         data = content.encode("utf-8") if isinstance(content, str) else b"" if content is None else bytes(content)
         path = f"{base}/{staging}/{name}"
-        fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        folder = path.rsplit("/", 1)[0]
+        if last != [folder]:
+            fs.create_dir(folder, recursive=True)
+            last[:] = [folder]
         with fs.open_output_stream(path) as fh:
             fh.write(data)
 
@@ -172,18 +179,23 @@ def _stager(staging: str):
 
 def _mover(staging: str):
     """Gives one staged object its name. One no longer staged was moved by an earlier
-    attempt of this task."""
+    attempt of this task, which is looked for only when the move fails."""
+    last = []  # the folder this task made last
 
     def act(fs, base, name, row) -> None:
         import pyarrow.fs as pafs
 
         path, target = f"{base}/{staging}/{name}", f"{base}/{name}"
-        staged, there = fs.get_file_info([path, target])
-        if staged.type == pafs.FileType.NotFound and there.type == pafs.FileType.File:
-            return
-        if "/" in name:
-            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        fs.move(path, target)
+        folder = target.rsplit("/", 1)[0]
+        if "/" in name and last != [folder]:
+            fs.create_dir(folder, recursive=True)
+            last[:] = [folder]
+        try:
+            fs.move(path, target)
+        except OSError:
+            staged, there = fs.get_file_info([path, target])
+            if staged.type != pafs.FileType.NotFound or there.type != pafs.FileType.File:
+                raise
 
     return act
 
@@ -200,22 +212,30 @@ def write_objects(
     """One object per row at ``root/file_name[.ext]`` (K3, K9).
 
     ``file_content`` may be binary or string (UTF-8) or a struct/map (JSON).
-    Two phases, both by the executors in parallel (Arrow batches): all objects are
+    Two phases, both by the executors in parallel (Arrow batches), for which the objects
+    are dealt out by name, however few files or row groups hold them: all objects are
     written below a staging folder of ``root`` whose name begins with ``_``, and only
     when every one is there are they moved to their names. A write that fails leaves
     no object and what was there before. A failure while moving raises too; objects moved
     before it keep their new content. Failures are collected and raised together. Two rows
     with one name are an error (checked first).
     Returns the per-object result rows."""
-    dups = _some(objects.groupBy("file_name").count().filter(F.col("count") > 1), F.col("file_name"))
-    if dups.n:
-        raise ValueError(f"{dups.n} duplicate object names, such as {sorted(dups.some)}")
+    twice = F.when(F.col("count") > 1, F.col("file_name"))
+    seen = objects.groupBy("file_name").count().agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("count") > 1).alias("dups"),
+        F.array_compact(F.array_distinct(F.array(F.min(twice), F.max(twice)))).alias("some"),
+    ).first()
+    if seen.dups:
+        raise ValueError(f"{seen.dups} duplicate object names, such as {sorted(seen.some)}")
     ctype = objects.schema["file_content"].dataType
     if isinstance(ctype, (BinaryType, StringType)):
         content = F.col("file_content")
     else:
         content = F.to_json(F.col("file_content"))
-    src = objects.select("file_name", content.alias("file_content"))
+    spark = objects.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, seen.rows // TASK_OBJECTS)
+    src = objects.select("file_name", content.alias("file_content")).repartition(max(1, min(seen.rows, tasks)), "file_name")
     staging = f"_staging-{uuid.uuid4().hex}"
     fs, base = _open_root(root)
     fs.create_dir(base, recursive=True)

@@ -4,6 +4,7 @@ import pytest
 from py4j.java_gateway import GatewayClient
 from pyspark.sql import functions as F
 
+from cairn.sinks.writers import write_objects
 from cairn.sources.files import read_folder, read_objects
 
 
@@ -63,3 +64,11 @@ def test_folders_without_files_files_and_patterns(spark, tmp_path):
     assert [(r.file_name, bytes(r.file_content)) for r in one] == [("o_1.v1.txt", b"text 1")]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_objects(spark, str(tmp_path / "missing"))
+
+
+def test_objects_of_one_partition_are_written_by_many_tasks(spark, tmp_path):
+    objects = spark.range(400).select(F.concat(F.lit("o_"), F.col("id")).alias("file_name"), F.col("id").cast("string").alias("file_content"))
+    done = write_objects(objects.coalesce(1), str(tmp_path / "w"), "txt")
+    assert done.count() == 400 and len(done.inputFiles()) > 1
+    assert {p.name: p.read_text() for p in (tmp_path / "w").iterdir()} == {f"o_{i}.txt": str(i) for i in range(400)}
+    assert write_objects(objects.limit(0), str(tmp_path / "none")).count() == 0
