@@ -10,12 +10,13 @@ rows cost, however large the table is. Rows that come again (the inclusive ``>=`
 re-read, a replayed batch, a new checkpoint) are found among the versions of their own
 dates, by key and row hash, and are not appended: the state that the stream needs is the
 table itself, so losing a checkpoint loses nothing. ``read_current`` gives the latest
-version of every key, ``compact`` rewrites one date at a time to the versions that can
-still be read. A catalog whose tables have row-level MERGE does without the log.
+version of every key, ``compact`` rewrites a few dates at a time to the versions that
+can still be read. A catalog whose tables have row-level MERGE does without the log.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import time
 from collections import Counter
@@ -32,6 +33,7 @@ from ..session import materialize, path_exists, release
 
 DATE, ROW, SOLO, VERSION = "cairn_date", "cairn_row", "cairn_solo", "cairn_version"
 _OWN = [StructField(ROW, LongType()), StructField(SOLO, LongType()), StructField(VERSION, LongType()), StructField(DATE, DateType())]
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _TABLE = "_table"  # a folder that Spark's readers skip: keys and schema
 
 
@@ -132,12 +134,18 @@ def files_by_date(log: DataFrame) -> Counter:
     return Counter(part.split("=", 1)[1] for f in log.inputFiles() for part in f.split("/") if part.startswith(f"{DATE}="))
 
 
-def compact(spark: SparkSession, target: str, most_files: int = 8, schema: StructType | None = None) -> list[str]:
-    """Rewrite the dates that have more than ``most_files`` files, one at a time, keeping
-    of each key the latest version within the date; returns the dates.
-
-    What ``read_current`` gives stays the same. A date's new files are complete in
-    scratch storage before its folder is replaced; no reader should run meanwhile."""
+def compact(
+    spark: SparkSession,
+    target: str,
+    most_files: int = 8,
+    schema: StructType | None = None,
+    dates_at_once: int = 8,
+) -> list[str]:
+    """Rewrite the dates that have more than ``most_files`` files, ``dates_at_once`` at a
+    time, keeping of each key the latest version within the date; returns the dates.
+
+    What ``read_current`` gives stays the same. The new files of these dates are complete
+    in scratch storage before their folders are replaced; no reader should run meanwhile."""
     target = target.rstrip("/")
     known = _known(spark, target)
     if known is None:
@@ -145,9 +153,12 @@ def compact(spark: SparkSession, target: str, most_files: int = 8, schema: Struc
     keys, schema = known["keys"], _of(known, schema)
     log = _log(spark, target, schema)
     crowded = sorted(d for d, n in files_by_date(log).items() if n > most_files)
-    for date in crowded:
-        one = F.col(DATE).isNull() if date == "__HIVE_DEFAULT_PARTITION__" else F.col(DATE) == F.lit(date).cast("date")
-        staged = materialize(latest_per_key(log.filter(one), [*keys, SOLO], [VERSION]), "compacted")
+    for first in range(0, len(crowded), dates_at_once):
+        some = crowded[first:first + dates_at_once]
+        wanted = F.col(DATE).isin([dt.date.fromisoformat(d) for d in some if d != _NO_DATE])
+        if _NO_DATE in some:
+            wanted = wanted | F.col(DATE).isNull()
+        staged = materialize(latest_per_key(log.filter(wanted), [*keys, SOLO, DATE], [VERSION]), "compacted")
         try:
             (
                 staged.hint("rebalance", DATE)

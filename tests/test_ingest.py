@@ -107,3 +107,24 @@ def test_a_lost_checkpoint_adds_no_versions(spark, tmp_path):
         ingest_stream(spark, *args, event_time="ts", max_files_per_trigger=1).awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/t").count() == 10
     assert read_current(spark, f"{tmp_path}/t").count() == 10
+
+
+def test_dates_are_compacted_several_at_once(spark, tmp_path, monkeypatch):
+    """Nine dates and rows without one: the versions that can still be read stay, in two
+    rounds."""
+    from cairn.streaming import ingest
+
+    target = str(tmp_path / "t")
+    for v in (1, 2):
+        rows = [(i, "a", dt.datetime(2024, 1, 1 + i % 9) if i % 10 else None, v * (i % 3), None) for i in range(40)] + [(None, "n", None, 1, None)]
+        upsert_batch(spark.createDataFrame(rows, SCHEMA), target, ["id"], None, "ts")
+    moved = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 9), 7, None)], SCHEMA)
+    upsert_batch(moved, target, ["id"], None, "ts")
+    before, rounds, store = _current(spark, target), [], ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, name: (rounds.append(name), store(df, name))[1])
+    assert len(compact(spark, target, most_files=0)) == 10
+    assert rounds == ["compacted"] * 2
+    assert _current(spark, target) == before and len(before) == 41
+    log = spark.read.parquet(target)
+    assert log.count() == 42  # the moved key's version under its old date stays, too
+    assert set(files_by_date(log).values()) == {1}
