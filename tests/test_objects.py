@@ -72,3 +72,22 @@ def test_objects_of_one_partition_are_written_by_many_tasks(spark, tmp_path):
     assert done.count() == 400 and len(done.inputFiles()) > 1
     assert {p.name: p.read_text() for p in (tmp_path / "w").iterdir()} == {f"o_{i}.txt": str(i) for i in range(400)}
     assert write_objects(objects.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def _calls(monkeypatch):
+    calls, send = [], GatewayClient.send_command
+    monkeypatch.setattr(GatewayClient, "send_command", lambda self, *a, **k: (calls.append(1), send(self, *a, **k))[1])
+    return calls
+
+
+def test_a_roundtrip_costs_the_driver_no_more_for_more_objects(spark, tmp_path, monkeypatch):
+    calls, made = _calls(monkeypatch), []
+    for n in (10, 300):
+        objects = spark.range(n).select(F.concat(F.lit("o_"), F.col("id")).alias("file_name"), F.repeat(F.lit("x"), F.col("id").cast("int") % 7).alias("file_content"))
+        before = len(calls)
+        write_objects(objects, str(tmp_path / f"r{n}"), "txt")
+        back = read_objects(spark, str(tmp_path / f"r{n}"))
+        made.append(len(calls) - before)
+        assert back.select("file_name", F.decode("file_content", "UTF-8").alias("file_content")).exceptAll(objects).count() == 0
+        assert back.count() == n
+    assert made[1] < made[0] + 100
