@@ -4,6 +4,7 @@ import pytest
 from py4j.java_gateway import GatewayClient
 from pyspark.sql import functions as F
 
+from cairn.plans.steps import run_steps
 from cairn.sinks.writers import write_objects
 from cairn.sources.files import read_folder, read_objects
 
@@ -91,3 +92,25 @@ def test_a_roundtrip_costs_the_driver_no_more_for_more_objects(spark, tmp_path,
         assert back.select("file_name", F.decode("file_content", "UTF-8").alias("file_content")).exceptAll(objects).count() == 0
         assert back.count() == n
     assert made[1] < made[0] + 100
+
+
+def test_a_step_chain_over_objects_costs_the_driver_no_more_for_more(spark, tmp_path, monkeypatch):
+    calls, made = _calls(monkeypatch), []
+    for n in (5, 300):
+        base = tmp_path / f"s{n}"
+        (base / "in").mkdir(parents=True)
+        for i in range(n):
+            (base / "in" / f"page_{i}.html").write_text(f"<p>text <b>{i}</b></p>" if i else "")
+        before = len(calls)
+        run_steps(spark, [
+            {"step": "read_objects", "params": {"root": f"{base}/in"}, "output": "objects"},
+            {"step": "coerce_schema", "input": "objects",
+             "params": {"schema": {"file_name": "string", "file_content": "string"}}, "output": "pages"},
+            {"step": "extract_text", "input": "pages",
+             "params": {"html_column": "file_content", "out_column": "file_content"}, "output": "texts"},
+            {"step": "write_objects", "input": "texts", "params": {"root": f"{base}/out", "file_extension": "txt"}},
+        ])
+        made.append(len(calls) - before)
+        got = {p.name: " ".join(p.read_text().split()) for p in (base / "out").iterdir() if not p.name.startswith(".")}
+        assert got == {f"page_{i}.txt": f"text {i}" if i else "" for i in range(n)}
+    assert made[1] < made[0] + 100
